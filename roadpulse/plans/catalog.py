@@ -393,6 +393,42 @@ def q_idempotent_write(spark, sf_dir):
                        "o_orderdate", "o_orderpriority")
 
 
+# --------------------------------------------------------------------------- streaming
+
+def _events_stream(spark, sf_dir) -> DataFrame:
+    """The events table as a file stream (only new files are read on each run)."""
+    schema = _load(spark, sf_dir, "events").schema
+    s = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+         .parquet(sf_dir.rstrip("/")))
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def q_stream_hourly(spark, sf_dir):
+    from ..streaming import run_available, stream_kpi
+    s = _events_stream(spark, sf_dir).withColumn(
+        "speed_ratio", RF.safe_ratio("value", F.lit(50.0), 3))
+    agg = stream_kpi(s, "ts", watermark="1 hour", width="1 hour", keys=["event_type"], aggs=[
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum("value"), 2).alias("total"),
+        F.avg("speed_ratio").alias("speed_ratio"),
+    ])
+    root = scratch_path(spark, "stream_hourly")
+    out = run_available(agg, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(out).withColumns({
+        "window_start": F.col("window_start").cast("timestamp_ntz"),
+        "window_end": F.col("window_end").cast("timestamp_ntz")})
+
+
+def q_stream_dedup(spark, sf_dir):
+    from ..streaming import run_available, stream_dedup
+    s = _events_stream(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
+    d = stream_dedup(s, ["event_type", "user_id", "hour"], "ts", watermark="1 hour")
+    root = scratch_path(spark, "stream_dedup")
+    out = run_available(d.select("event_type", "user_id", "hour"), f"{root}/out",
+                        f"{root}/checkpoint")
+    return spark.read.parquet(out).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_kpi": q_hourly_kpi,
     "speed_ratio": q_speed_ratio,
@@ -422,4 +458,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_points": q_flow_points,
     "sink_roundtrip": q_sink_roundtrip,
     "idempotent_write": q_idempotent_write,
+    "stream_hourly": q_stream_hourly,
+    "stream_dedup": q_stream_dedup,
 }
