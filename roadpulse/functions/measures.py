@@ -43,6 +43,24 @@ def level(c, bounds: Sequence[tuple[float, str]] = LEVEL_BOUNDS,
     return expr.otherwise(F.lit(otherwise)) if expr is not None else F.lit(otherwise)
 
 
+def exact_mean_parts(c, scale: int = 3) -> tuple[Column, Column]:
+    """Aggregates (sum in units of 10^-scale, count) of values that carry ``scale`` decimals.
+
+    Integer sums are exact and do not depend on the order rows are combined
+    in, unlike a double sum, so the rounded mean is the same on any
+    partitioning (see ``exact_mean_round``).
+    """
+    x = as_col(c)
+    units = F.round(x * (10 ** scale)).cast("bigint")
+    return F.sum(units), F.count(x)
+
+
+def exact_mean_round(units: str, n: str, scale: int = 3) -> Column:
+    """HALF_UP mean of ``units / n`` at ``scale`` decimals, exactly, as a double."""
+    q = F.expr(f"(2 * abs(`{units}`) + `{n}`) div (2 * `{n}`)") * F.signum(F.col(units))
+    return F.when(F.col(n) > 0, q.cast("double") / float(10 ** scale))
+
+
 def any_true(c) -> Column:
     """Aggregate: true when at least one value is true; nulls count as false."""
     return F.count_if(as_col(c)) > 0

@@ -55,6 +55,10 @@ def write_flow_batches(root, batches=BATCHES, rows=None, extra_lines=()):
             part = [r for r in rows if r["batch_ts"] == b and r["city"] == city]
             if part:
                 write_jsonl(os.path.join(root, f"flow_{city}_{b}.jsonl"), part)
+    known = set(DEFAULT_SITES)
+    other = [r for r in rows if r["batch_ts"] in batches and r["city"] not in known]
+    if other:
+        write_jsonl(os.path.join(root, "flow_other.jsonl"), other)
     if extra_lines:
         write_jsonl(os.path.join(root, "flow_extra.jsonl"), [], extra_lines)
     return root

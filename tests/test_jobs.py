@@ -1,0 +1,118 @@
+"""End-to-end jobs on sample-shaped files, including replay idempotence."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from roadpulse.plans import flow, incidents
+from roadpulse.schemas import FLOW_BRONZE
+
+from fixtures import BATCHES, flow_rows, incident, write_flow_batches, write_jsonl
+
+RUN = "2026-07-20 20:00:00"
+
+
+def run_all_batches(spark, root):
+    raw, bronze, silver, gold = (os.path.join(root, p) for p in ("raw", "bronze", "silver", "gold"))
+    results = []
+    for i in range(len(BATCHES)):
+        write_flow_batches(raw, BATCHES[: i + 1])
+        b = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+        s = flow.run_silver(spark, bronze, silver, run_ts=RUN)
+        results.append((b, s))
+    g = flow.run_gold(spark, silver, gold, run_ts=RUN)
+    return results, g
+
+
+def test_flow_layers_golden(spark, workdir):
+    results, (gold, points, metrics) = run_all_batches(spark, workdir)
+    b, s = results[-1]
+    # latest batch only: 66 rows (25 + 16 + 25)
+    per_city = {r.city: r.records_written for r in b.metrics.collect()}
+    assert per_city == {"berlin": 25, "bremen": 16, "frankfurt": 25}
+    # silver holds each batch once (no re-append of older batches)
+    assert s.output.count() == 66 * 4
+    assert s.output.groupBy("batch_ts").count().filter("count != 66").count() == 0
+    # gold: one row per segment in the latest hour, 4 samples each
+    assert gold.count() == 66
+    assert gold.filter("road_segments != 4").count() == 0
+    assert points.count() == 264
+    assert {r.city for r in metrics.collect()} == {"berlin", "bremen", "frankfurt"}
+
+
+def test_flow_replay_is_idempotent(spark, workdir):
+    raw, bronze, silver = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver"))
+    write_flow_batches(raw, BATCHES[:2])
+    for _ in range(2):
+        flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+        flow.run_silver(spark, bronze, silver, run_ts=RUN)
+    assert spark.read.parquet(bronze).count() == 66
+    assert spark.read.parquet(silver).count() == 66
+
+
+def test_bronze_rejects_are_counted(spark, workdir):
+    raw, bronze = os.path.join(workdir, "raw"), os.path.join(workdir, "bronze")
+    rows = flow_rows(BATCHES[-1:])
+    rows[0]["lat"] = None
+    rows[1]["city"] = None
+    write_flow_batches(raw, BATCHES[-1:], rows=rows, extra_lines=["{not json"])
+    res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    m = res.metrics.collect()
+    assert sum(r.records_dropped for r in m) == 3
+    assert sum(r.records_written for r in m) == 64
+    assert res.output.count() == 64
+    assert res.output.schema == FLOW_BRONZE or set(res.output.columns) == set(FLOW_BRONZE.fieldNames())
+
+
+def test_silver_dedups_and_keys(spark, workdir):
+    raw, bronze, silver = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver"))
+    rows = flow_rows(BATCHES[-1:])
+    rows.append(dict(rows[0]))          # exact duplicate sample
+    zero = dict(rows[1]); zero["free_flow_speed"] = 0; zero["lon"] = 99.0
+    rows.append(zero)                   # null ratio
+    write_flow_batches(raw, BATCHES[-1:], rows=rows)
+    flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    s = flow.run_silver(spark, bronze, silver, run_ts=RUN)
+    out = s.output
+    assert out.count() == 67
+    assert out.filter("speed_ratio is null").count() == 1
+    m = s.metrics.collect()
+    assert sum(r.records_read for r in m) == 68 and sum(r.records_dropped for r in m) == 1
+
+
+def test_incident_path_and_alert(spark, workdir):
+    raw, bronze, silver, gold = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver", "gold"))
+    old = [incident("bremen", "20260720T202523", "1", 50.0, "A", "B", 53.0, 8.8, "2026-07-20T18:00:00Z")]
+    new = [incident("bremen", "20260720T203000", "8", None, f"R{i}", "Ring", 53.0 + i / 100, 8.8,
+                    "2026-07-20T18:00:00Z") for i in range(5)]
+    new += [incident("bremen", "20260720T203000", "7", 10.0, "W", "X", 53.0, 8.8, "2026-07-20T18:00:00Z"),
+            incident("bremen", "20260720T203000", "9", None, "", None, 53.0, 8.8,
+                     "2026-07-20T18:00:00Z", "2026-07-21T18:00:00Z", roads=["A1", "E22"])]
+    write_jsonl(os.path.join(raw, "inc_bremen_1.jsonl"), old)
+    write_jsonl(os.path.join(raw, "inc_bremen_2.jsonl"), new)
+    incidents.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    s = incidents.run_silver(spark, bronze, silver, run_ts=RUN)
+    assert s.output.count() == 7
+    assert s.output.filter("category = '8'").count() == 5
+    g = incidents.run_gold(spark, silver, gold, run_ts=RUN)
+    g2 = incidents.run_gold(spark, silver, gold, run_ts=RUN)   # replay
+    assert g2.output.count() == 7
+    worst, text, n = incidents.run_alert(g.output)
+    w = worst.collect()
+    assert [(r.city, r.category, r.from_road) for r in w] == [("bremen", "8", "R0")]
+    assert text.first().category_name == "Road Closed" and n.first().n_alerts == 1
+
+
+def test_ingest_payload_tallies(spark, workdir):
+    rows = [("berlin", "20260720T191500", 52.46, 13.28,
+             '{"flowSegmentData": {"frc": "FRC3", "currentSpeed": 30, "freeFlowSpeed": 36, '
+             '"currentTravelTime": 80, "confidence": 1}}'),
+            ("berlin", "20260720T191500", 52.46, 13.35, '{}')]
+    df = spark.createDataFrame(rows, "city string, batch_ts string, lat double, lon double, payload string")
+    raw = os.path.join(workdir, "raw")
+    t = flow.ingest_payloads(df, raw).first()
+    assert (t.records_read, t.records_written, t.records_dropped) == (2, 1, 1)
+    from roadpulse.sources import read_flow_raw
+    back = read_flow_raw(spark, raw, basePath=raw).collect()
+    assert len(back) == 1 and back[0].city == "berlin" and back[0].batch_ts == "20260720T191500"
+    assert back[0].road_closure is False and back[0].confidence == 1.0
