@@ -15,36 +15,53 @@ from .quality import BRONZE_REQUIRED, SILVER_REQUIRED, not_null_rules, tag_rejec
 BAD_BATCH_KEY = "unparseable batch_ts"
 
 
-def bronze_rules(required=BRONZE_REQUIRED):
-    return not_null_rules(required) + [(BAD_BATCH_KEY, batch_timestamp("batch_ts").isNotNull())]
+def bronze_rules(required=BRONZE_REQUIRED, date_col: str | None = None):
+    """Not-null keys plus a parseable batch key (checked on ``date_col`` if given)."""
+    parsed = F.col(date_col) if date_col else batch_timestamp("batch_ts")
+    return not_null_rules(required) + [(BAD_BATCH_KEY, parsed.isNotNull())]
 
 
 def flow_bronze(raw: DataFrame, run_ts=None) -> DataFrame:
-    """Tag raw flow rows (null keys, bad batch key) and add ingest stamp + date."""
-    tagged = tag_rejects(raw, bronze_rules())
-    return stamp(tagged, "ingested_at", run_ts).withColumn("date", batch_date("batch_ts"))
+    """Tag raw flow rows (null keys, bad batch key) and add ingest stamp + date.
 
+    The batch key is parsed once (into ``date``) and the rule reads that.
+    """
+    dated = stamp(raw, "ingested_at", run_ts).withColumn("date", batch_date("batch_ts"))
+    return tag_rejects(dated, bronze_rules(date_col="date"))
 
-def flow_silver(bronze: DataFrame, run_ts=None, dedup: bool = True) -> DataFrame:
-    """Quality gate, road key, speed ratio, process stamp, dedup per (city, batch, road).
 
-    The dedup keeps the most recently ingested copy; remaining columns break
-    ties, so the survivor is deterministic.
-    """
+def silver_features(bronze: DataFrame, run_ts=None) -> DataFrame:
+    """Gate (5 required columns), road key, speed ratio, process stamp; rows tagged."""
     tagged = tag_rejects(bronze, not_null_rules(SILVER_REQUIRED))
     out = (tagged
            .withColumn("road_id", stable_key("city", "lat", "lon", "frc"))
            .withColumn("speed_ratio", safe_ratio("current_speed", "free_flow_speed", 3)))
-    out = stamp(out, "processed_at", run_ts).withColumn("date", batch_date("batch_ts"))
-    if not dedup:
-        return out
-    ok = out.filter(F.col("reject_reason").isNull())
-    bad = out.filter(F.col("reject_reason").isNotNull())
-    kept = keep_one(ok, ["city", "batch_ts", "road_id"],
-                    [F.col("ingested_at").desc_nulls_last()],
-                    [c for c in ok.columns if c not in
-                     ("city", "batch_ts", "road_id", "ingested_at", "processed_at")])
-    return kept.unionByName(bad)
+    out = stamp(out, "processed_at", run_ts)
+    if "date" not in out.columns:
+        out = out.withColumn("date", batch_date("batch_ts"))
+    return out
+
+
+def dedup_silver(features: DataFrame) -> DataFrame:
+    """One row per (city, batch, road): the most recently ingested copy.
+
+    Remaining columns break ties, so the survivor is deterministic.
+    """
+    keys = ["city", "batch_ts", "road_id"]
+    return keep_one(features, keys, [F.col("ingested_at").desc_nulls_last()],
+                    [c for c in features.columns if c not in
+                     (*keys, "ingested_at", "processed_at")])
+
+
+def flow_silver(bronze: DataFrame, run_ts=None, dedup: bool = True) -> DataFrame:
+    """Accepted silver rows (gate + key + ratio + stamp), deduplicated.
+
+    Rejected rows are ``silver_features(...)`` with a non-null reason; the
+    accepted side is returned alone so the input is scanned once.
+    """
+    feats = silver_features(bronze, run_ts)
+    ok = feats.filter(F.col("reject_reason").isNull())
+    return dedup_silver(ok) if dedup else ok
 
 
 def incident_silver(bronze: DataFrame, run_ts=None, dedup: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from .. import functions as RF
 from ..operators import (alerts, batches, dedup, grid, kpi, layers, metrics, payloads,
                          quality)
 from ..schemas import BATCH_FORMAT
-from ..session import scratch_path
+from ..session import scratch_path, spread_small_scan
 from ..sinks import files as sink_files
 from ..sources import files as source_files
 
@@ -27,7 +27,7 @@ RUN_TS = "2026-01-01 00:00:00"
 def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Batch keys and stamps are read and written in UTC (decision D10).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 # --------------------------------------------------------------------------- flow KPI
@@ -350,7 +350,6 @@ def q_flow_gold(spark, sf_dir):
     bronze = layers.flow_bronze(_lineitem_raw(spark, sf_dir), run_ts=RUN_TS)
     silver = layers.flow_silver(bronze.filter(F.col("reject_reason").isNull())
                                 .drop("reject_reason"), run_ts=RUN_TS)
-    silver = silver.filter(F.col("reject_reason").isNull())
     gold = kpi.hourly_segment_kpis(silver, estimate_free_flow=True)
     return gold.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
 
@@ -359,8 +358,7 @@ def q_flow_points(spark, sf_dir):
     bronze = layers.flow_bronze(_lineitem_raw(spark, sf_dir), run_ts=RUN_TS)
     silver = layers.flow_silver(bronze.filter(F.col("reject_reason").isNull())
                                 .drop("reject_reason"), run_ts=RUN_TS)
-    ok = silver.filter(F.col("reject_reason").isNull())
-    hour = batches.latest_hour(ok, RF.batch_timestamp("batch_ts"), within="date")
+    hour = batches.latest_hour(silver, RF.batch_timestamp("batch_ts"), within="date")
     pts = kpi.heatmap_points(hour)
     return pts.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
 

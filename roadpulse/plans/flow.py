@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.times import batch_timestamp
 from ..operators.batches import latest_batch, latest_hour
 from ..operators.kpi import heatmap_points, hourly_segment_kpis
-from ..operators.layers import flow_bronze, flow_silver
+from ..operators.layers import dedup_silver, flow_bronze, silver_features
 from ..operators.metrics import batch_metrics, ingestion_tallies
 from ..operators.payloads import flatten_flow
 from ..operators.quality import REJECT_COL
@@ -91,9 +91,9 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=N
     t0 = time.time()
     bronze = read_layer(spark, bronze_path, FLOW_BRONZE)
     batch = latest_batch(bronze, "batch_ts", within="date")
-    tagged = flow_silver(batch, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = silver_features(batch, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        accepted = tagged.filter(F.col(REJECT_COL).isNull()).select(
+        accepted = dedup_silver(tagged.filter(F.col(REJECT_COL).isNull())).select(
             *[f.name for f in FLOW_SILVER.fields])
         write_batch(accepted, silver_path)
         # rows read = every bronze row of the batch; written = after gate + dedup

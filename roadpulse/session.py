@@ -69,3 +69,26 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
     return os.path.join(checkpoint_root(spark), "roadpulse", *leaf)
+
+
+# Inputs smaller than this are not worth an extra exchange.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
+def spread_small_scan(df, min_bytes: int = SPREAD_MIN_BYTES):
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A large file written as one row group is read by a single task, so all
+    per-row work before the first shuffle runs on one core. Only then is a
+    (deterministic, retry-safe) round-robin repartition added; a scan with
+    at least as many splits as cores -- any large table -- is left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
