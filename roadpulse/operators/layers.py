@@ -42,15 +42,22 @@ def silver_features(bronze: DataFrame, run_ts=None) -> DataFrame:
     return out
 
 
+# Columns that decide between two copies of one (city, batch, road) sample.
+# lat, lon and frc are inside road_id, date follows from batch_ts and the
+# ratio from the speeds, so they cannot differ within a key.
+SILVER_TIE_BREAKERS = ("current_speed", "free_flow_speed", "travel_time", "confidence",
+                       "road_closure")
+
+
 def dedup_silver(features: DataFrame) -> DataFrame:
     """One row per (city, batch, road): the most recently ingested copy.
 
-    Remaining columns break ties, so the survivor is deterministic.
+    The value columns break remaining ties (ascending, nulls first), so the
+    survivor does not depend on arrival order.
     """
     keys = ["city", "batch_ts", "road_id"]
     return keep_one(features, keys, [F.col("ingested_at").desc_nulls_last()],
-                    [c for c in features.columns if c not in
-                     (*keys, "ingested_at", "processed_at")])
+                    [c for c in SILVER_TIE_BREAKERS if c in features.columns])
 
 
 def flow_silver(bronze: DataFrame, run_ts=None, dedup: bool = True) -> DataFrame:

@@ -24,10 +24,12 @@ from ..sources import files as source_files
 RUN_TS = "2026-01-01 00:00:00"
 
 
-def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read a driver table; ``spread`` for CPU-heavy per-row work (see spread_small_scan)."""
     # Batch keys and stamps are read and written in UTC (decision D10).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df, min_bytes=1 << 20) if spread else df
 
 
 # --------------------------------------------------------------------------- flow KPI
@@ -166,7 +168,7 @@ def q_alert_text(spark, sf_dir):
 
 def _orders_payloads(spark, sf_dir) -> DataFrame:
     """One incidents payload (JSON text) per order, built by Spark."""
-    o = _load(spark, sf_dir, "orders")
+    o = _load(spark, sf_dir, "orders", spread=True)
     lon = (F.col("o_custkey") + 0.5).cast("string")
     lat = (F.col("o_orderkey") + 0.25).cast("string")
     point = F.concat(F.lit("["), lon, F.lit(","), lat, F.lit("]"))
@@ -220,7 +222,7 @@ def q_not_null_gate(spark, sf_dir):
 
 
 def _events_flow_payloads(spark, sf_dir) -> DataFrame:
-    ev = _load(spark, sf_dir, "events")
+    ev = _load(spark, sf_dir, "events", spread=True)
     k = F.get_json_object("props", "$.k")
     body = F.concat(
         F.lit('{"flowSegmentData":{"frc":"'), F.col("event_type"),
@@ -323,7 +325,7 @@ def q_metrics_health(spark, sf_dir):
 # --------------------------------------------------------------------------- flow layers
 
 def _lineitem_raw(spark, sf_dir) -> DataFrame:
-    li = _load(spark, sf_dir, "lineitem")
+    li = _load(spark, sf_dir, "lineitem", spread=True)
     return li.select(
         F.col("l_returnflag").alias("city"),
         F.date_format("l_shipdate", BATCH_FORMAT).alias("batch_ts"),
