@@ -13,12 +13,19 @@ BATCH_PARTITIONS = ("city", "date", "batch_ts")
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int | None):
-    """Cluster rows by output partition, ``files_per_partition`` files each.
-
-    The extra bucket is a hash of the row itself (not ``rand``), so a task
-    re-run after an executor loss sends every row to the same place again.
+    """Shape the write tasks for the output partitions.
+
+    * ``None`` (default): ``REBALANCE`` by the partition columns -- rows of one
+      output partition go together, and AQE splits a skewed one (a city with a
+      third of the rows) over several tasks and merges small ones.
+    * ``n >= 1``: exactly ``n`` hash buckets per output partition. The bucket is
+      a hash of the row itself (not ``rand``), so a task re-run after an
+      executor loss sends every row to the same place again.
+    * ``0``: write as the data is partitioned, no exchange.
     """
-    if not files_per_partition:
+    if files_per_partition is None:
+        return df.hint("rebalance", *partition_by)
+    if files_per_partition == 0:
         return df
     cols = [F.col(c) for c in partition_by]
     if files_per_partition > 1:
@@ -28,7 +35,7 @@ def _spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int
 
 
 def write_batch(df: DataFrame, path: str, partition_by: Sequence[str] = BATCH_PARTITIONS,
-                files_per_partition: int | None = 1, fmt: str = "parquet") -> None:
+                files_per_partition: int | None = None, fmt: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     With ``batch_ts`` as a partition level a retried batch overwrites its own
@@ -46,7 +53,7 @@ overwrite_batches = write_batch
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("city",),
-                   files_per_partition: int | None = 1) -> None:
+                   files_per_partition: int | None = None) -> None:
     """Replace the whole table."""
     (_spread(df, partition_by, files_per_partition).write
         .mode("overwrite")
@@ -56,7 +63,7 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("cit
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("city",),
-                 files_per_partition: int | None = 1) -> None:
+                 files_per_partition: int | None = None) -> None:
     """Append (not replay safe on its own; see ``append_missing``)."""
     (_spread(df, partition_by, files_per_partition).write
         .mode("append")
@@ -64,14 +71,14 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("city"
         .parquet(path))
 
 
-def write_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("city", "batch_ts")
-              ) -> None:
+def write_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ("city", "batch_ts"),
+              files_per_partition: int | None = None) -> None:
     """Raw JSON lines, one file set per (city, batch), replaced on retry.
 
     Partition values live in directory names; read back with the declared
     schema and ``basePath`` to get them as columns again.
     """
-    (df.repartition(*partition_by).write
+    (_spread(df, partition_by, files_per_partition).write
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
