@@ -166,8 +166,11 @@ def q_alert_text(spark, sf_dir):
                       RF.delay_text("delay_seconds").alias("delay"))
 
 
-def _orders_payloads(spark, sf_dir) -> DataFrame:
-    """One incidents payload (JSON text) per order, built by Spark."""
+def _orders_payloads(spark, sf_dir, batch: str = "day") -> DataFrame:
+    """One incidents payload (JSON text) per order, built by Spark.
+
+    The batch key is the order date (``day``) or its year (``year``).
+    """
     o = _load(spark, sf_dir, "orders", spread=True)
     lon = (F.col("o_custkey") + 0.5).cast("string")
     lat = (F.col("o_orderkey") + 0.25).cast("string")
@@ -194,8 +197,9 @@ def _orders_payloads(spark, sf_dir) -> DataFrame:
         F.lit(',"delay":'), delay, roads,
         F.lit(',"from":"'), F.col("o_orderpriority"), F.lit('","to":"'), F.col("o_orderstatus"),
         F.lit('","startTime":"'), start, F.lit('","endTime":'), end, F.lit("}}]}"))
+    when = F.col("o_orderdate") if batch == "day" else F.date_trunc(batch, "o_orderdate")
     return o.select(F.col("o_orderstatus").alias("city"),
-                    F.date_format("o_orderdate", BATCH_FORMAT).alias("batch_ts"),
+                    F.date_format(when, BATCH_FORMAT).alias("batch_ts"),
                     body.alias("payload"))
 
 
@@ -203,8 +207,8 @@ def q_incident_flatten(spark, sf_dir):
     return payloads.flatten_incidents(_orders_payloads(spark, sf_dir))
 
 
-def q_incident_gold(spark, sf_dir):
-    flat = payloads.flatten_incidents(_orders_payloads(spark, sf_dir))
+def q_incident_gold(spark, sf_dir, batch: str = "day"):
+    flat = payloads.flatten_incidents(_orders_payloads(spark, sf_dir, batch))
     bronze = flat.withColumn("date", RF.batch_date("batch_ts"))
     silver = layers.incident_silver(bronze, run_ts=RUN_TS)
     gold = layers.incident_gold(silver.filter(F.col("reject_reason").isNull()))
@@ -212,6 +216,25 @@ def q_incident_gold(spark, sf_dir):
                              for c in ("start_time", "end_time", "observed_at")})
 
 
+def q_incident_alert(spark, sf_dir):
+    """Payloads -> silver -> gold -> worst accident/closure per group -> alert text."""
+    gold = q_incident_gold(spark, sf_dir, batch="year")
+    return alerts.alert_rows(alerts.worst_incidents(gold))
+
+
+def q_serving_conform(spark, sf_dir):
+    from ..schemas import SERVING_WIDTHS, TRAFFIC_INCIDENTS
+    inc = _orders_incidents(spark, sf_dir).withColumns({
+        "from_road": F.repeat(F.lit("r"), F.pmod(F.col("lon").cast("bigint"), F.lit(300))
+                              .cast("int")),
+        "road_numbers": F.lit("[]"),
+        "end_time": F.lit(None).cast("timestamp_ntz"),
+        "batch_ts": F.date_format("start_time", BATCH_FORMAT),
+    })
+    tagged = quality.conform(inc, TRAFFIC_INCIDENTS, SERVING_WIDTHS["traffic_incidents"])
+    return tagged.select("to_road", F.length("from_road").alias("from_len"), "reject_reason")
+
+
 # --------------------------------------------------------------------------- quality
 
 def q_not_null_gate(spark, sf_dir):
@@ -445,6 +468,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_text": q_alert_text,
     "incident_flatten": q_incident_flatten,
     "incident_gold": q_incident_gold,
+    "incident_alert": q_incident_alert,
+    "serving_conform": q_serving_conform,
     "not_null_gate": q_not_null_gate,
     "payload_flatten": q_payload_flatten,
     "ingest_tallies": q_ingest_tallies,

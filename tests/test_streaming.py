@@ -59,3 +59,27 @@ def test_ingest_available_processes_only_new_files(spark, workdir):
     write_flow_batches(raw, BATCHES[1:2])
     ingest_available(spark, raw, FLOW_RAW, workdir + "/ck", handle).awaitTermination()
     assert sum(seen) == 132 and spark.read.parquet(bronze).count() == 132
+
+
+def test_late_rows_behind_watermark_are_dropped(spark, workdir):
+    """A batch arriving after the watermark moved past its hour is not counted by the stream."""
+    from fixtures import flow_rows, write_jsonl
+    raw = os.path.join(workdir, "raw")
+    ck, out = workdir + "/ck", workdir + "/out"
+    first = [r for r in flow_rows(["20260720T191500", "20260720T221500"]) if r["city"] == "bremen"]
+    write_jsonl(os.path.join(raw, "a.jsonl"), first)
+    agg = lambda: stream_kpi(_stream(spark, raw), "observation_ts", watermark="1 hour",
+                             keys=["city"], aggs=[F.count(F.lit(1)).alias("n")])
+    run_available(agg(), out, ck)
+    late = [r for r in flow_rows(["20260720T193000"]) if r["city"] == "bremen"]
+    write_jsonl(os.path.join(raw, "b.jsonl"), late)          # 19:30 after watermark 21:15
+    run_available(agg(), out, ck)
+    rows = {r.window_start.hour: r.n for r in spark.read.parquet(out).collect()}
+    assert rows == {19: 16}      # the late 19:30 batch is dropped; 22:00 not yet final
+
+
+def test_counted_observation(spark, workdir):
+    from roadpulse.operators import counted
+    df, obs = counted(spark.range(10), "rows")
+    df.write.mode("overwrite").parquet(workdir)
+    assert obs.get["rows"] == 10
