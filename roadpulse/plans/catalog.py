@@ -380,11 +380,17 @@ def q_flow_gold(spark, sf_dir):
 
 
 def q_flow_points(spark, sf_dir):
+    """Heat-map points of the latest hour.
+
+    The hour is cut before the dedup: dedup partitions by ``batch_ts`` and
+    never drops a whole batch, so only the hour's rows need deduplicating.
+    """
     bronze = layers.flow_bronze(_lineitem_raw(spark, sf_dir), run_ts=RUN_TS)
-    silver = layers.flow_silver(bronze.filter(F.col("reject_reason").isNull())
-                                .drop("reject_reason"), run_ts=RUN_TS)
-    hour = batches.latest_hour(silver, RF.batch_timestamp("batch_ts"), within="date")
-    pts = kpi.heatmap_points(hour)
+    feats = layers.silver_features(bronze.filter(F.col("reject_reason").isNull())
+                                   .drop("reject_reason"), run_ts=RUN_TS)
+    ok = feats.filter(F.col("reject_reason").isNull())
+    hour = batches.latest_hour(ok, RF.batch_timestamp("batch_ts"), within="date")
+    pts = kpi.heatmap_points(layers.dedup_silver(hour))
     return pts.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
 
 
