@@ -44,6 +44,24 @@ def build_session(master: str | None = None, app: str = "roadpulse",
     return spark
 
 
+def sizing(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:
+    """Scan-split and shuffle sizing for a job reading ``input_bytes``.
+
+    Splits of ``target_bytes`` keep a task's working set well inside executor
+    memory; the initial shuffle width gives each reducer about one target
+    split (at least two waves of the cluster), and AQE then merges small
+    partitions to the advisory size and splits skewed ones.
+    """
+    splits = max(1, input_bytes // target_bytes)
+    shuffle = max(2 * total_cores, splits)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.sinks import append_missing, write_serving
+from roadpulse.sinks import append_missing, write_metrics, write_serving
+from roadpulse.sources import read_json_documents, read_serving
 from roadpulse.sinks.files import write_batch
 
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -27,7 +28,7 @@ def test_jdbc_roundtrip_and_replay(spark, derby_url):
     except Exception as e:  # pragma: no cover - driver missing
         pytest.skip(f"embedded Derby unavailable: {e}")
     assert [r.reject_reason for r in rejected.collect()] == ["city longer than 64"]
-    existing = spark.read.jdbc(derby_url, "traffic_points", properties=props)
+    existing = read_serving(spark, "traffic_points", derby_url, props)
     assert existing.count() == 2
     fresh = append_missing(pts.limit(2), existing, ["city", "lat", "lon", "observation_ts"])
     assert fresh.count() == 0
@@ -42,3 +43,30 @@ def test_dynamic_overwrite_replaces_only_its_batch(spark, workdir):
     write_batch(b, workdir)
     got = sorted((r.batch_ts, r.v) for r in spark.read.parquet(workdir).collect())
     assert got == [("b1", 1), ("b2", 5)]
+
+
+def test_metrics_sink_parquet_and_jdbc(spark, workdir, derby_url):
+    from roadpulse.operators import batch_metrics
+    df = spark.createDataFrame([("a", "b1", None), ("a", "b1", "null lat")],
+                               "city string, batch_ts string, reject_reason string")
+    m = batch_metrics(df, dag_id="flow", task_id="bronze", run_ts="2026-07-20 19:50:00",
+                      elapsed=1.5)
+    write_metrics(m, path=workdir)
+    write_metrics(m, path=workdir)
+    assert spark.read.parquet(workdir).count() == 2
+    try:
+        write_metrics(m, url=derby_url, properties={"driver": DERBY})
+    except Exception as e:  # pragma: no cover
+        pytest.skip(f"embedded Derby unavailable: {e}")
+    back = read_serving(spark, "pipeline_metrics", derby_url, {"driver": DERBY}).collect()
+    assert back[0]["records_read"] == 2 and back[0]["records_dropped"] == 1
+
+
+def test_multiline_json_documents(spark, workdir):
+    import json
+    import os
+    os.makedirs(workdir, exist_ok=True)
+    with open(os.path.join(workdir, "doc.json"), "w") as f:
+        json.dump([{"city": "berlin", "n": 1}, {"city": "bremen", "n": 2}], f, indent=2)
+    df = read_json_documents(spark, workdir)
+    assert sorted((r.city, r.n) for r in df.collect()) == [("berlin", 1), ("bremen", 2)]
