@@ -177,7 +177,8 @@ def _orders_payloads(spark, sf_dir, batch: str = "day") -> DataFrame:
     point = F.concat(F.lit("["), lon, F.lit(","), lat, F.lit("]"))
     line = F.concat(F.lit("[["), lon, F.lit(","), lat, F.lit("],["), (F.col("o_custkey") + 1.5)
                     .cast("string"), F.lit(","), lat, F.lit("]]"))
-    coords = (F.when(F.pmod("o_orderkey", F.lit(7)) == 0, F.lit("[]"))
+    # pending orders carry an empty coordinate list: the flattener drops them
+    coords = (F.when(F.col("o_orderstatus") == "P", F.lit("[]"))
                .when(F.pmod("o_orderkey", F.lit(2)) == 0, line).otherwise(point))
     gtype = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.lit("LineString")).otherwise(F.lit("Point"))
     delay = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("string")) \
