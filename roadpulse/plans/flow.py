@@ -25,6 +25,7 @@ from ..operators.quality import REJECT_COL
 from ..schemas import FLOW_BRONZE, FLOW_SILVER, TRAFFIC_KPIS, TRAFFIC_POINTS
 from ..sinks.files import append_missing, write_batch, write_raw, write_snapshot
 from ..sinks.jdbc import write_serving
+from ..sources.jdbc import read_serving_or_empty
 from ..sources.files import CORRUPT_COL, read_flow_raw, read_layer
 
 MALFORMED = "malformed json line"
@@ -137,13 +138,16 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
         points = heatmap_points(hour)
         if jdbc_url:
             props = dict(jdbc_properties or {})
-            existing = spark.read.jdbc(jdbc_url, "traffic_points", properties=props)
+            existing = read_serving_or_empty(spark, "traffic_points", jdbc_url, props, TRAFFIC_POINTS)
             new_points = append_missing(points, existing,
                                         ["city", "lat", "lon", "observation_ts"])
             write_serving(new_points.select(*TRAFFIC_POINTS.fieldNames()), "traffic_points",
                           jdbc_url, props)
-            write_serving(gold_back.select(*TRAFFIC_KPIS.fieldNames()), "traffic_kpis",
-                          jdbc_url, props)
+            kpis = gold_back.select(*TRAFFIC_KPIS.fieldNames())
+            known = read_serving_or_empty(spark, "traffic_kpis", jdbc_url, props, TRAFFIC_KPIS)
+            write_serving(append_missing(kpis, known,
+                                         ["city", "road_id", "frc", "observation_ts"]),
+                          "traffic_kpis", jdbc_url, props)
         read = hour.groupBy("city").agg(F.count(F.lit(1)).alias("records_read"),
                                         F.max("batch_ts").alias("batch_id"))
         wrote = gold_back.groupBy("city").agg(F.count(F.lit(1)).alias("records_written"))

@@ -18,6 +18,7 @@ from ..operators.quality import REJECT_COL, tag_rejects
 from ..schemas import INCIDENT_BRONZE, INCIDENT_SILVER, TRAFFIC_INCIDENTS
 from ..sinks.files import append_missing, write_batch, write_raw
 from ..sinks.jdbc import write_serving
+from ..sources.jdbc import read_serving_or_empty
 from ..sources.files import read_incident_raw, read_layer
 from .flow import JobResult
 
@@ -43,8 +44,11 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
                dag_id: str = "incidents", run_id: str = "") -> JobResult:
     t0 = time.time()
     raw = read_incident_raw(spark, raw_path)
-    tagged = tag_rejects(latest_batch(raw, "batch_ts"), bronze_rules()) \
-        .withColumn("date", batch_date("batch_ts")).persist(StorageLevel.MEMORY_AND_DISK)
+    # as in the original, bronze keeps rows with null keys (silver gates them);
+    # only a batch key that cannot be parsed is rejected here
+    dated = latest_batch(raw, "batch_ts").withColumn("date", batch_date("batch_ts"))
+    tagged = tag_rejects(dated, bronze_rules(required=(), date_col="date")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_batch(tagged.filter(F.col(REJECT_COL).isNull())
                     .select(*INCIDENT_BRONZE.fieldNames()), bronze_path)
@@ -90,7 +94,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
     rejected = None
     if jdbc_url:
         props = dict(jdbc_properties or {})
-        existing = spark.read.jdbc(jdbc_url, "traffic_incidents", properties=props)
+        existing = read_serving_or_empty(spark, "traffic_incidents", jdbc_url, props, TRAFFIC_INCIDENTS)
         keys = [c for c in TRAFFIC_INCIDENTS.fieldNames()]
         fresh = append_missing(latest, existing.select(*keys), keys, prune_by=["batch_ts"])
         rejected = write_serving(fresh, "traffic_incidents", jdbc_url, props)

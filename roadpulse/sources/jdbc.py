@@ -15,3 +15,17 @@ def read_serving(spark: SparkSession, table: str, url: str, properties: dict | N
                                upperBound=upper_bound, numPartitions=num_partitions,
                                properties=props)
     return spark.read.jdbc(url, table, properties=props)
+
+
+def read_serving_or_empty(spark: SparkSession, table: str, url: str, properties: dict | None,
+                          schema) -> DataFrame:
+    """The serving table, or an empty frame of ``schema`` when it does not exist yet."""
+    try:
+        df = read_serving(spark, table, url, properties)
+        df.schema  # resolves the table
+        return df
+    except Exception as e:  # table not created yet (first run)
+        text = str(e).lower()
+        if "not exist" in text or "not found" in text or "no such table" in text:
+            return spark.createDataFrame([], schema)
+        raise

@@ -88,11 +88,15 @@ def test_incident_path_and_alert(spark, workdir):
     new += [incident("bremen", "20260720T203000", "7", 10.0, "W", "X", 53.0, 8.8, "2026-07-20T18:00:00Z"),
             incident("bremen", "20260720T203000", "9", None, "", None, 53.0, 8.8,
                      "2026-07-20T18:00:00Z", "2026-07-21T18:00:00Z", roads=["A1", "E22"])]
+    new.append(incident("bremen", "20260720T203000", "8", 5.0, "Nolat", "X", None, 8.8,
+                        "2026-07-20T18:00:00Z"))
     write_jsonl(os.path.join(raw, "inc_bremen_1.jsonl"), old)
     write_jsonl(os.path.join(raw, "inc_bremen_2.jsonl"), new)
-    incidents.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    b = incidents.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    assert b.output.count() == 8          # bronze keeps the null-lat row
     s = incidents.run_silver(spark, bronze, silver, run_ts=RUN)
-    assert s.output.count() == 7
+    assert s.output.count() == 7          # silver gates it
+    assert sum(r.records_dropped for r in s.metrics.collect()) == 1
     assert s.output.filter("category = '8'").count() == 5
     g = incidents.run_gold(spark, silver, gold, run_ts=RUN)
     g2 = incidents.run_gold(spark, silver, gold, run_ts=RUN)   # replay
