@@ -138,13 +138,21 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
         points = heatmap_points(hour)
         if jdbc_url:
             props = dict(jdbc_properties or {})
-            existing = read_serving_or_empty(spark, "traffic_points", jdbc_url, props, TRAFFIC_POINTS)
+            # one scalar (start of the hour) bounds the serving-table reads below;
+            # as a literal it is pushed into the JDBC query's WHERE clause
+            since = points.agg(F.min("observation_ts")).first()[0]
+            existing = read_serving_or_empty(spark, "traffic_points", jdbc_url, props,
+                                             TRAFFIC_POINTS)
+            if since is not None:
+                existing = existing.filter(F.col("observation_ts") >= F.lit(since))
             new_points = append_missing(points, existing,
                                         ["city", "lat", "lon", "observation_ts"])
             write_serving(new_points.select(*TRAFFIC_POINTS.fieldNames()), "traffic_points",
                           jdbc_url, props)
             kpis = gold_back.select(*TRAFFIC_KPIS.fieldNames())
             known = read_serving_or_empty(spark, "traffic_kpis", jdbc_url, props, TRAFFIC_KPIS)
+            if since is not None:
+                known = known.filter(F.col("observation_ts") >= F.lit(since))
             write_serving(append_missing(kpis, known,
                                          ["city", "road_id", "frc", "observation_ts"]),
                           "traffic_kpis", jdbc_url, props)

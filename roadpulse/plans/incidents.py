@@ -94,9 +94,13 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
     rejected = None
     if jdbc_url:
         props = dict(jdbc_properties or {})
-        existing = read_serving_or_empty(spark, "traffic_incidents", jdbc_url, props, TRAFFIC_INCIDENTS)
+        existing = read_serving_or_empty(spark, "traffic_incidents", jdbc_url, props,
+                                         TRAFFIC_INCIDENTS)
+        # the batch key as a literal is pushed into the JDBC query's WHERE clause
+        batch = latest.agg(F.max("batch_ts")).first()[0]
+        existing = existing.filter(F.col("batch_ts") == F.lit(batch))
         keys = [c for c in TRAFFIC_INCIDENTS.fieldNames()]
-        fresh = append_missing(latest, existing.select(*keys), keys, prune_by=["batch_ts"])
+        fresh = append_missing(latest, existing.select(*keys), keys)
         rejected = write_serving(fresh, "traffic_incidents", jdbc_url, props)
     metrics = batch_metrics(latest.withColumn(REJECT_COL, F.lit(None).cast("string")),
                             dag_id=dag_id, task_id="gold", run_id=run_id, run_ts=run_ts,

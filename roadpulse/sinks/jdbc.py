@@ -26,6 +26,11 @@ def write_serving(df: DataFrame, table: str, url: str, properties: dict | None =
         rejected = tagged.filter(F.col(REJECT_COL).isNotNull())
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
+    widths = SERVING_WIDTHS.get(name)
+    if widths:
+        # if Spark has to create the table, give text columns the DDL widths
+        props.setdefault("createTableColumnTypes",
+                         ", ".join(f"{c} VARCHAR({n})" for c, n in widths.items()))
     if num_partitions:
         props["numPartitions"] = str(num_partitions)
     rows.write.jdbc(url, table, mode=mode, properties=props)
