@@ -390,7 +390,8 @@ def q_flow_points(spark, sf_dir):
     feats = layers.silver_features(bronze.filter(F.col("reject_reason").isNull())
                                    .drop("reject_reason"), run_ts=RUN_TS)
     ok = feats.filter(F.col("reject_reason").isNull())
-    hour = batches.latest_hour(ok, RF.batch_timestamp("batch_ts"), within="date")
+    # no ``within=``: here ``date`` is computed, not a partition column to prune
+    hour = batches.latest_hour(ok, RF.batch_timestamp("batch_ts"))
     pts = kpi.heatmap_points(layers.dedup_silver(hour))
     return pts.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
 
