@@ -1,6 +1,8 @@
 """Structured Streaming forms of the micro-batch jobs."""
 
+from .flow import flow_kpi_stream, run_flow_stream
 from .ingest import ingest_available, run_available
 from .kpi import stream_dedup, stream_kpi
 
-__all__ = ["ingest_available", "run_available", "stream_dedup", "stream_kpi"]
+__all__ = ["flow_kpi_stream", "ingest_available", "run_available", "run_flow_stream",
+           "stream_dedup", "stream_kpi"]

@@ -83,3 +83,25 @@ def test_counted_observation(spark, workdir):
     df, obs = counted(spark.range(10), "rows")
     df.write.mode("overwrite").parquet(workdir)
     assert obs.get["rows"] == 10
+
+
+def test_incremental_flow_job_equals_batch(spark, workdir):
+    """Two runs over growing input, with a duplicated file, give the batch gold."""
+    from roadpulse.operators import hourly_segment_kpis
+    from roadpulse.operators.layers import flow_bronze, flow_silver
+    from roadpulse.streaming import run_flow_stream
+    raw = os.path.join(workdir, "raw")
+    gold, ck = workdir + "/gold", workdir + "/ck"
+    write_flow_batches(raw, BATCHES[:2])
+    run_flow_stream(spark, raw, gold, ck)
+    write_flow_batches(raw, BATCHES)                      # rewrites 1-2, adds 3-4
+    write_flow_batches(os.path.join(raw, "dup"), BATCHES[2:3])   # same samples twice
+    write_flow_batches(raw, ["20260720T211500"])          # moves the watermark past 20:00
+    run_flow_stream(spark, raw, gold, ck)
+    out = spark.read.parquet(gold)
+    assert out.count() == 66 and out.filter("road_segments != 4").count() == 0
+    batch_rows = spark.read.schema(FLOW_RAW).json(raw + "/*.jsonl").filter("batch_ts < '20260720T2'")
+    b = hourly_segment_kpis(flow_silver(flow_bronze(batch_rows).drop("reject_reason")))
+    want = sorted((r.road_id, r.current_speed, r.road_segments) for r in b.collect())
+    got = sorted((r.road_id, round(r.current_speed, 2), r.road_segments) for r in out.collect())
+    assert got == want
