@@ -102,6 +102,8 @@ def test_incremental_flow_job_equals_batch(spark, workdir):
     assert out.count() == 66 and out.filter("road_segments != 4").count() == 0
     batch_rows = spark.read.schema(FLOW_RAW).json(raw + "/*.jsonl").filter("batch_ts < '20260720T2'")
     b = hourly_segment_kpis(flow_silver(flow_bronze(batch_rows).drop("reject_reason")))
-    want = sorted((r.road_id, r.current_speed, r.road_segments) for r in b.collect())
-    got = sorted((r.road_id, round(r.current_speed, 2), r.road_segments) for r in out.collect())
+    want = sorted((r.road_id, r.current_speed, r.speed_ratio, r.road_segments)
+                  for r in b.collect())
+    got = sorted((r.road_id, round(r.current_speed, 2), r.speed_ratio, r.road_segments)
+                 for r in out.collect())
     assert got == want
