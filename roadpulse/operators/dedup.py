@@ -12,7 +12,7 @@ from ..functions._cols import as_col
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (),
              tie_breakers: Sequence[str | Column] | None = None,
-             rank_col: str = "__rn") -> DataFrame:
+             rank_col: str = "__rn", hash_lead: bool = True) -> DataFrame:
     """One row per ``keys``: the first under ``order`` then ``tie_breakers``.
 
     Without explicit tie-breakers every remaining column (ascending, nulls
@@ -30,7 +30,12 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] =
                    for c in tie_breakers]
     if not order_cols:
         order_cols = [F.lit(1)]
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    # a 64-bit hash of the keys leads the partition spec: the same groups, but the
+    # sorts before and after the shuffle compare one long (radix-sortable) first
+    # instead of long text keys
+    part = ([F.xxhash64(*[F.col(k) for k in keys])] if hash_lead and keys else []) + \
+        [F.col(k) for k in keys]
+    w = Window.partitionBy(*part).orderBy(*order_cols)
     return (df.withColumn(rank_col, F.row_number().over(w))
               .filter(F.col(rank_col) == 1)
               .drop(rank_col))
