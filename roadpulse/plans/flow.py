@@ -76,14 +76,17 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
         write_batch(accepted, bronze_path)
         rejected = tagged.filter(F.col(REJECT_COL).isNotNull())
         if reject_path:
-            write_batch(rejected.drop("date").withColumn("date", F.current_date()),
-                        reject_path, partition_by=("date",))
+            # one partition per run: a retried run replaces exactly its own rejects
+            run_key = run_id or (str(run_ts) if run_ts is not None else "adhoc")
+            write_batch(rejected.withColumn("run", F.lit(run_key)), reject_path,
+                        partition_by=("run",))
         metrics = batch_metrics(tagged, dag_id=dag_id, task_id="bronze", run_id=run_id,
                                 run_ts=run_ts, elapsed=round(time.time() - t0, 3)).cache()
         metrics.count()
     finally:
         tagged.unpersist()
-    return JobResult(read_layer(spark, bronze_path, FLOW_BRONZE), metrics)
+    rejects = spark.read.parquet(reject_path) if reject_path else None
+    return JobResult(read_layer(spark, bronze_path, FLOW_BRONZE), metrics, rejects)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,

@@ -56,9 +56,13 @@ def test_bronze_rejects_are_counted(spark, workdir):
     rows[0]["lat"] = None
     rows[1]["city"] = None
     write_flow_batches(raw, BATCHES[-1:], rows=rows, extra_lines=["{not json"])
-    res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    rejects = os.path.join(workdir, "rejects")
+    res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN, reject_path=rejects)
+    res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN, reject_path=rejects)
     m = res.metrics.collect()
     assert sum(r.records_dropped for r in m) == 3
+    reasons = sorted(r.reject_reason for r in res.rejected.collect())   # replay: still 3
+    assert reasons == ["malformed json line", "null city", "null lat"]
     assert sum(r.records_written for r in m) == 64
     assert res.output.count() == 64
     assert res.output.schema == FLOW_BRONZE or set(res.output.columns) == set(FLOW_BRONZE.fieldNames())
