@@ -184,3 +184,26 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
     # points stay lazy: re-deriving them re-reads only the pruned hour slice
     points = heatmap_points(latest_hour(silver, batch_timestamp("batch_ts"), within="date"))
     return gold_back, points, metrics
+
+
+def bronze_batch_handler(bronze_path: str, metrics_path: str | None = None,
+                         dag_id: str = "flow"):
+    """``foreachBatch`` function for ``streaming.ingest_available``.
+
+    Each micro-batch of new raw rows is gated, written with dynamic overwrite
+    (a replayed micro-batch replaces its own partitions) and, optionally,
+    counted into metrics rows keyed by the micro-batch id.
+    """
+    def handle(df: DataFrame, batch_id: int) -> None:
+        tagged = flow_bronze(df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
+                        .select(*[f.name for f in FLOW_BRONZE.fields]), bronze_path)
+            if metrics_path:
+                m = batch_metrics(tagged, dag_id=dag_id, task_id="bronze",
+                                  run_id=f"microbatch-{batch_id}")
+                write_batch(m.withColumn("micro_batch", F.lit(batch_id)), metrics_path,
+                            partition_by=("micro_batch",))
+        finally:
+            tagged.unpersist()
+    return handle

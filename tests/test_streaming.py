@@ -107,3 +107,16 @@ def test_incremental_flow_job_equals_batch(spark, workdir):
     got = sorted((r.road_id, round(r.current_speed, 2), r.speed_ratio, r.road_segments)
                  for r in out.collect())
     assert got == want
+
+
+def test_ingest_into_bronze_with_metrics(spark, workdir):
+    from roadpulse.plans.flow import bronze_batch_handler
+    raw, bronze, met = (os.path.join(workdir, p) for p in ("raw", "bronze", "metrics"))
+    handler = bronze_batch_handler(bronze, met)
+    write_flow_batches(raw, BATCHES[:1])
+    ingest_available(spark, raw, FLOW_RAW, workdir + "/ck", handler).awaitTermination()
+    write_flow_batches(raw, BATCHES[1:2])
+    ingest_available(spark, raw, FLOW_RAW, workdir + "/ck", handler).awaitTermination()
+    assert spark.read.parquet(bronze).count() == 132
+    m = spark.read.parquet(met)
+    assert m.count() == 6 and m.agg(F.sum("records_written")).first()[0] == 132
