@@ -316,6 +316,23 @@ def q_grid_coverage(spark, sf_dir):
     return grid.coverage_gaps(expected, ev, ["event_type", "hour"])
 
 
+def q_grid_coverage_summary(spark, sf_dir):
+    """Per (site, batch): grid points expected, received and missing.
+
+    Each line item is a sample at grid point ``l_linenumber - 1`` of its
+    supplier's site, in batch ``l_returnflag``; indexes beyond the grid fall
+    outside it and are not received points.
+    """
+    g = grid.sampling_grid(_supplier_sites(spark, sf_dir))
+    li = _load(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag")
+    sup = _load(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    samples = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+        F.col("s_name").alias("city"), (F.col("l_linenumber") - 1).alias("point_index"),
+        F.col("l_returnflag").alias("batch_ts"))
+    received = samples.join(g, ["city", "point_index"]).select("city", "lat", "lon", "batch_ts")
+    return grid.grid_coverage(g, received)
+
+
 def q_batch_metrics(spark, sf_dir):
     ev = _events_batched(spark, sf_dir, "1 hour").withColumnRenamed("event_type", "city")
     rules = [("value below 1", F.col("value") >= 1.0),
@@ -484,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid": q_grid,
     "site_validation": q_site_validation,
     "grid_coverage": q_grid_coverage,
+    "grid_coverage_summary": q_grid_coverage_summary,
     "batch_metrics": q_batch_metrics,
     "metrics_health": q_metrics_health,
     "flow_silver": q_flow_silver,
