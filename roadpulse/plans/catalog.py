@@ -477,6 +477,25 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
+# --------------------------------------------------------------------------- jobs
+
+def q_silver_job_metrics(spark, sf_dir):
+    """Raw files -> bronze job -> silver job; the silver job's metrics rows.
+
+    Monthly batches of lineitem samples are written as raw JSON, then the
+    jobs process the newest batch only (as scheduled runs do).
+    """
+    from . import flow
+    raw_rows = _lineitem_raw(spark, sf_dir).withColumn(
+        "batch_ts", F.concat(F.substring("batch_ts", 1, 6), F.lit("01T000000")))
+    root = scratch_path(spark, "silver_job")
+    sink_files.write_raw(raw_rows, f"{root}/raw")
+    flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
+    res = flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS)
+    return res.metrics.select("city", "batch_id", "records_read", "records_written",
+                              "records_dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_kpi": q_hourly_kpi,
     "speed_ratio": q_speed_ratio,
@@ -509,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_points": q_flow_points,
     "sink_roundtrip": q_sink_roundtrip,
     "idempotent_write": q_idempotent_write,
+    "silver_job_metrics": q_silver_job_metrics,
     "stream_hourly": q_stream_hourly,
     "stream_dedup": q_stream_dedup,
 }

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import batch_timestamp
-from ..operators.batches import latest_batch, latest_hour
+from ..operators.batches import latest_batch, latest_hour, max_key
 from ..operators.kpi import heatmap_points, hourly_segment_kpis
 from ..operators.layers import dedup_silver, flow_bronze, silver_features
 from ..operators.metrics import batch_metrics, ingestion_tallies
@@ -66,8 +66,18 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
     """Latest raw batch -> bronze (city/date/batch_ts partitions)."""
     t0 = time.time()
     raw = read_flow_raw(spark, raw_path, keep_corrupt=True)
-    latest = latest_batch(raw.filter(F.col(CORRUPT_COL).isNull()), "batch_ts", by=latest_by)
-    bad_lines = raw.filter(F.col(CORRUPT_COL).isNotNull())
+    good = F.col(CORRUPT_COL).isNull()
+    if latest_by is None:
+        # max over every row (nulls ignored): a scan that needs only the corrupt
+        # column is not allowed, and batch_ts may be a directory (partition) value
+        newest = max_key(raw, "batch_ts")
+        latest = raw.filter((F.col("batch_ts") == newest) & good)
+        # malformed lines of this batch, or of unknown batch (batch_ts in the line)
+        bad_lines = raw.filter(~good & (F.col("batch_ts").isNull()
+                                        | (F.col("batch_ts") == newest)))
+    else:
+        latest = latest_batch(raw, "batch_ts", by=latest_by).filter(good)
+        bad_lines = raw.filter(~good)
     tagged = _with_malformed(flow_bronze(latest.unionByName(bad_lines), run_ts))
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:

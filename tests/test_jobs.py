@@ -124,3 +124,21 @@ def test_ingest_payload_tallies(spark, workdir):
     back = read_flow_raw(spark, raw, basePath=raw).collect()
     assert len(back) == 1 and back[0].city == "berlin" and back[0].batch_ts == "20260720T191500"
     assert back[0].road_closure is False and back[0].confidence == 1.0
+
+
+def test_bronze_on_partitioned_raw_with_malformed_line(spark, workdir):
+    """Raw files in city=/batch_ts= folders (as write_raw lays them out)."""
+    from roadpulse.sinks.files import write_raw
+    from roadpulse.schemas import FLOW_RAW
+    raw = os.path.join(workdir, "raw")
+    rows = [r for r in flow_rows(BATCHES[-2:])]
+    write_raw(spark.createDataFrame(rows, FLOW_RAW), raw)
+    bad_dir = os.path.join(raw, "city=bremen", f"batch_ts={BATCHES[-1]}")
+    with open(os.path.join(bad_dir, "extra.json"), "w") as f:
+        f.write("{broken\n")
+    for by in (None, ["city"]):
+        bronze = os.path.join(workdir, f"bronze_{by is None}")
+        res = flow.run_bronze(spark, raw, bronze, run_ts=RUN, latest_by=by)
+        m = {r.city: r for r in res.metrics.collect()}
+        assert res.output.count() == 66
+        assert m["bremen"].records_dropped == 1 and m["bremen"].records_written == 16
