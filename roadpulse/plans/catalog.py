@@ -496,6 +496,21 @@ def q_silver_job_metrics(spark, sf_dir):
                               "records_dropped")
 
 
+def q_incident_job_alert(spark, sf_dir):
+    """Payloads -> raw files -> incident bronze / silver / gold jobs -> alert rows.
+
+    Same answer as ``incident_alert`` (operators only), through the jobs.
+    """
+    from . import incidents
+    root = scratch_path(spark, "incident_job")
+    incidents.ingest_payloads(_orders_payloads(spark, sf_dir, batch="year"), f"{root}/raw")
+    incidents.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
+    incidents.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS)
+    gold = incidents.run_gold(spark, f"{root}/silver", f"{root}/gold", run_ts=RUN_TS)
+    _, text, _ = incidents.run_alert(gold.output)
+    return text.withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_kpi": q_hourly_kpi,
     "speed_ratio": q_speed_ratio,
@@ -529,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_roundtrip": q_sink_roundtrip,
     "idempotent_write": q_idempotent_write,
     "silver_job_metrics": q_silver_job_metrics,
+    "incident_job_alert": q_incident_job_alert,
     "stream_hourly": q_stream_hourly,
     "stream_dedup": q_stream_dedup,
 }
