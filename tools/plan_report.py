@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from __spark_entry__ import queries  # noqa: E402
 from roadpulse.session import build_session  # noqa: E402
 
-SIDE_EFFECTS = {"sink_roundtrip", "idempotent_write", "stream_hourly", "stream_dedup"}
+SIDE_EFFECTS = {"sink_roundtrip", "idempotent_write", "stream_hourly", "stream_dedup",
+                "silver_job_metrics", "incident_job_alert"}
 
 
 def summary(plan: str) -> dict:
