@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # round-robin repartition stays deterministic when a task is re-run
+    "spark.sql.execution.sortBeforeRepartition": "true",
     # remove reliable-checkpoint files once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
