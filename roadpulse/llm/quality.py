@@ -20,13 +20,15 @@ MAX_REPEAT_PERCENT = 50
 GUARD_WORDS = 50
 #: allowed distances: a fixed part and one that shrinks with the square root of the words
 CLASS_LIMIT, CLASS_NOISE = 0.15, 1.0
-WORD_LIMIT, WORD_NOISE = 0.25, 3.0
-#: most frequent words in a language's reference
-COMMON = 32
+WORD_LIMIT, WORD_NOISE = 0.22, 2.0
+#: a language's reference holds its most frequent words of at most so many characters
+COMMON, SHORT = 16, 4
+#: repeated windows up to which each window is looked up in their list
+FEW = 32
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: character classes counted in a text; white space and all the rest are two more
-CLASSES = {"upper": r"\p{Lu}", "digit": "[0-9]", "stop": "[.,;:!?]", "symbol": "[#*$%&|<>]"}
+CLASSES = {"upper": r"\p{Lu}", "digit": "[0-9]", "symbol": "[#*$%&|<>]"}
 
 
 def words_of(text: Column) -> Column:
@@ -49,24 +51,37 @@ def duplicate_lines(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words covered by the 3-word windows that the text holds twice or more.
 
-    The windows are sorted (by hash, then by words), so equal ones are neighbours;
-    the first places of those, in order, give the words covered.
+    Windows are compared by 64-bit hashes. Sorting these shows the repeated ones;
+    a few are looked up window by window, many are found by sorting the places
+    along with the hashes. The places, in order, give the words covered.
     """
-    def window(i: Column) -> Column:
-        words3 = F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-        return let(words3, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"), i.alias("i")))
-
-    windows = F.when(F.size(words) >= 3,
-                     F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
-    same = lambda x, y: (x["h"] == y["h"]) & (x["g"] == y["g"])
-    repeated = let(F.array_sort(windows), lambda s: F.filter(
-        s, lambda x, k: F.coalesce(same(x, F.get(s, k - 1)), F.lit(False))
-        | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False))))
-    places = F.array_sort(F.transform(repeated, lambda x: x["i"]))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last"))
-    total = F.aggregate(places, start, lambda a, p: F.struct(
-        (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last")), lambda a: a["n"])
-    return F.coalesce(total, F.lit(0).cast("long"))
+    last = F.size(words) - 3
+    hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
+        F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
+
+    def looked_up(h: Column, repeated: Column) -> Column:
+        marked = F.transform(h, lambda x, i: F.when(F.array_contains(repeated, x), i))
+        return F.filter(marked, lambda i: i.isNotNull())
+
+    def sorted_along(h: Column) -> Column:
+        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        found = let(pairs, lambda s: F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]).eqNullSafe(True)
+                                              | (x["h"] == F.get(s, k + 1)["h"]).eqNullSafe(True)))
+        return F.array_sort(F.transform(found, lambda x: x["i"]))
+
+    def covered(places: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last"))
+        return F.aggregate(places, start, lambda a, p: F.struct(
+            (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last")), lambda a: a["n"])
+
+    def count(h: Column) -> Column:
+        repeated = let(F.sort_array(h), lambda s: F.array_distinct(
+            F.filter(s, lambda x, k: (x == F.get(s, k - 1)).eqNullSafe(True))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(
+            let(repeated, lambda r: covered(
+                F.when(F.size(r) <= FEW, looked_up(h, r)).otherwise(sorted_along(h)))))
+
+    return F.coalesce(let(hashes, count), F.lit(0).cast("long"))
 
 
 def _facts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -96,7 +111,8 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
         .where(F.col("n_words") >= GUARD_WORDS).withColumn("lang", F.col("row.lang"))
     classes = facts.groupBy("lang").agg(
         F.sum("n_words").alias("total"), *[F.sum(k).cast("double").alias(k) for k in HISTOGRAM])
-    counts = facts.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").count()
+    counts = (facts.select("lang", F.explode("words").alias("word"))
+              .where(F.length("word") <= SHORT).groupBy("lang", "word").count())
     top = _top(counts, common)
     chars = sum(F.col(k) for k in HISTOGRAM)
     both = classes.join(top, F.col("lang").eqNullSafe(F.col("top_lang")))
@@ -147,7 +163,8 @@ def quality(docs: DataFrame, references: DataFrame | None = None, text_col: str
     facts = facts.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     n, chars = F.col("n_words"), sum(F.col(k) for k in HISTOGRAM)
     judged = (n >= GUARD_WORDS) & F.col("ref_words").isNotNull()
-    counts = let(F.filter("words", lambda w: F.array_contains(F.col("ref_words"), w)), lambda c: F.transform(
+    short = F.filter("words", lambda w: (F.length(w) <= SHORT) & F.array_contains(F.col("ref_words"), w))
+    counts = let(short, lambda c: F.transform(
         "ref_words", lambda t: F.size(F.filter(c, lambda w: w == t))))
     shares = let(counts, lambda c: F.concat(
         F.transform(c, lambda x: x / n),
