@@ -23,6 +23,8 @@ CLASS_LIMIT, CLASS_NOISE = 0.15, 1.0
 WORD_LIMIT, WORD_NOISE = 0.22, 2.0
 #: a language's reference holds its most frequent words of at most so many characters
 COMMON, SHORT = 16, 4
+#: languages up to which the references are broadcast
+BROADCAST_LANGUAGES = 2_000
 #: repeated windows up to which each window is looked up in their list
 FEW = 32
 
@@ -160,7 +162,9 @@ def quality(docs: DataFrame, references: DataFrame | None = None, text_col: str
     refs = saved(references if references is not None else language_references(docs, text_col, lang_col))
     refs = refs.withColumnRenamed("lang", "ref_lang")
     facts = _facts(docs, text_col).withColumn("lang", F.col("row")[lang_col].cast("string"))
-    facts = facts.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    # a reference is under 2 KB: sent to every task while that is a few MB at most, else joined by shuffle
+    small = refs.count() <= BROADCAST_LANGUAGES
+    facts = facts.join(F.broadcast(refs) if small else refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     n, chars = F.col("n_words"), sum(F.col(k) for k in HISTOGRAM)
     judged = (n >= GUARD_WORDS) & F.col("ref_words").isNotNull()
     short = F.filter("words", lambda w: (F.length(w) <= SHORT) & F.array_contains(F.col("ref_words"), w))
