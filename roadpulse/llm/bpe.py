@@ -239,7 +239,7 @@ class BytePairs:
         new: set[str] = set()
         for text in texts:
             if text:
-                new.update(set(stretches(text)) - self.words.keys())
+                new.update(set(stretches(text)).difference(self.words))
         self._learn(list(new))
         known = self.words
         for text in texts:

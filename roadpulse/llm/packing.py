@@ -95,7 +95,7 @@ class WordTokenizer:
         new: set[str] = set()
         for words in split:
             new.update(words)
-        self._learn([w for w in new - self.words.keys() if w])
+        self._learn([w for w in new.difference(self.words) if w])
         known = self.words
         known[""] = b""
         for words in split:
