@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, simhash
+from . import bpe, language_id, packing, pii, quality, simhash
 from ._util import table
 
 
@@ -20,6 +20,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.PATTERN, capacity=2048)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -33,6 +37,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_packing, op7_bpe, op9_quality)}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_simhash, op5_packing, op6_pii, op7_bpe, op9_quality, op10_language)}
 #: DuckDB SQL of the queries that SQL can express
 ORACLE_SQL: dict[str, str] = {}
