@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, packing, pii, quality, simhash
+from . import bpe, language_id, line_dedup, packing, pii, quality, simhash
 from ._util import table
 
 
@@ -30,6 +30,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "text")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.quality(docs).select(
@@ -42,6 +47,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_simhash, op5_packing, op6_pii, op7_bpe, op9_quality, op10_language)}
+    op3_simhash, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
 #: DuckDB SQL of the queries that SQL can express
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op8_line_dedup": line_dedup.oracle_sql()}
