@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
 
+def known_to_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies.
+
+    On a cluster it is installed on the executors like any other package, and
+    this path, absent there, does nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    known_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
