@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, line_dedup, packing, pii, quality, simhash
+from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, packing, pii, quality, simhash
 from ._util import table
 
 
@@ -14,6 +14,10 @@ def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -51,6 +55,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_rp_forest, op3_simhash, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
+    op1_rp_forest, op2_license_scan, op3_simhash, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
 #: DuckDB SQL of the queries that SQL can express
 ORACLE_SQL = {"op8_line_dedup": line_dedup.oracle_sql()}
