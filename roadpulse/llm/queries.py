@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, packing, pii, quality, simhash
+from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, packing, pii, quality, simhash, substring_dedup
 from ._util import table
 
 
@@ -22,6 +22,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.json"),
@@ -55,6 +59,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_rp_forest, op2_license_scan, op3_simhash, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
+    op1_rp_forest, op2_license_scan, op3_simhash, op4_substring, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
 #: DuckDB SQL of the queries that SQL can express
 ORACLE_SQL = {"op8_line_dedup": line_dedup.oracle_sql()}
