@@ -57,6 +57,10 @@ def repeated_words(words: Column) -> Column:
     a few are looked up window by window, many are found by sorting the places
     along with the hashes. The places, in order, give the words covered.
     """
+    return let(words, _repeated)
+
+
+def _repeated(words: Column) -> Column:
     last = F.size(words) - 3
     hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
         F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
