@@ -3,14 +3,14 @@
 from .keys import stable_key
 from .labels import (ALERT_CATEGORIES, CATEGORY_NAMES, category_name, delay_text,
                      location_text)
-from .measures import (CONGESTED_BELOW, LEVEL_BOUNDS, any_true, level, safe_ratio)
+from .measures import (CONGESTED_BELOW, LEVEL_BOUNDS, level, safe_ratio)
 from .payload import json_list_text
 from .times import (batch_date, batch_key, batch_timestamp, batch_timestamp_ntz,
-                    hour_of, iso_timestamp, stamp)
+                    iso_timestamp, stamp)
 
 __all__ = [
     "ALERT_CATEGORIES", "CATEGORY_NAMES", "CONGESTED_BELOW", "LEVEL_BOUNDS",
-    "any_true", "batch_date", "batch_key", "batch_timestamp", "batch_timestamp_ntz",
-    "category_name", "delay_text", "hour_of", "iso_timestamp", "json_list_text",
+    "batch_date", "batch_key", "batch_timestamp", "batch_timestamp_ntz",
+    "category_name", "delay_text", "iso_timestamp", "json_list_text",
     "level", "location_text", "safe_ratio", "stable_key", "stamp",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._cols import as_col
@@ -43,24 +43,36 @@ def level(c, bounds: Sequence[tuple[float, str]] = LEVEL_BOUNDS,
     return expr.otherwise(F.lit(otherwise)) if expr is not None else F.lit(otherwise)
 
 
-def exact_mean_parts(c, scale: int = 3) -> tuple[Column, Column]:
-    """Aggregates (sum in units of 10^-scale, count) of values that carry ``scale`` decimals.
+# Decimals kept of every value that enters an exact mean.
+MEAN_SCALE = 6
 
-    Integer sums are exact and do not depend on the order rows are combined
+
+def exact_mean_parts(c, scale: int = MEAN_SCALE) -> tuple[Column, Column]:
+    """Aggregates (sum in units of 10^-scale, count) of values with at most ``scale`` decimals.
+
+    Decimal sums are exact and do not depend on the order rows are combined
     in, unlike a double sum, so the rounded mean is the same on any
     partitioning (see ``exact_mean_round``).
     """
     x = as_col(c)
-    units = F.round(x * (10 ** scale)).cast("bigint")
-    return F.sum(units), F.count(x)
-
-
-def exact_mean_round(units: str, n: str, scale: int = 3) -> Column:
-    """HALF_UP mean of ``units / n`` at ``scale`` decimals, exactly, as a double."""
-    q = F.expr(f"(2 * abs(`{units}`) + `{n}`) div (2 * `{n}`)") * F.signum(F.col(units))
-    return F.when(F.col(n) > 0, q.cast("double") / float(10 ** scale))
-
-
-def any_true(c) -> Column:
-    """Aggregate: true when at least one value is true; nulls count as false."""
-    return F.count_if(as_col(c)) > 0
+    return F.sum(F.round(x * (10 ** scale)).cast("decimal(20,0)")), F.count(x)
+
+
+def exact_mean_round(units: str, n: str, places: int = 3, scale: int = MEAN_SCALE) -> Column:
+    """HALF_UP mean of ``units / n`` at ``places`` decimals, exactly, as a double."""
+    k = 10 ** (scale - places)
+    q = F.expr(f"(2 * abs(`{units}`) + `{n}` * {k}) div (2 * `{n}` * {k})") * F.signum(F.col(units))
+    return F.when(F.col(n) > 0, q.cast("double") / float(10 ** places))
+
+
+def exact_means(df: DataFrame, groups: Sequence[Column | str], means: dict[str, tuple],
+                others: Sequence[Column] = ()) -> DataFrame:
+    """Group and aggregate with exact means: ``means`` maps a name to (value, decimals)."""
+    parts = []
+    for name, (value, _) in means.items():
+        units, n = exact_mean_parts(value)
+        parts += [units.alias(f"__units_{name}"), n.alias(f"__n_{name}")]
+    out = df.groupBy(*groups).agg(*others, *parts)
+    keep = [c for c in out.columns if not c.startswith(("__units_", "__n_"))]
+    return out.select(*keep, *[exact_mean_round(f"__units_{m}", f"__n_{m}", places).alias(m)
+                               for m, (_, places) in means.items()])

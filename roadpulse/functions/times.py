@@ -14,6 +14,10 @@ from ..schemas import BATCH_FORMAT
 from ._cols import as_col
 
 
+# Seconds of the units a bucket width may be given in.
+WIDTH_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
 def batch_date(c, fmt: str = BATCH_FORMAT) -> Column:
     """Date of a batch key such as ``20260720T191500``."""
     return F.to_date(batch_timestamp(c, fmt))
@@ -35,12 +39,11 @@ def iso_timestamp(c) -> Column:
 
 
 def batch_key(ts, width: str = "15 minutes", fmt: str = BATCH_FORMAT) -> Column:
-    """Batch key text of the fixed-width time bucket holding ``ts``."""
-    return F.date_format(F.window(as_col(ts), width).start, fmt)
-
-
-def hour_of(ts) -> Column:
-    return F.date_trunc("hour", as_col(ts))
+    """Batch key text of the fixed-width time bucket holding ``ts``; null stays null."""
+    n, unit = width.split()
+    seconds = int(n) * WIDTH_SECONDS[unit.rstrip("s")]
+    start = F.floor(F.unix_micros(as_col(ts).cast("timestamp")) / (seconds * 1_000_000)) * seconds
+    return F.date_format(F.timestamp_seconds(start), fmt)
 
 
 def stamp(df: DataFrame, name: str, run_ts=None) -> DataFrame:

@@ -23,14 +23,19 @@ def worst_incidents(incidents: DataFrame, categories: Sequence[str] = ALERT_CATE
                     group: Sequence[str] = ("city", "category"),
                     delay: str = "delay_seconds", observed: str = "observed_at",
                     tie_breakers: Sequence[str] = DEFAULT_TIE_BREAKERS,
-                    columns: Sequence[str] = ALERT_COLUMNS) -> DataFrame:
+                    columns: Sequence[str] = ALERT_COLUMNS,
+                    within: str | None = None) -> DataFrame:
     """Largest-delay incident per group in the latest observation.
 
     The latest observation is taken over the whole table *before* the
     category filter (as the alert query does), as a scalar subquery. The
     keep-one is a ``row_number`` top-1 that Spark limits per map task before
-    the shuffle, so few large groups stay cheap.
+    the shuffle, so few large groups stay cheap. ``within`` names a partition
+    column that grows with the observation (e.g. ``batch_ts``): only its
+    latest value is read.
     """
+    if within is not None:
+        incidents = incidents.filter(F.col(within) == max_key(incidents, within))
     latest = incidents.filter(F.col(observed) == max_key(incidents, observed))
     wanted = latest.filter(F.col("category").isin(*categories))
     order = [F.col(delay).desc_nulls_last()]

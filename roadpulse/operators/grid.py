@@ -66,14 +66,15 @@ def sampling_grid(sites: DataFrame, scale: int = 6, city: str = "city",
                   bbox: str = "bbox", steps: str = "grid_steps") -> DataFrame:
     """``steps x steps`` points per site, bbox edges included, lon-major order.
 
-    A site with one step yields the single point at its minimum corner.
+    A site with one step yields the single point at its minimum corner, one
+    with fewer steps (or none given) no point.
     Generated per site with ``sequence``/``explode``: no join, no driver loop.
     """
     b, n = F.col(bbox), F.col(steps)
     div = F.greatest(n - 1, F.lit(1)).cast("double")
     lon_step = (F.get(b, 2) - F.get(b, 0)) / div
     lat_step = (F.get(b, 3) - F.get(b, 1)) / div
-    g = (sites.select(F.col(city).alias("city"), b.alias("__b"), n.alias("__n"),
+    g = (sites.filter(n >= 1).select(F.col(city).alias("city"), b.alias("__b"), n.alias("__n"),
                       lon_step.alias("__dlon"), lat_step.alias("__dlat"))
               .withColumn("lon_index", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
               .withColumn("lat_index", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))))
@@ -97,15 +98,23 @@ def coverage_gaps(expected: DataFrame, received: DataFrame, keys: Sequence[str])
 
 
 def grid_coverage(grid: DataFrame, received: DataFrame, batch: str = "batch_ts",
-                  keys: Sequence[str] = ("city", "lat", "lon")) -> DataFrame:
-    """Per (city, batch): expected points, points received, points missing."""
+                  keys: Sequence[str] = ("city", "lat", "lon"),
+                  batches: DataFrame | None = None) -> DataFrame:
+    """Per (city, batch): expected points, points received, points missing.
+
+    Every site is expected in every batch of ``batches`` (by default all batches
+    of ``received``), so a site that sent nothing shows with 0 received. Points
+    are counted per site before they meet the batches.
+    """
     keys = list(keys)
-    batches = received.select("city", batch).distinct()
-    expected = grid.select(*keys).join(batches, "city")
-    seen = received.select(*keys, batch).distinct()
-    got = (expected.join(seen, keys + [batch], "left_semi")
-                   .groupBy("city", batch).agg(F.count(F.lit(1)).alias("points_received")))
-    want = expected.groupBy("city", batch).agg(F.count(F.lit(1)).alias("points_expected"))
+    if batches is None:
+        batches = received.select(batch)
+    # the batch keys of a run are a short list; each site gets a row for each of them
+    announced = batches.select(F.sort_array(F.collect_set(batch))).scalar()
+    want = (grid.groupBy("city").agg(F.count(F.lit(1)).alias("points_expected"))
+            .select("city", "points_expected", F.explode(announced).alias(batch)))
+    got = (received.join(grid.select(*keys), keys, "left_semi").select(*keys, batch).distinct()
+           .groupBy("city", batch).agg(F.count(F.lit(1)).alias("points_received")))
     return (want.join(got, ["city", batch], "left")
                 .withColumn("points_received", F.coalesce("points_received", F.lit(0)))
                 .withColumn("points_missing",

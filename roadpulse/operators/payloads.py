@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import json_list_text
 
+# What can be wrong with an incident payload.
+BAD_JSON = "payload is not JSON"
+NO_INCIDENTS = "payload has no incidents list"
+NO_COORDINATES = "incident has no coordinates"
+
 FLOW_PAYLOAD_SCHEMA = (
     "flowSegmentData struct<frc: string, currentSpeed: int, freeFlowSpeed: int, "
     "currentTravelTime: int, confidence: double, roadClosure: boolean>"
@@ -48,23 +53,35 @@ def _vget(v, path: str, typ: str):
 
 
 def flatten_incidents(df: DataFrame, payload: str = "payload",
-                      keep: Sequence[str] = ("city", "batch_ts")) -> DataFrame:
+                      keep: Sequence[str] = ("city", "batch_ts"),
+                      problem: str | None = None) -> DataFrame:
     """One row per element of ``incidents``.
 
     The position is the first vertex of a line geometry, or the point itself;
-    coordinates come in (lon, lat) order. Elements without coordinates are
-    dropped. ``category`` keeps the code as text.
+    coordinates come in (lon, lat) order. ``category`` keeps the code as text.
+    Elements without coordinates, and payloads that are no JSON or have no
+    ``incidents`` list, are left out; with ``problem`` they stay as a row whose
+    column of that name says what is wrong (null on good rows), so that they can
+    be counted. A payload with an empty list has no row either way.
     """
-    inc = F.explode(_vget(F.try_parse_json(F.col(payload)), "$.incidents", "array<variant>"))
-    rows = df.select(*keep, inc.alias("__i"))
+    parsed = F.try_parse_json(F.col(payload))
+    found = _vget(parsed, "$.incidents", "array<variant>")
+    # a payload with nothing to list keeps one row with a null element
+    rows = df.select(*keep, parsed.isNull().alias("__bad"), found.isNull().alias("__none"),
+                     F.explode(F.coalesce(found, F.array(F.lit(None).cast("variant")))).alias("__i"))
     i = F.col("__i")
     coords = _vget(i, "$.geometry.coordinates", "array<variant>")
     lon = F.coalesce(_vget(i, "$.geometry.coordinates[0][0]", "double"),
                      _vget(i, "$.geometry.coordinates[0]", "double"))
     lat = F.coalesce(_vget(i, "$.geometry.coordinates[0][1]", "double"),
                      _vget(i, "$.geometry.coordinates[1]", "double"))
-    return (rows.filter(F.coalesce(F.size(coords) > 0, F.lit(False)))
-                .select(
+    why = (F.when(F.col("__bad"), BAD_JSON).when(F.col("__none"), NO_INCIDENTS)
+           .when(~F.coalesce(F.size(coords) > 0, F.lit(False)), NO_COORDINATES))
+    if problem is None:
+        rows, extra = rows.filter(why.isNull()), []
+    else:
+        extra = [why.alias(problem)]
+    return (rows.select(
                     *keep,
                     _vget(i, "$.type", "string").alias("incident_type"),
                     _vget(i, "$.properties.iconCategory", "string").alias("category"),
@@ -77,4 +94,5 @@ def flatten_incidents(df: DataFrame, payload: str = "payload",
                     _vget(i, "$.properties.to", "string").alias("to_road"),
                     _vget(i, "$.properties.startTime", "string").alias("start_time"),
                     _vget(i, "$.properties.endTime", "string").alias("end_time"),
+                    *extra,
                 ))

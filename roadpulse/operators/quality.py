@@ -50,13 +50,16 @@ def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]],
 
 def conform(df: DataFrame, contract: StructType, widths: dict[str, int] | None = None,
             name: str = REJECT_COL) -> DataFrame:
-    """Project to a serving contract (order + types) and tag width violations.
+    """Project to a serving contract (order + types) and tag violations.
 
-    Returns the contract columns plus ``name``; rows whose text exceeds the
-    column width carry a reason and belong in the reject set.
+    Returns the contract columns plus ``name``. A value that cannot be read as
+    its contract type becomes null and a reason; so does text beyond the column
+    width. Tagged rows belong in the reject set.
     """
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields]
-    out = df.select(*cols)
-    rules = [(f"{c} longer than {n}", F.col(c).isNull() | (F.length(c) <= n))
-             for c, n in (widths or {}).items() if c in out.columns]
-    return tag_rejects(out, rules, name)
+    kept = df.select(F.struct("*").alias("__row"), *[
+        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields])
+    rules = [(f"{f.name} is not {f.dataType.simpleString()}",
+              F.col("__row")[f.name].isNull() | F.col(f.name).isNotNull()) for f in contract.fields]
+    rules += [(f"{c} longer than {n}", F.col(c).isNull() | (F.length(c) <= n))
+              for c, n in (widths or {}).items() if c in contract.fieldNames()]
+    return tag_rejects(kept, rules, name).drop("__row")

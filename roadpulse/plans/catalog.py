@@ -16,7 +16,7 @@ from .. import functions as RF
 from ..operators import (alerts, batches, dedup, grid, kpi, layers, metrics, payloads,
                          quality)
 from ..schemas import BATCH_FORMAT
-from ..session import scratch_path, spread_small_scan
+from ..session import scratch_path, spread as spread_rows
 from ..sinks import files as sink_files
 from ..sources import files as source_files
 
@@ -25,11 +25,11 @@ RUN_TS = "2026-01-01 00:00:00"
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read a driver table; ``spread`` for CPU-heavy per-row work (see spread_small_scan)."""
+    """Read a driver table; ``spread`` deals its rows over the cores for costly work per row."""
     # Batch keys and stamps are read and written in UTC (decision D10).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df, min_bytes=1 << 20) if spread else df
+    return spread_rows(df) if spread else df
 
 
 # --------------------------------------------------------------------------- flow KPI
@@ -166,7 +166,7 @@ def q_alert_text(spark, sf_dir):
                       RF.delay_text("delay_seconds").alias("delay"))
 
 
-def _orders_payloads(spark, sf_dir, batch: str = "day") -> DataFrame:
+def _orders_payloads(spark, sf_dir, batch: str = "day", extra=()) -> DataFrame:
     """One incidents payload (JSON text) per order, built by Spark.
 
     The batch key is the order date (``day``) or its year (``year``).
@@ -201,7 +201,7 @@ def _orders_payloads(spark, sf_dir, batch: str = "day") -> DataFrame:
     when = F.col("o_orderdate") if batch == "day" else F.date_trunc(batch, "o_orderdate")
     return o.select(F.col("o_orderstatus").alias("city"),
                     F.date_format(when, BATCH_FORMAT).alias("batch_ts"),
-                    body.alias("payload"))
+                    body.alias("payload"), *extra)
 
 
 def q_incident_flatten(spark, sf_dir):
@@ -220,7 +220,7 @@ def q_incident_gold(spark, sf_dir, batch: str = "day"):
 def q_incident_alert(spark, sf_dir):
     """Payloads -> silver -> gold -> worst accident/closure per group -> alert text."""
     gold = q_incident_gold(spark, sf_dir, batch="year")
-    return alerts.alert_rows(alerts.worst_incidents(gold))
+    return alerts.alert_rows(alerts.worst_incidents(gold, within="batch_ts"))
 
 
 def q_serving_conform(spark, sf_dir):
@@ -308,11 +308,12 @@ def q_site_validation(spark, sf_dir):
 
 
 def q_grid_coverage(spark, sf_dir):
+    """Hours of the run in which an event type sent nothing, edges included."""
     ev = _load(spark, sf_dir, "events").withColumn(
         "hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-    span = ev.groupBy("event_type").agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
-    expected = span.select("event_type", F.explode(
-        F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    run = ev.select(F.struct(F.min("hour").alias("lo"), F.max("hour").alias("hi"))).scalar()
+    expected = ev.select("event_type").distinct().select("event_type", F.explode(
+        F.sequence(run["lo"], run["hi"], F.expr("INTERVAL 1 HOUR"))).alias("hour"))
     return grid.coverage_gaps(expected, ev, ["event_type", "hour"])
 
 
@@ -330,7 +331,8 @@ def q_grid_coverage_summary(spark, sf_dir):
         F.col("s_name").alias("city"), (F.col("l_linenumber") - 1).alias("point_index"),
         F.col("l_returnflag").alias("batch_ts"))
     received = samples.join(g, ["city", "point_index"]).select("city", "lat", "lon", "batch_ts")
-    return grid.grid_coverage(g, received)
+    # the batches of the run, whichever sites took part in them
+    return grid.grid_coverage(g, received, batches=li.select(F.col("l_returnflag").alias("batch_ts")))
 
 
 def q_batch_metrics(spark, sf_dir):
@@ -365,8 +367,8 @@ def q_metrics_health(spark, sf_dir):
 
 # --------------------------------------------------------------------------- flow layers
 
-def _lineitem_raw(spark, sf_dir) -> DataFrame:
-    li = _load(spark, sf_dir, "lineitem", spread=True)
+def _lineitem_raw(spark, sf_dir, spread: bool = True) -> DataFrame:
+    li = _load(spark, sf_dir, "lineitem", spread=spread)
     return li.select(
         F.col("l_returnflag").alias("city"),
         F.date_format("l_shipdate", BATCH_FORMAT).alias("batch_ts"),
@@ -403,12 +405,12 @@ def q_flow_points(spark, sf_dir):
     The hour is cut before the dedup: dedup partitions by ``batch_ts`` and
     never drops a whole batch, so only the hour's rows need deduplicating.
     """
-    bronze = layers.flow_bronze(_lineitem_raw(spark, sf_dir), run_ts=RUN_TS)
-    feats = layers.silver_features(bronze.filter(F.col("reject_reason").isNull())
-                                   .drop("reject_reason"), run_ts=RUN_TS)
-    ok = feats.filter(F.col("reject_reason").isNull())
-    # no ``within=``: here ``date`` is computed, not a partition column to prune
-    hour = batches.latest_hour(ok, RF.batch_timestamp("batch_ts"))
+    bronze = layers.flow_bronze(_lineitem_raw(spark, sf_dir, spread=False), run_ts=RUN_TS)
+    ok = layers.silver_features(bronze.filter(F.col("reject_reason").isNull())
+                                .drop("reject_reason"), run_ts=RUN_TS)
+    ok = ok.filter(F.col("reject_reason").isNull())
+    # a range of the raw key: nothing is parsed to find the hour
+    hour = batches.latest_hour_of_key(ok, "batch_ts")
     pts = kpi.heatmap_points(layers.dedup_silver(hour))
     return pts.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
 
@@ -431,11 +433,13 @@ def q_idempotent_write(spark, sf_dir):
         "date", F.to_date("o_orderdate")).withColumn("city", F.col("o_orderstatus"))
     path = scratch_path(spark, "orders_batches")
     parts = ("city", "o_orderpriority")
-    sink_files.write_batch(o, path, partition_by=parts)
-    sink_files.write_batch(o, path, partition_by=parts)   # replay: same files, no copy
+    # some orders are already there, written twice: the replay makes no copy
+    known = o.filter(F.pmod("o_custkey", F.lit(2)) == 0)
+    sink_files.write_batch(known, path, partition_by=parts)
+    sink_files.write_batch(known, path, partition_by=parts)
     existing = spark.read.parquet(path)
     extra = sink_files.append_missing(o, existing, ["o_orderkey"], prune_by=list(parts))
-    sink_files.write_append(extra, path, partition_by=parts)  # nothing new to add
+    sink_files.write_append(extra, path, partition_by=parts)
     back = spark.read.parquet(path)
     return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        "o_orderdate", "o_orderpriority")
@@ -452,19 +456,23 @@ def _events_stream(spark, sf_dir) -> DataFrame:
 
 
 def q_stream_hourly(spark, sf_dir):
-    from ..streaming import run_available, stream_kpi
-    s = _events_stream(spark, sf_dir).withColumn(
-        "speed_ratio", RF.safe_ratio("value", F.lit(50.0), 3))
-    agg = stream_kpi(s, "ts", watermark="1 hour", width="1 hour", keys=["event_type"], aggs=[
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.sum("value"), 2).alias("total"),
-        F.avg("speed_ratio").alias("speed_ratio"),
-    ])
+    """Hourly figures of the event stream, and of the hours still open when it ends."""
+    from ..streaming import open_windows, run_available, stream_means
+    means = {"total": (F.col("value"), 2), "speed_ratio": (F.col("speed_ratio"), 3)}
+
+    def figures(rows):
+        rows = rows.withColumn("speed_ratio", RF.safe_ratio("value", F.lit(50.0), 3))
+        return stream_means(rows, "ts", "1 hour", ["event_type"], means, [F.count(F.lit(1)).alias("n")])
+
     root = scratch_path(spark, "stream_hourly")
-    out = run_available(agg, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(out).withColumns({
+    stream = _events_stream(spark, sf_dir).withWatermark("ts", "1 hour")
+    emitted = spark.read.parquet(run_available(figures(stream), f"{root}/out", f"{root}/checkpoint"))
+    rows = _load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = emitted.unionByName(figures(open_windows(rows, emitted, "ts")))
+    return out.withColumns({
+        "mean_value": F.col("total"), "congestion_level": RF.level("speed_ratio"),
         "window_start": F.col("window_start").cast("timestamp_ntz"),
-        "window_end": F.col("window_end").cast("timestamp_ntz")})
+        "window_end": F.col("window_end").cast("timestamp_ntz")}).drop("total")
 
 
 def q_stream_dedup(spark, sf_dir):
@@ -482,12 +490,11 @@ def q_stream_dedup(spark, sf_dir):
 def q_silver_job_metrics(spark, sf_dir):
     """Raw files -> bronze job -> silver job; the silver job's metrics rows.
 
-    Monthly batches of lineitem samples are written as raw JSON, then the
-    jobs process the newest batch only (as scheduled runs do).
+    Yearly batches of lineitem samples are written as raw JSON, then the
+    jobs process every batch that is not in their layer yet.
     """
     from . import flow
-    raw_rows = _lineitem_raw(spark, sf_dir).withColumn(
-        "batch_ts", F.concat(F.substring("batch_ts", 1, 6), F.lit("01T000000")))
+    raw_rows = _yearly(_lineitem_raw(spark, sf_dir))
     root = scratch_path(spark, "silver_job")
     sink_files.write_raw(raw_rows, f"{root}/raw")
     flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
@@ -511,6 +518,117 @@ def q_incident_job_alert(spark, sf_dir):
     return text.withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
 
 
+def _yearly(raw: DataFrame) -> DataFrame:
+    """Raw samples in yearly batches."""
+    return raw.withColumn("batch_ts", F.concat(F.substring("batch_ts", 1, 4), F.lit("0101T000000")))
+
+
+def q_bronze_stream(spark, sf_dir):
+    """Raw files that each hold a part of every batch, ingested one file at a time."""
+    from ..schemas import FLOW_RAW
+    from ..streaming import ingest_available
+    from . import flow
+    root = scratch_path(spark, "bronze_stream")
+    _yearly(_lineitem_raw(spark, sf_dir)).repartition(4).write.json(f"{root}/raw")
+    ingest_available(spark, f"{root}/raw", FLOW_RAW, f"{root}/checkpoint",
+                     flow.bronze_batch_handler(f"{root}/bronze"), max_files_per_trigger=1).awaitTermination()
+    back = source_files.read_layer(spark, f"{root}/bronze")
+    return back.select("city", F.date_format("date", BATCH_FORMAT).alias("batch_ts"), "lat", "lon", "frc",
+                       "current_speed", "free_flow_speed", "travel_time", "confidence", "road_closure")
+
+
+def q_silver_backlog(spark, sf_dir):
+    """Many batches land before one run, and one city's come a run later: silver holds them all."""
+    from . import flow
+    root = scratch_path(spark, "silver_backlog")
+    raw = _yearly(_lineitem_raw(spark, sf_dir))
+    for delivery in (raw.filter("city <> 'R'"), raw.filter("city = 'R'")):
+        sink_files.write_raw(delivery, f"{root}/raw")
+        flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
+        silver = flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS).output
+    return silver.select("city", "batch_ts", "road_id", "lat", "lon", "frc", "current_speed",
+                         "free_flow_speed", "travel_time", "confidence", "road_closure", "speed_ratio",
+                         F.col("processed_at").cast("timestamp_ntz").alias("processed_at"))
+
+
+def q_reject_ledger(spark, sf_dir):
+    """Incident payloads, broken ones among them: read = written + rejected, per batch and reason."""
+    key = F.col("o_orderkey")
+    rows = _orders_payloads(spark, sf_dir, "year", extra=["o_orderkey"]).withColumn(
+        "payload", F.when(F.pmod(key, F.lit(7)) == 0, F.lit("{not json"))
+        .when(F.pmod(key, F.lit(7)) == 1, F.lit('{"other": []}')).otherwise(F.col("payload")))
+    flat = payloads.flatten_incidents(rows, problem="problem")
+    return flat.groupBy("city", "batch_ts").agg(
+        F.count(F.lit(1)).alias("records_read"),
+        F.count_if(F.col("problem").isNull()).alias("records_written"),
+        *[F.count_if(F.col("problem") == why).alias(name) for name, why in (
+            ("not_json", payloads.BAD_JSON), ("no_list", payloads.NO_INCIDENTS),
+            ("no_position", payloads.NO_COORDINATES))])
+
+
+def q_job_metrics(spark, sf_dir):
+    """Metrics rows that the jobs keep: bronze and silver, and a run that fails."""
+    from . import flow
+    root = scratch_path(spark, "job_metrics")
+    kept = f"{root}/metrics"
+    sink_files.write_raw(_yearly(_lineitem_raw(spark, sf_dir)), f"{root}/raw")
+    flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS, metrics_path=kept, run_id="one")
+    flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS, metrics_path=kept, run_id="one")
+    try:
+        flow.run_bronze(spark, f"{root}/missing", f"{root}/bronze", run_ts=RUN_TS, metrics_path=kept, run_id="two")
+    except Exception:  # noqa: BLE001  the failed run is what is looked at
+        pass
+    rows = spark.read.parquet(kept)
+    return rows.select("task_id", "run_id", "city", "batch_id", "records_read", "records_written",
+                       "records_dropped", "status", F.col("measured_at").cast("timestamp_ntz").alias("measured_at"))
+
+
+def q_snapshot_write(spark, sf_dir):
+    """A snapshot replaces the whole table, cities that are gone included."""
+    o = _load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("city"))
+    path = scratch_path(spark, "snapshot")
+    sink_files.write_snapshot(o, path)
+    sink_files.write_snapshot(o.filter("city <> 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2), path)
+    return spark.read.parquet(path).select("city", "o_orderkey", "o_totalprice")
+
+
+def q_append_by_city(spark, sf_dir):
+    """Two appends by city hold the rows of both."""
+    o = _load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("city"))
+    path = scratch_path(spark, "append")
+    sink_files.write_append(o.filter("o_totalprice < 100000"), path)
+    sink_files.write_append(o.filter("o_totalprice >= 100000"), path)
+    return spark.read.parquet(path).select("city", "o_orderkey", "o_totalprice")
+
+
+def q_json_documents(spark, sf_dir):
+    """Multi-line JSON documents, one per block of customers, read back under a schema."""
+    block = F.floor(F.col("c_custkey") / 500)
+    docs = _load(spark, sf_dir, "customer").groupBy(block.alias("block")).agg(
+        F.to_json(F.struct(F.collect_list(F.struct("c_custkey", "c_name", "c_acctbal")).alias("customers")),
+                  {"pretty": "true"}).alias("value"))
+    path = scratch_path(spark, "json_documents")
+    docs.write.partitionBy("block").text(path)
+    back = source_files.read_json_documents(
+        spark, path, "customers array<struct<c_custkey: bigint, c_name: string, c_acctbal: double>>")
+    return back.select(F.inline("customers"))
+
+
+def q_alert_count(spark, sf_dir):
+    return alerts.alert_summary(alerts.worst_incidents(_orders_incidents(spark, sf_dir)))
+
+
+def q_stream_gold(spark, sf_dir):
+    """The flow layers as a stream over raw files, the open hours closed at the end."""
+    from ..streaming import close_flow_stream, run_flow_stream
+    root = scratch_path(spark, "stream_gold")
+    _lineitem_raw(spark, sf_dir).write.json(f"{root}/raw")
+    run_flow_stream(spark, f"{root}/raw", f"{root}/gold", f"{root}/checkpoint", estimate_free_flow=True)
+    out = close_flow_stream(spark, f"{root}/raw", f"{root}/gold", estimate_free_flow=True)
+    return out.drop("window_end").withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "observation_ts")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_kpi": q_hourly_kpi,
     "speed_ratio": q_speed_ratio,
@@ -547,4 +665,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incident_job_alert": q_incident_job_alert,
     "stream_hourly": q_stream_hourly,
     "stream_dedup": q_stream_dedup,
+    "stream_gold": q_stream_gold,
+    "bronze_stream": q_bronze_stream,
+    "silver_backlog": q_silver_backlog,
+    "reject_ledger": q_reject_ledger,
+    "job_metrics": q_job_metrics,
+    "snapshot_write": q_snapshot_write,
+    "append_by_city": q_append_by_city,
+    "json_documents": q_json_documents,
+    "alert_count": q_alert_count,
 }

@@ -1,14 +1,16 @@
 """Flow jobs: raw -> bronze -> silver -> gold, each a replay-safe Spark job.
 
-Every job reads only the batch it is responsible for, writes with dynamic
-partition overwrite (a retry replaces its own output) and derives its
-metrics rows from the same tagged frame, persisted for the job's duration
-so the input is read once.
+Every job takes all batches that its layer does not hold yet, writes with
+dynamic partition overwrite (a retry replaces its own output) and derives its
+metrics rows from the same tagged frame, persisted for the job's duration.
+Bronze and silver write their layer last: a run that fails earlier leaves its
+batches pending.
 """
 
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -16,17 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import batch_timestamp
-from ..operators.batches import latest_batch, latest_hour, max_key
+from ..operators.batches import complete_hours, latest_hour_of_key
+from ..operators.joins import semi_join
 from ..operators.kpi import heatmap_points, hourly_segment_kpis
 from ..operators.layers import dedup_silver, flow_bronze, silver_features
 from ..operators.metrics import batch_metrics, ingestion_tallies
 from ..operators.payloads import flatten_flow
 from ..operators.quality import REJECT_COL
-from ..schemas import FLOW_BRONZE, FLOW_SILVER, TRAFFIC_KPIS, TRAFFIC_POINTS
-from ..sinks.files import append_missing, write_batch, write_raw, write_snapshot
+from ..schemas import FLOW_BRONZE, FLOW_SILVER, PIPELINE_METRICS, TRAFFIC_KPIS, TRAFFIC_POINTS
+from ..sinks.files import BATCH_PARTITIONS, append_missing, write_batch, write_raw, write_snapshot
 from ..sinks.jdbc import write_serving
 from ..sources.jdbc import read_serving_or_empty
-from ..sources.files import CORRUPT_COL, read_flow_raw, read_layer
+from ..session import checkpoint_root
+from ..sources.files import CORRUPT_COL, layer_or_empty, path_exists, read_flow_raw, read_layer
 
 MALFORMED = "malformed json line"
 
@@ -38,13 +42,99 @@ class JobResult:
     rejected: DataFrame | None = None
 
 
-def _with_malformed(df: DataFrame) -> DataFrame:
-    """Mark unparseable lines first so they are counted, not silently lost."""
-    return df.withColumn(
+def batches_in(spark: SparkSession, path: str, schema) -> DataFrame:
+    """(city, batch_ts) of the batches a layer holds, as they are now.
+
+    Checkpointed: a frame that still read the layer would change, cached or not,
+    when the job writes to it. One row per batch.
+    """
+    checkpoint_root(spark)
+    return layer_or_empty(spark, path, schema).select("city", "batch_ts").distinct().checkpoint()
+
+
+def files_in(spark: SparkSession, reject_path: str | None) -> DataFrame:
+    """Files that the reject ledger names so far."""
+    if reject_path is None or not path_exists(spark, reject_path):
+        return spark.createDataFrame([], "source_file string")
+    checkpoint_root(spark)
+    return spark.read.parquet(reject_path).select("source_file").distinct().checkpoint()
+
+
+def pending(rows: DataFrame, done: DataFrame, keys=("city", "batch_ts")) -> DataFrame:
+    """Rows of the batches that ``done`` does not hold yet, whichever and however many these are."""
+    return semi_join(rows, done.select(*keys).distinct(), list(keys), null_safe=True, anti=True)
+
+
+def pending_raw(raw: DataFrame, done: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Raw rows not processed yet, with the batch (``of_batch``) each belongs to.
+
+    A row with city and batch belongs to that batch. A malformed line, or a row
+    without city or batch, belongs to the newest batch of its file and counts as
+    processed with it; in a file without any batch it counts as processed once its
+    file is in the reject ledger.
+    """
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
+    whole = F.col(CORRUPT_COL).isNull() & F.col("city").isNotNull() & F.col("batch_ts").isNotNull()
+    fresh = pending(raw.filter(whole), done).withColumn("of_batch", F.col("batch_ts"))
+    # Spark refuses a JSON scan of the corrupt column alone (city and batch may be folder
+    # names), so a data column is counted as well
+    data = next(c for c in raw.columns if c not in ("city", "batch_ts", "source_file", CORRUPT_COL))
+    files = (raw.filter(whole).groupBy("source_file")
+             .agg(F.max("batch_ts").alias("file_batch"), F.count(data).alias("n")).filter("n >= 0").drop("n"))
+    rest = (raw.filter(~whole).join(files, "source_file", "left")
+            .withColumn("of_batch", F.coalesce("batch_ts", "file_batch")).drop("file_batch"))
+    known = done.select(F.col("batch_ts").alias("done_batch")).distinct()
+    rest = rest.join(known, rest["of_batch"] == known["done_batch"], "left_anti")
+    seen = ledger.select(F.col("source_file").alias("done_file")).distinct()
+    rest = rest.join(seen, (rest["source_file"] == seen["done_file"]) & rest["of_batch"].isNull(), "left_anti")
+    return fresh.unionByName(rest.select(*fresh.columns))
+
+
+def gate_bronze(rows: DataFrame, run_ts=None) -> DataFrame:
+    """Bronze rows tagged with the first reason against them, malformed lines first."""
+    return flow_bronze(rows, run_ts).withColumn(
         REJECT_COL,
         F.when(F.col(CORRUPT_COL).isNotNull(), F.lit(MALFORMED)).otherwise(F.col(REJECT_COL)))
 
 
+def run_key(run_id: str, run_ts) -> str:
+    return run_id or (str(run_ts) if run_ts is not None else "adhoc")
+
+
+def write_rejects(tagged: DataFrame, path: str | None, key: str) -> DataFrame | None:
+    """Write the tagged rows to the ledger, one partition per run: a retried run replaces its own."""
+    if path is None:
+        return None
+    rejected = tagged.filter(F.col(REJECT_COL).isNotNull())
+    write_batch(rejected.withColumn("run", F.lit(key)), path, partition_by=("run",))
+    return tagged.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def recorded(spark: SparkSession, metrics_path: str | None, dag_id: str, task_id: str, run_id: str, run_ts):
+    """Keep the metrics rows of a job: hand them to the function given; a failed run leaves one too.
+
+    One partition per (dag, task, run), replaced when the run is repeated.
+    """
+    parts = ("dag_id", "task_id", "run_id")
+    key = run_key(run_id, run_ts)
+
+    def save(metrics: DataFrame) -> None:
+        if metrics_path:
+            write_batch(metrics.withColumn("run_id", F.lit(key)), metrics_path, partition_by=parts)
+
+    try:
+        yield save
+    except Exception as e:
+        stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+        row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in PIPELINE_METRICS.fields])
+        row = row.withColumns({"dag_id": F.lit(dag_id), "task_id": F.lit(task_id), "status": F.lit("failed"),
+                               "error_message": F.lit(str(e)[:500]), "ingestion_timestamp": stamp,
+                               "measured_at": stamp})
+        save(row)
+        raise
+
+
 def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
     """Flatten API payload rows (city, batch_ts, lat, lon, payload) into raw files.
 
@@ -61,88 +151,86 @@ def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None,
-               latest_by: list[str] | None = None, reject_path: str | None = None,
+               reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "flow", run_id: str = "") -> JobResult:
-    """Latest raw batch -> bronze (city/date/batch_ts partitions)."""
+    """Every raw batch that is not in bronze yet -> bronze (city/date/batch_ts partitions)."""
     t0 = time.time()
-    raw = read_flow_raw(spark, raw_path, keep_corrupt=True)
-    good = F.col(CORRUPT_COL).isNull()
-    if latest_by is None:
-        # max over every row (nulls ignored): a scan that needs only the corrupt
-        # column is not allowed, and batch_ts may be a directory (partition) value
-        newest = max_key(raw, "batch_ts")
-        latest = raw.filter((F.col("batch_ts") == newest) & good)
-        # malformed lines of this batch, or of unknown batch (batch_ts in the line)
-        bad_lines = raw.filter(~good & (F.col("batch_ts").isNull()
-                                        | (F.col("batch_ts") == newest)))
-    else:
-        latest = latest_batch(raw, "batch_ts", by=latest_by).filter(good)
-        bad_lines = raw.filter(~good)
-    tagged = _with_malformed(flow_bronze(latest.unionByName(bad_lines), run_ts))
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        accepted = tagged.filter(F.col(REJECT_COL).isNull()).select(
-            *[f.name for f in FLOW_BRONZE.fields])
-        write_batch(accepted, bronze_path)
-        rejected = tagged.filter(F.col(REJECT_COL).isNotNull())
-        if reject_path:
-            # one partition per run: a retried run replaces exactly its own rejects
-            run_key = run_id or (str(run_ts) if run_ts is not None else "adhoc")
-            write_batch(rejected.withColumn("run", F.lit(run_key)), reject_path,
-                        partition_by=("run",))
-        metrics = batch_metrics(tagged, dag_id=dag_id, task_id="bronze", run_id=run_id,
-                                run_ts=run_ts, elapsed=round(time.time() - t0, 3)).cache()
-        metrics.count()
-    finally:
-        tagged.unpersist()
-    rejects = spark.read.parquet(reject_path) if reject_path else None
+    done, ledger = batches_in(spark, bronze_path, FLOW_BRONZE), files_in(spark, reject_path)
+    with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
+        rows = pending_raw(read_flow_raw(spark, raw_path, keep_corrupt=True), done, ledger)
+        # the frame is written, counted and its rejects kept: read the input once
+        tagged = gate_bronze(rows, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
+            metrics = batch_metrics(tagged.withColumn("batch_ts", F.coalesce("batch_ts", "of_batch")),
+                                    dag_id=dag_id, task_id="bronze", run_id=run_id, run_ts=run_ts,
+                                    elapsed=round(time.time() - t0, 3)).cache()
+            metrics.count()
+            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
+                        .select(*FLOW_BRONZE.fieldNames()), bronze_path)
+        finally:
+            tagged.unpersist()
+        save(metrics)
     return JobResult(read_layer(spark, bronze_path, FLOW_BRONZE), metrics, rejects)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,
+               reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "flow", run_id: str = "") -> JobResult:
-    """Newest bronze batch only (not the whole history) -> deduplicated silver."""
+    """Every bronze batch that is not in silver yet -> deduplicated silver.
+
+    Written counts the rows after gate and dedup. A batch without any good row
+    leaves nothing in silver and is looked at again by the next run.
+    """
     t0 = time.time()
     bronze = read_layer(spark, bronze_path, FLOW_BRONZE)
-    batch = latest_batch(bronze, "batch_ts", within="date")
-    tagged = silver_features(batch, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        accepted = dedup_silver(tagged.filter(F.col(REJECT_COL).isNull())).select(
-            *[f.name for f in FLOW_SILVER.fields])
-        write_batch(accepted, silver_path)
-        # rows read = every bronze row of the batch; written = after gate + dedup
-        read = batch.groupBy("city", "batch_ts").agg(F.count(F.lit(1)).alias("records_read"))
-        wrote = accepted.groupBy("city", "batch_ts").agg(
-            F.count(F.lit(1)).alias("records_written"))
-        metrics = (batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id,
-                                 run_ts=run_ts, elapsed=round(time.time() - t0, 3))
-                   .drop("records_read", "records_written", "rows_processed")
-                   .join(read.withColumnRenamed("batch_ts", "batch_id"), ["city", "batch_id"])
-                   .join(wrote.withColumnRenamed("batch_ts", "batch_id"),
-                         ["city", "batch_id"], "left")
-                   .withColumn("records_written", F.coalesce("records_written", F.lit(0)))
-                   .withColumn("records_dropped",
-                               F.col("records_read") - F.col("records_written"))
-                   .withColumn("rows_processed", F.col("records_written"))).cache()
-        metrics.count()
-    finally:
-        tagged.unpersist()
-    return JobResult(read_layer(spark, silver_path, FLOW_SILVER), metrics)
+    done = batches_in(spark, silver_path, FLOW_SILVER)
+    with recorded(spark, metrics_path, dag_id, "silver", run_id, run_ts) as save:
+        feats = silver_features(pending(bronze, done), run_ts)
+        good = F.col(REJECT_COL).isNull()
+        # one dedup: its winners and the rejects are marked in the same frame
+        tagged = (dedup_silver(feats.filter(good)).withColumn("kept", F.lit(True))
+                  .unionByName(feats.filter(~good).withColumn("kept", F.lit(False))))
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = write_rejects(tagged.drop("kept"), reject_path, run_key(run_id, run_ts))
+            counts = batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id, run_ts=run_ts,
+                                   elapsed=round(time.time() - t0, 3), written_col="kept")
+            read = (pending(bronze, done).groupBy("city", F.col("batch_ts").alias("batch_id"))
+                    .agg(F.count(F.lit(1)).alias("n")))
+            metrics = (counts.join(read, ["city", "batch_id"])
+                       .withColumns({"records_read": F.col("n"),
+                                     "records_dropped": F.col("n") - F.col("records_written")})
+                       .select(*PIPELINE_METRICS.fieldNames()).cache())
+            metrics.count()
+            write_batch(tagged.filter("kept").select(*FLOW_SILVER.fieldNames()), silver_path)
+        finally:
+            tagged.unpersist()
+        save(metrics)
+    return JobResult(read_layer(spark, silver_path, FLOW_SILVER), metrics, rejects)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
              jdbc_url: str | None = None, jdbc_properties: dict | None = None,
-             estimate_free_flow: bool = False, dag_id: str = "flow", run_id: str = ""
-             ) -> tuple[DataFrame, DataFrame, DataFrame]:
+             estimate_free_flow: bool = False, min_batches: int | None = None,
+             reject_path: str | None = None, metrics_path: str | None = None,
+             dag_id: str = "flow", run_id: str = "") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Latest hour of silver -> (gold KPIs, heat-map points, metrics).
 
+    ``min_batches`` lets a city through only once its hour holds so many batches.
+    Rows that do not fit the serving contract go to the ledger at ``reject_path``.
+
     The hour slice is pruned to the latest ``date`` partition and persisted
     once for its two consumers. Points are appended to the serving table
     only if not already present (a rerun in the same hour adds nothing).
     """
     t0 = time.time()
     silver = read_layer(spark, silver_path, FLOW_SILVER)
-    hour = latest_hour(silver, batch_timestamp("batch_ts"), within="date")
+    hour = latest_hour_of_key(silver, "batch_ts", within="date")
+    if min_batches:
+        full = complete_hours(hour, batch_timestamp("batch_ts"), group=["city"], min_batches=min_batches)
+        hour = hour.join(full.select("city"), "city", "left_semi")
+    latest = hour
     hour = hour.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         gold = hourly_segment_kpis(hour, estimate_free_flow=estimate_free_flow)
@@ -160,15 +248,17 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
                 existing = existing.filter(F.col("observation_ts") >= F.lit(since))
             new_points = append_missing(points, existing,
                                         ["city", "lat", "lon", "observation_ts"])
-            write_serving(new_points.select(*TRAFFIC_POINTS.fieldNames()), "traffic_points",
-                          jdbc_url, props)
+            bad_points = write_serving(new_points.select(*TRAFFIC_POINTS.fieldNames()), "traffic_points",
+                                       jdbc_url, props)
+            write_rejects(bad_points, reject_path and f"{reject_path}/traffic_points", run_key(run_id, run_ts))
             kpis = gold_back.select(*TRAFFIC_KPIS.fieldNames())
             known = read_serving_or_empty(spark, "traffic_kpis", jdbc_url, props, TRAFFIC_KPIS)
             if since is not None:
                 known = known.filter(F.col("observation_ts") >= F.lit(since))
-            write_serving(append_missing(kpis, known,
-                                         ["city", "road_id", "frc", "observation_ts"]),
-                          "traffic_kpis", jdbc_url, props)
+            bad_kpis = write_serving(append_missing(kpis, known,
+                                                    ["city", "road_id", "frc", "observation_ts"]),
+                                     "traffic_kpis", jdbc_url, props)
+            write_rejects(bad_kpis, reject_path and f"{reject_path}/traffic_kpis", run_key(run_id, run_ts))
         read = hour.groupBy("city").agg(F.count(F.lit(1)).alias("records_read"),
                                         F.max("batch_ts").alias("batch_id"))
         wrote = gold_back.groupBy("city").agg(F.count(F.lit(1)).alias("records_written"))
@@ -187,28 +277,38 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
                            F.lit(elapsed).alias("total_execution_time"),
                            F.lit("success").alias("status"),
                            F.lit(None).cast("string").alias("error_message"),
-                           stamp.alias("measured_at"))).cache()
+                           stamp.alias("measured_at"),
+                           (F.col("records_read") - F.coalesce("records_written", F.lit(0)))
+                           .alias("records_aggregated"))).cache()
         metrics.count()
+        with recorded(spark, metrics_path, dag_id, "gold", run_id, run_ts) as save:
+            save(metrics.drop("records_aggregated"))
     finally:
         hour.unpersist()
     # points stay lazy: re-deriving them re-reads only the pruned hour slice
-    points = heatmap_points(latest_hour(silver, batch_timestamp("batch_ts"), within="date"))
-    return gold_back, points, metrics
+    return gold_back, heatmap_points(latest), metrics
 
 
 def bronze_batch_handler(bronze_path: str, metrics_path: str | None = None,
-                         dag_id: str = "flow"):
+                         reject_path: str | None = None, dag_id: str = "flow"):
     """``foreachBatch`` function for ``streaming.ingest_available``.
 
-    Each micro-batch of new raw rows is gated, written with dynamic overwrite
-    (a replayed micro-batch replaces its own partitions) and, optionally,
-    counted into metrics rows keyed by the micro-batch id.
+    Each micro-batch of new raw rows is gated and written. The micro-batch id is
+    the last partition level, so a replayed micro-batch replaces its own files
+    and nothing else: a batch whose files arrive in several micro-batches, late
+    files included, stays whole. Rejects and metrics are kept the same way.
     """
     def handle(df: DataFrame, batch_id: int) -> None:
-        tagged = flow_bronze(df).persist(StorageLevel.MEMORY_AND_DISK)
+        if CORRUPT_COL not in df.columns:
+            df = df.withColumn(CORRUPT_COL, F.lit(None).cast("string"))
+        tagged = gate_bronze(df).withColumn("micro_batch", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                        .select(*[f.name for f in FLOW_BRONZE.fields]), bronze_path)
+                        .select(*FLOW_BRONZE.fieldNames(), "micro_batch"), bronze_path,
+                        partition_by=(*BATCH_PARTITIONS, "micro_batch"))
+            if reject_path:
+                write_batch(tagged.filter(F.col(REJECT_COL).isNotNull()), reject_path,
+                            partition_by=("micro_batch",))
             if metrics_path:
                 m = batch_metrics(tagged, dag_id=dag_id, task_id="bronze",
                                   run_id=f"microbatch-{batch_id}")

@@ -15,24 +15,28 @@ from ..operators.layers import bronze_rules, incident_gold, incident_silver
 from ..operators.metrics import batch_metrics
 from ..operators.payloads import flatten_incidents
 from ..operators.quality import REJECT_COL, tag_rejects
-from ..schemas import INCIDENT_BRONZE, INCIDENT_SILVER, TRAFFIC_INCIDENTS
+from ..schemas import INCIDENT_BRONZE, INCIDENT_SILVER, PIPELINE_METRICS, TRAFFIC_INCIDENTS
 from ..sinks.files import append_missing, write_batch, write_raw
 from ..sinks.jdbc import write_serving
 from ..sources.jdbc import read_serving_or_empty
-from ..sources.files import read_incident_raw, read_layer
-from .flow import JobResult
+from ..sources.files import CORRUPT_COL, read_incident_raw, read_layer
+from .flow import (MALFORMED, JobResult, batches_in, files_in, pending, pending_raw, recorded, run_key,
+                   write_rejects)
 
 
 def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
     """API payload rows (city, batch_ts, payload) -> raw incident files.
 
-    An empty batch is legal (no rows, no error). Returns incidents per
-    (city, batch).
+    An empty incident list is legal (no rows, no error). Returns, per (city,
+    batch), the incidents written and the problems: payloads that could not be
+    read and incidents without a position.
     """
-    flat = flatten_incidents(payloads).persist(StorageLevel.MEMORY_AND_DISK)
+    flat = flatten_incidents(payloads, problem="problem").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_raw(flat, raw_path)
-        counts = flat.groupBy("city", "batch_ts").agg(F.count(F.lit(1)).alias("incidents"))
+        write_raw(flat.filter("problem is null").drop("problem"), raw_path)
+        counts = flat.groupBy("city", "batch_ts").agg(
+            F.count_if(F.col("problem").isNull()).alias("incidents"),
+            F.count("problem").alias("problems"))
         counts = counts.cache()
         counts.count()
     finally:
@@ -41,44 +45,67 @@ def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None,
+               reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "incidents", run_id: str = "") -> JobResult:
+    """Every raw batch that is not in bronze yet -> bronze.
+
+    As in the original, bronze keeps rows with null keys (silver gates them);
+    malformed lines and batch keys that cannot be parsed are rejected here.
+    """
     t0 = time.time()
-    raw = read_incident_raw(spark, raw_path)
-    # as in the original, bronze keeps rows with null keys (silver gates them);
-    # only a batch key that cannot be parsed is rejected here
-    dated = latest_batch(raw, "batch_ts").withColumn("date", batch_date("batch_ts"))
-    tagged = tag_rejects(dated, bronze_rules(required=(), date_col="date")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                    .select(*INCIDENT_BRONZE.fieldNames()), bronze_path)
-        metrics = batch_metrics(tagged, dag_id=dag_id, task_id="bronze", run_id=run_id,
-                                run_ts=run_ts, elapsed=round(time.time() - t0, 3)).cache()
-        metrics.count()
-    finally:
-        tagged.unpersist()
-    return JobResult(read_layer(spark, bronze_path, INCIDENT_BRONZE), metrics)
+    done, ledger = batches_in(spark, bronze_path, INCIDENT_BRONZE), files_in(spark, reject_path)
+    with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
+        rows = pending_raw(read_incident_raw(spark, raw_path, keep_corrupt=True), done, ledger)
+        tagged = tag_rejects(rows.withColumn("date", batch_date("batch_ts")),
+                             [(MALFORMED, F.col(CORRUPT_COL).isNull()),
+                              *bronze_rules(required=(), date_col="date")])
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
+            metrics = batch_metrics(tagged.withColumn("batch_ts", F.coalesce("batch_ts", "of_batch")),
+                                    dag_id=dag_id, task_id="bronze", run_id=run_id, run_ts=run_ts,
+                                    elapsed=round(time.time() - t0, 3)).cache()
+            metrics.count()
+            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
+                        .select(*INCIDENT_BRONZE.fieldNames()), bronze_path)
+        finally:
+            tagged.unpersist()
+        save(metrics)
+    return JobResult(read_layer(spark, bronze_path, INCIDENT_BRONZE), metrics, rejects)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,
-               dedup: bool = False, dag_id: str = "incidents", run_id: str = "") -> JobResult:
+               dedup: bool = False, reject_path: str | None = None, metrics_path: str | None = None,
+               dag_id: str = "incidents", run_id: str = "") -> JobResult:
+    """Every bronze batch that is not in silver yet -> silver; copies left out by ``dedup`` count as dropped."""
     t0 = time.time()
     bronze = read_layer(spark, bronze_path, INCIDENT_BRONZE)
-    tagged = incident_silver(latest_batch(bronze, "batch_ts", within="date"), run_ts, dedup)
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                    .select(*INCIDENT_SILVER.fieldNames()), silver_path)
-        metrics = batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id,
-                                run_ts=run_ts, elapsed=round(time.time() - t0, 3)).cache()
-        metrics.count()
-    finally:
-        tagged.unpersist()
-    return JobResult(read_layer(spark, silver_path, INCIDENT_SILVER), metrics)
+    fresh = pending(bronze, batches_in(spark, silver_path, INCIDENT_SILVER))
+    with recorded(spark, metrics_path, dag_id, "silver", run_id, run_ts) as save:
+        tagged = incident_silver(fresh, run_ts, dedup).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
+            counts = batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id,
+                                   run_ts=run_ts, elapsed=round(time.time() - t0, 3))
+            read = (fresh.groupBy(F.col("city").alias("c"), F.col("batch_ts").alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n")))
+            same = F.col("city").eqNullSafe(F.col("c")) & F.col("batch_id").eqNullSafe(F.col("b"))
+            metrics = (counts.join(read, same)
+                       .withColumns({"records_read": F.col("n"),
+                                     "records_dropped": F.col("n") - F.col("records_written")})
+                       .select(*PIPELINE_METRICS.fieldNames()).cache())
+            metrics.count()
+            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
+                        .select(*INCIDENT_SILVER.fieldNames()), silver_path)
+        finally:
+            tagged.unpersist()
+        save(metrics)
+    return JobResult(read_layer(spark, silver_path, INCIDENT_SILVER), metrics, rejects)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
              jdbc_url: str | None = None, jdbc_properties: dict | None = None,
+             metrics_path: str | None = None,
              dag_id: str = "incidents", run_id: str = "") -> JobResult:
     """Latest silver batch -> 13 serving columns, partitioned by (city, batch_ts).
 
@@ -106,10 +133,22 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
                             dag_id=dag_id, task_id="gold", run_id=run_id, run_ts=run_ts,
                             elapsed=round(time.time() - t0, 3)).cache()
     metrics.count()
+    with recorded(spark, metrics_path, dag_id, "gold", run_id, run_ts) as save:
+        save(metrics)
     return JobResult(back, metrics, rejected)
 
 
-def run_alert(incidents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(worst accident / closure per city and category, readable rows, count)."""
-    worst = worst_incidents(incidents)
+def run_alert(incidents: DataFrame, within: str | None = "batch_ts", metrics_path: str | None = None,
+              run_ts=None, dag_id: str = "incident_alert", run_id: str = ""
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(worst accident / closure per city and category, readable rows, count).
+
+    With ``within`` only the latest partition of gold is read. The run leaves a
+    metrics row: alerts found, per city.
+    """
+    worst = worst_incidents(incidents, within=within)
+    with recorded(incidents.sparkSession, metrics_path, dag_id, "alert", run_id, run_ts) as save:
+        tagged = worst.select("city", F.col("observed_at").cast("string").alias("batch_ts"),
+                              F.lit(None).cast("string").alias(REJECT_COL))
+        save(batch_metrics(tagged, dag_id=dag_id, task_id="alert", run_id=run_id, run_ts=run_ts))
     return worst, alert_rows(worst), alert_summary(worst)

@@ -48,19 +48,24 @@ def build_session(master: str | None = None, app: str = "roadpulse",
     return spark
 
 
-def sizing(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict:
+# Most shuffle partitions: map outputs x reduce partitions must stay trackable.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def sizing(input_bytes: int, total_cores: int, shuffle_bytes: int | None = None,
+           target_bytes: int = 256 << 20) -> dict:
     """Scan-split and shuffle sizing for a job reading ``input_bytes``.
 
-    Splits of ``target_bytes`` keep a task's working set well inside executor
-    memory; the initial shuffle width gives each reducer about one target
-    split (at least two waves of the cluster), and AQE then merges small
-    partitions to the advisory size and splits skewed ones.
+    The shuffle width follows the bytes that are shuffled (a tenth of the input
+    unless given: jobs here shuffle partial aggregates and few columns), at least
+    two waves of the cluster and at most ``MAX_SHUFFLE_PARTITIONS``; AQE merges
+    small partitions to the advisory size and splits skewed ones.
     """
-    splits = max(1, input_bytes // target_bytes)
-    shuffle = max(2 * total_cores, splits)
+    moved = input_bytes // 10 if shuffle_bytes is None else shuffle_bytes
+    width = min(MAX_SHUFFLE_PARTITIONS, max(2 * total_cores, moved // target_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
     }
@@ -76,6 +81,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith(("local[", "local-cluster")) \
+                and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="roadpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -93,24 +101,15 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return os.path.join(checkpoint_root(spark), "roadpulse", *leaf)
 
 
-# Inputs smaller than this are not worth an extra exchange.
-SPREAD_MIN_BYTES = 8 * 1024 * 1024
-
+def spread(df, partitions: int | None = None):
+    """Deal rows evenly over the cores, for costly work per row after a scan with few splits.
 
-def spread_small_scan(df, min_bytes: int = SPREAD_MIN_BYTES):
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A large file written as one row group is read by a single task, so all
-    per-row work before the first shuffle runs on one core. Only then is a
-    (deterministic, retry-safe) round-robin repartition added; a scan with
-    at least as many splits as cores -- any large table -- is left alone.
+    A round-robin exchange, deterministic under retries (see ``DEFAULT_CONF``).
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes:
-        return df
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+
 
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch location that its caller is done with."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

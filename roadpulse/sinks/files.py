@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small, semi_join
+from ..operators.joins import semi_join
 
 BATCH_PARTITIONS = ("city", "date", "batch_ts")
 
@@ -95,6 +95,6 @@ def append_missing(df: DataFrame, existing: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if prune_by:
-        touched = broadcast_if_small(df.select(*prune_by).distinct())
+        touched = df.select(*prune_by).distinct()
         existing = semi_join(existing, touched, list(prune_by), null_safe=False)
     return semi_join(df, existing.select(*keys), keys, null_safe=True, anti=True)

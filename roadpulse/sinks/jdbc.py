@@ -41,6 +41,6 @@ def write_metrics(metrics: DataFrame, path: str | None = None, url: str | None =
                   properties: dict | None = None, table: str = "pipeline_metrics") -> None:
     """Append metrics rows to Parquet and/or the serving database, as one write."""
     if path is not None:
-        metrics.coalesce(1).write.mode("append").parquet(path)
+        metrics.write.mode("append").parquet(path)
     if url is not None:
         metrics.write.jdbc(url, table, mode="append", properties=dict(properties or {}))

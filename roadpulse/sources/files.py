@@ -10,7 +10,8 @@ from ..schemas import FLOW_RAW, INCIDENT_RAW
 CORRUPT_COL = "_corrupt_record"
 
 
-def _with_corrupt(schema: StructType, name: str) -> StructType:
+def with_corrupt(schema: StructType, name: str = CORRUPT_COL) -> StructType:
+    """The schema with a column for the text of lines that cannot be read."""
     return StructType(schema.fields + [StructField(name, StringType(), True)])
 
 
@@ -25,7 +26,7 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType,
     """
     reader = spark.read.option("mode", "PERMISSIVE")
     if keep_corrupt:
-        schema = _with_corrupt(schema, corrupt_col)
+        schema = with_corrupt(schema, corrupt_col)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -56,6 +57,18 @@ def read_json_documents(spark: SparkSession, path: str,
     return reader.json(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def layer_or_empty(spark: SparkSession, path: str | None, schema: StructType) -> DataFrame:
+    """The layer at ``path``, or an empty frame of ``schema`` where nothing was written yet."""
+    if path is None or not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return read_layer(spark, path, schema)
+
+
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
                base_path: str | None = None) -> DataFrame:
     """A lake layer (Parquet) with partition discovery.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,7 +27,10 @@ def read_serving_or_empty(spark: SparkSession, table: str, url: str, properties:
         df.schema  # resolves the table
         return df
     except Exception as e:  # table not created yet (first run)
-        text = str(e).lower()
-        if "not exist" in text or "not found" in text or "no such table" in text:
+        # only a message that names the table itself: a missing column or schema is an error
+        text = str(e).lower().replace('"', "").replace("'", "")
+        name = rf"(\w+\.)*{re.escape(table.lower().split('.')[-1])}"
+        if re.search(rf"(table|relation|table/view|view) {name} (does not|doesnt) exist", text) \
+                or re.search(rf"no such table:? {name}\b|table {name} not found", text):
             return spark.createDataFrame([], schema)
         raise

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.plans import flow, incidents
@@ -46,8 +47,58 @@ def test_flow_replay_is_idempotent(spark, workdir):
     for _ in range(2):
         flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
         flow.run_silver(spark, bronze, silver, run_ts=RUN)
-    assert spark.read.parquet(bronze).count() == 66
-    assert spark.read.parquet(silver).count() == 66
+    # both batches that landed before the first run, once each
+    assert spark.read.parquet(bronze).count() == 132
+    assert spark.read.parquet(silver).count() == 132
+
+
+def test_backlog_and_lagging_city(spark, workdir):
+    """Three batches land before one run; one city's newest batch comes a run later."""
+    raw, bronze, silver = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver"))
+    rows = flow_rows(BATCHES[:3])
+    late = [r for r in rows if r["city"] == "bremen" and r["batch_ts"] == BATCHES[2]]
+    write_flow_batches(raw, BATCHES[:3], rows=[r for r in rows if r not in late])
+    flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    assert flow.run_silver(spark, bronze, silver, run_ts=RUN).output.count() == 66 * 3 - 16
+    write_flow_batches(raw, BATCHES[2:3], rows=late)
+    b = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    assert [(r.city, r.records_read) for r in b.metrics.collect()] == [("bremen", 16)]
+    assert flow.run_silver(spark, bronze, silver, run_ts=RUN).output.count() == 66 * 3
+
+
+def test_jobs_keep_metrics_and_failures(spark, workdir):
+    raw, bronze, silver, kept = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver", "metrics"))
+    write_flow_batches(raw, BATCHES[:1])
+    for _ in range(2):      # a repeated run replaces its own rows
+        flow.run_bronze(spark, raw + "/*.jsonl", bronze + str(_), run_ts=RUN, metrics_path=kept)
+    flow.run_silver(spark, bronze + "0", silver, run_ts=RUN, metrics_path=kept)
+    with pytest.raises(Exception):
+        flow.run_bronze(spark, raw + "/none/*.jsonl", bronze, run_ts=RUN, metrics_path=kept, run_id="bad")
+    rows = spark.read.parquet(kept).collect()
+    assert sorted((r.task_id, r.status) for r in rows) == [("bronze", "failed")] + [("bronze", "success")] * 3 \
+        + [("silver", "success")] * 3
+    assert [r.error_message is None for r in rows if r.status == "failed"] == [False]
+
+
+def test_silver_rejects_are_written(spark, workdir):
+    raw, bronze, silver, ledger = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver", "rejects"))
+    rows = flow_rows(BATCHES[-1:])
+    rows[0]["current_speed"] = None
+    write_flow_batches(raw, BATCHES[-1:], rows=rows)
+    flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
+    s = flow.run_silver(spark, bronze, silver, run_ts=RUN, reject_path=ledger)
+    assert [r.reject_reason for r in s.rejected.collect()] == ["null current_speed"]
+    assert s.output.count() == 65 and sum(r.records_dropped for r in s.metrics.collect()) == 1
+
+
+def test_bad_incident_payloads_are_counted(spark, workdir):
+    rows = [("berlin", "b1", "{broken"), ("berlin", "b1", '{"other": 1}'), ("berlin", "b1", '{"incidents": []}'),
+            ("berlin", "b1", None),
+            ("berlin", "b1", '{"incidents": [{"type": "Feature", "geometry": {"coordinates": [1.0, 2.0]}}, '
+                             '{"type": "Feature", "geometry": {"coordinates": []}}]}')]
+    df = spark.createDataFrame(rows, "city string, batch_ts string, payload string")
+    t = incidents.ingest_payloads(df, os.path.join(workdir, "raw")).first()
+    assert (t.incidents, t.problems) == (1, 4)
 
 
 def test_bronze_rejects_are_counted(spark, workdir):
@@ -58,8 +109,9 @@ def test_bronze_rejects_are_counted(spark, workdir):
     write_flow_batches(raw, BATCHES[-1:], rows=rows, extra_lines=["{not json"])
     rejects = os.path.join(workdir, "rejects")
     res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN, reject_path=rejects)
-    res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN, reject_path=rejects)
     m = res.metrics.collect()
+    again = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts="2026-07-20 21:00:00", reject_path=rejects)
+    assert again.metrics.count() == 0      # no line is rejected twice
     assert sum(r.records_dropped for r in m) == 3
     reasons = sorted(r.reject_reason for r in res.rejected.collect())   # replay: still 3
     assert reasons == ["malformed json line", "null city", "null lat"]
@@ -97,9 +149,9 @@ def test_incident_path_and_alert(spark, workdir):
     write_jsonl(os.path.join(raw, "inc_bremen_1.jsonl"), old)
     write_jsonl(os.path.join(raw, "inc_bremen_2.jsonl"), new)
     b = incidents.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=RUN)
-    assert b.output.count() == 8          # bronze keeps the null-lat row
+    assert b.output.count() == 9          # both batches; bronze keeps the null-lat row
     s = incidents.run_silver(spark, bronze, silver, run_ts=RUN)
-    assert s.output.count() == 7          # silver gates it
+    assert s.output.count() == 8          # silver gates it
     assert sum(r.records_dropped for r in s.metrics.collect()) == 1
     assert s.output.filter("category = '8'").count() == 5
     g = incidents.run_gold(spark, silver, gold, run_ts=RUN)
@@ -136,9 +188,9 @@ def test_bronze_on_partitioned_raw_with_malformed_line(spark, workdir):
     bad_dir = os.path.join(raw, "city=bremen", f"batch_ts={BATCHES[-1]}")
     with open(os.path.join(bad_dir, "extra.json"), "w") as f:
         f.write("{broken\n")
-    for by in (None, ["city"]):
-        bronze = os.path.join(workdir, f"bronze_{by is None}")
-        res = flow.run_bronze(spark, raw, bronze, run_ts=RUN, latest_by=by)
-        m = {r.city: r for r in res.metrics.collect()}
-        assert res.output.count() == 66
-        assert m["bremen"].records_dropped == 1 and m["bremen"].records_written == 16
+    res = flow.run_bronze(spark, raw, os.path.join(workdir, "bronze"), run_ts=RUN)
+    m = {(r.city, r.batch_id): r for r in res.metrics.collect()}
+    assert res.output.count() == 132
+    bad = m["bremen", BATCHES[-1]]
+    assert bad.records_dropped == 1 and bad.records_written == 16
+    assert sum(r.records_dropped for r in m.values()) == 1

@@ -1,13 +1,11 @@
-"""Scale guards: size-checked broadcast with fallback, scan spreading, sizing, hot keys."""
+"""Scale guards: lazy operators, order-independent means, sizing, hot keys, shared folders."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators import keep_one, latest_batch, segment_kpi
-from roadpulse.session import sizing, spread_small_scan
-
-
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+from roadpulse.functions import batch_key
+from roadpulse.operators import conform, keep_one, latest_batch, segment_kpi
+from roadpulse.session import checkpoint_root, sizing, spread
 
 
 def _events(spark):
@@ -15,22 +13,33 @@ def _events(spark):
     return spark.createDataFrame(rows, "city string, batch_ts string, i int")
 
 
-def test_broadcast_only_below_the_checked_size(spark):
+def test_latest_batch_by_group_is_lazy(spark):
     df = _events(spark)
-    small = latest_batch(df, "batch_ts", by=["city"])
-    assert "BroadcastHashJoin" in _plan(small) or "Broadcast" in _plan(small)
-    # beyond the checked size: no hint, and automatic broadcasts off -> shuffle join
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = latest_batch(df, "batch_ts", by=["city"], max_broadcast_rows=1)
-        p = _plan(big)
-        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
-        assert sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert {r.batch_ts for r in small.collect()} == {"b3"} and small.count() == 9
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    out = latest_batch(df, "batch_ts", by=["city"])
+    assert len(jobs.getJobIdsForGroup(None)) == before          # nothing runs while it is built
+    assert {r.batch_ts for r in out.collect()} == {"b3"} and out.count() == 9
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_kpis_do_not_depend_on_partitioning(spark):
+    li = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    from roadpulse.plans.catalog import _lineitem_flow
+    from roadpulse.operators import hourly_segment_kpis
+    rows = [sorted(map(tuple, hourly_segment_kpis(_lineitem_flow(x), observed="observed",
+                                                  estimate_free_flow=True).collect()))
+            for x in (li, li.repartition(7), li.repartition(5, "l_partkey"))]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 6000
+
+
+def test_estimate_is_per_sample(spark):
+    rows = [("a", 100, 0.1), ("a", 10, 1.0)]
+    df = spark.createDataFrame(rows, "city string, travel_time int, speed_ratio double").selectExpr(
+        "*", "1 as current_speed", "1 as free_flow_speed", "1.0D as confidence", "false as road_closure")
+    from roadpulse.operators import hourly_segment_kpis
+    k = hourly_segment_kpis(df, ["city"], estimate_free_flow=True, observed=F.current_timestamp()).first()
+    assert k.est_free_flow_travel_time == 10.0 and k.est_delay_seconds == 45.0
 
 
 def test_hot_key_top1_and_kpi(spark):
@@ -48,20 +57,42 @@ def test_hot_key_top1_and_kpi(spark):
     assert k["hot"].road_segments == 3000 and k["cold"].road_closure == 1
 
 
-def test_spread_only_when_needed(spark):
-    tiny = spark.range(10).coalesce(1)
-    assert spread_small_scan(tiny) is tiny                 # below the size floor
-    wide = spark.range(0, 10, numPartitions=64)
-    assert spread_small_scan(wide, min_bytes=0) is wide    # enough splits already
-    one = spark.range(0, 100000, numPartitions=1)
-    out = spread_small_scan(one, min_bytes=0)
+def test_spread_deals_rows_over_the_cores(spark):
+    out = spread(spark.range(0, 1000, numPartitions=1))
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert out.count() == 100000
+    assert out.count() == 1000
+
+
+def test_conform_rejects_what_does_not_fit(spark):
+    from pyspark.sql import types as T
+    contract = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("t", T.StringType())])
+    df = spark.createDataFrame([("1", "ok"), ("x", "ok"), (None, "too long")], "n string, t string")
+    got = [tuple(r) for r in conform(df, contract, {"t": 3}).collect()]
+    assert got == [(1, "ok", None), (None, "ok", "n is not int"), (None, "too long", "t longer than 3")]
+
+
+def test_batch_key_keeps_null_times(spark):
+    df = spark.createDataFrame([("2026-07-20 19:17:03",), (None,)], "t string").withColumn("t", F.to_timestamp("t"))
+    assert [r.k for r in df.select(batch_key("t").alias("k")).collect()] == ["20260720T191500", None]
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
 
 
 def test_sizing():
     conf = sizing(100 * 1024 ** 4, total_cores=8000)
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 20_000
+    assert int(sizing(100 * 1024 ** 4, 8000, shuffle_bytes=1 << 40)["spark.sql.shuffle.partitions"]) == 16_000
     small = sizing(10 << 20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
