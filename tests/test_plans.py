@@ -107,7 +107,13 @@ def test_no_driver_collect_in_latest_batch(spark):
     assert "Subquery" in p
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# these write files and read them back: what they return is a scan
+WRITES = {"sink_roundtrip", "idempotent_write", "stream_hourly", "stream_dedup", "stream_gold", "bronze_stream",
+          "silver_job_metrics", "incident_job_alert", "silver_backlog", "job_metrics", "snapshot_write",
+          "append_by_city", "json_documents"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_python_udf_in_plans(spark, name):
     p = plan(QUERIES[name](spark, SF))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):

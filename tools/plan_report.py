@@ -12,16 +12,19 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from roadpulse.plans.catalog import QUERIES  # noqa: E402
 from roadpulse.session import build_session  # noqa: E402
 
 SIDE_EFFECTS = {"sink_roundtrip", "idempotent_write", "stream_hourly", "stream_dedup",
-                "silver_job_metrics", "incident_job_alert"}
+                "silver_job_metrics", "incident_job_alert", "stream_gold", "bronze_stream",
+                "silver_backlog", "job_metrics", "snapshot_write", "append_by_city", "json_documents"}
 
 
 def summary(plan: str) -> dict:
     """Counts of distinct operators (the plan text repeats reused subquery trees)."""
-    scans = re.findall(r"FileScan parquet \[[^\]]*\].*?ReadSchema: (struct<[^>]*>)", plan)
+    # every scan's line ends with its read schema; names and types, nested ones included
+    scans = [line.split("ReadSchema: struct<", 1)[1].rstrip()[:-1]
+             for line in plan.splitlines() if "FileScan parquet" in line and "ReadSchema: struct<" in line]
     exchanges = set(re.findall(r"(?<!Broadcast)Exchange [^\n]*?\[plan_id=(\d+)\]", plan))
     broadcasts = set(re.findall(r"BroadcastExchange [^\n]*?\[plan_id=(\d+)\]", plan))
     subqueries = set(re.findall(r"Subquery subquery#(\d+)", plan))
@@ -35,14 +38,14 @@ def summary(plan: str) -> dict:
         "hash_agg": "yes" if "HashAggregate" in plan else "-",
         "subqueries": len(subqueries),
         "python": "yes" if re.search(r"EvalPython|InPandas", plan) else "no",
-        "scan_columns": "; ".join(sorted({s.replace("struct<", "").replace(">", "")
-                                          for s in scans}))[:160],
+        "scan_columns": "; ".join(sorted({s for s in scans if s})),
     }
 
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16, extra={
+        "spark.sql.maxMetadataStringLength": "2000", "spark.sql.debug.maxToStringFields": "200"})
     print(f"# Physical plans ({sf}, local[8])\n")
     print("Generated by `tools/plan_report.py`. Exchanges count shuffles (incl. the "
           "round-robin spread of single-split inputs) by distinct plan id, including those "
@@ -52,7 +55,7 @@ def main():
     print("| query | exchanges | broadcasts | joins | partial_top1 | hash aggs | subqueries "
           "| python | scan columns |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in SIDE_EFFECTS:
             print(f"| {name} | (writes; not planned here) | | | | | | | |")
             continue
