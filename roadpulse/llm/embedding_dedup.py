@@ -238,3 +238,23 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE, trees: int = TRE
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+
+
+def oracle_sql(cosine: float = COSINE) -> str:
+    """DuckDB SQL for the result over the table ``embeddings``, all pairs compared."""
+    return f"""
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= {cosine}),
+    reach AS (
+      SELECT vec_id AS x, vec_id AS y FROM embeddings
+      UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+    counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+    SELECT r.x AS vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.y) AS component_id,
+           r.x = min(r.y) AS kept
+    FROM reach r LEFT JOIN counts c ON c.x = r.x GROUP BY r.x"""

@@ -194,3 +194,72 @@ def quality(docs: DataFrame, references: DataFrame | None = None, text_col: str
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
     return quality(docs, None, text_col, lang_col).where("kept").select("row.*")
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for the counts and the verdict over the table ``documents``."""
+    space = r"[^\x20\x09-\x0D]"
+    classes = ",\n             ".join(
+        f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) AS {k}" for k, p in CLASSES.items())
+    histogram = ", ".join(HISTOGRAM)
+    chars = " + ".join(HISTOGRAM)
+    part = "CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / (x[1] + x[2])) ELSE 0 END"
+    distance = ("sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda x: "
+                + part.format(a="x[1]") + " + " + part.format(a="x[2]") + ")) / 2))")
+    return f"""
+    WITH w AS (
+      SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{space}+') AS ws
+      FROM documents),
+    f AS (
+      SELECT doc_id, lang, ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(t) - length(array_to_string(ws, '')) AS space,
+             {classes} FROM w),
+    h AS (SELECT *, word_chars - {" - ".join(CLASSES)} AS rest FROM f),
+    tri AS (
+      SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS g
+      FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w)
+      WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    rep AS (
+      SELECT doc_id, i FROM tri WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    cover AS (
+      SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) s(k) GROUP BY doc_id),
+    dup AS (
+      SELECT doc_id, count(*) - count(DISTINCT line) AS n
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w)
+      WHERE regexp_matches(line, '{space}') GROUP BY doc_id),
+    words AS (
+      SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(ws) AS word FROM h WHERE n_words >= {GUARD_WORDS})
+      WHERE length(word) <= {SHORT} GROUP BY lang, word),
+    common AS (
+      SELECT lang, word, n FROM words
+      QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {COMMON}),
+    top AS (
+      SELECT lang, list(word ORDER BY n DESC, word) AS ref_words, list(n ORDER BY n DESC, word) AS ns
+      FROM common GROUP BY lang),
+    sums AS (
+      SELECT lang, sum(n_words) AS total, {", ".join(f"sum({k}) AS {k}" for k in HISTOGRAM)}
+      FROM h WHERE n_words >= {GUARD_WORDS} GROUP BY lang),
+    refs AS (
+      SELECT s.lang, ref_words, list_transform(ns, lambda x: x / total)
+               || [greatest(0, 1 - list_sum(list_transform(ns, lambda x: x / total)))] AS ref_shares,
+             list_transform([{histogram}], lambda x: x / ({chars})) AS ref_classes
+      FROM sums s JOIN top ON s.lang IS NOT DISTINCT FROM top.lang),
+    counted AS (
+      SELECT h.*, r.ref_classes, r.ref_shares,
+             list_transform(r.ref_words, lambda t: len(list_filter(h.ws, lambda x: x = t))) AS hits
+      FROM h LEFT JOIN refs r ON h.lang IS NOT DISTINCT FROM r.lang AND h.n_words >= {GUARD_WORDS}),
+    far AS (
+      SELECT *, {distance.format(p=f"list_transform([{histogram}], lambda y: y / ({chars}))", q="ref_classes")} AS dc,
+             {distance.format(p="(list_transform(hits, lambda y: y / n_words) || [(n_words - list_sum(hits)) / n_words])",
+                              q="ref_shares")} AS dw
+      FROM counted),
+    out AS (
+      SELECT far.doc_id, n_words, word_chars, symbol AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+             coalesce(cover.n, 0) AS n_repeat_words, dc, dw
+      FROM far LEFT JOIN dup ON dup.doc_id = far.doc_id LEFT JOIN cover ON cover.doc_id = far.doc_id),
+    judged AS (
+      SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM out)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT coalesce(dc > {CLASS_LIMIT} + {CLASS_NOISE} / sqrt(n_words)
+             OR dw > {WORD_LIMIT} + {WORD_NOISE} / sqrt(n_words), false) AS kept
+    FROM judged"""

@@ -51,7 +51,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.quality(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+        "n_repeat_words", "base_failed", "kept")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +61,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_rp_forest, op2_license_scan, op3_simhash, op4_substring, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
 #: DuckDB SQL of the queries that SQL can express
-ORACLE_SQL = {"op8_line_dedup": line_dedup.oracle_sql()}
+ORACLE_SQL = {"op1_rp_forest": embedding_dedup.oracle_sql(), "op8_line_dedup": line_dedup.oracle_sql(),
+              "op9_quality": quality.oracle_sql()}
