@@ -22,6 +22,13 @@ def formatted(df):
         if hasattr(df._sc._jvm, "PythonSQLUtils") else plan(df)
 
 
+@pytest.fixture(autouse=True)
+def whole_plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")    # else filters are cut off in plan texts
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 @pytest.fixture(scope="module")
 def layer(spark, tmp_path_factory):
     from roadpulse.session import scratch_path
