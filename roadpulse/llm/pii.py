@@ -363,7 +363,12 @@ def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
     text = F.col(text_col).cast("string")
     near = F.concat_ws("  ", F.slice(F.regexp_extract_all(
         text, F.lit(r"([^0-9@]{0,40}[0-9@][\s\S]{0,120})"), F.lit(1)), 1, 8))
-    rows = (docs.where(text.rlike("[0-9@]")).select(F.xxhash64(text).alias("h"), near.alias("near"))
+    able = docs.where(text.rlike("[0-9@]"))
+    # a hash threshold leaves about four times the sample over all tasks, so what they
+    # send to the driver does not grow with their number
+    share = min(1.0, 4.0 * sample_docs / max(1, able.count()))
+    place = F.pmod(F.xxhash64(text), F.lit(1 << 30))
+    rows = (able.where(place < int(share * (1 << 30)) + 1).select(F.xxhash64(text).alias("h"), near.alias("near"))
             .orderBy("h", "near").limit(sample_docs))
     texts = [r["near"] for r in sorted(rows.collect())]
     wins, tags = training_windows(texts, limit, seed)
