@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import line_dedup, packing, pii, quality, simhash
 from roadpulse.llm._util import known_to_workers
-from roadpulse.session import scratch_path
+from roadpulse.session import release, scratch_path
 
 SHINGLE, MAX_BITS = 4, 4
 CAPACITY = 2048
@@ -69,10 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the table ``documents``, each written to the shared folder and read again.
+
+    A stage's table is deleted once the next one is written; the last one stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline", name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            release(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
