@@ -207,23 +207,12 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["ref", "source", "a", "b"])
 
 
-def _cut_out(column: str, out: str):
-    """Replaces the words of a whole document by those around its part of the chain."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places, words = batch.column(column).to_pylist(), batch.column("codes")
-            parts, starts = [], []
-            for p, w in zip(places, words):
-                lo = max(0, p[0] - MARGIN)
-                parts.append(w.as_py()[4 * lo:4 * (p[-1] + K + MARGIN)])
-                starts.append(lo)
-            cols = [batch.column(c) for c in batch.schema.names if c != "codes"]
-            names = [c for c in batch.schema.names if c != "codes"]
-            yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(parts, pa.binary()), pa.array(starts, pa.int32())],
-                names=[*names, out, f"{out}_at"])
-
-    return run
+def _cut_out(joined: DataFrame, places: str, out: str) -> DataFrame:
+    """Puts the words around a document's part of the chain in place of all its words (4 bytes each)."""
+    low = F.greatest(F.lit(0), F.get(places, F.lit(0)) - MARGIN)
+    high = F.element_at(places, -1) + K + MARGIN
+    part = F.substring("codes", 4 * low + 1, 4 * (high - low))
+    return joined.withColumns({out: part, f"{out}_at": low}).drop("codes")
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,12 +296,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     small = needed.count() <= BROADCAST_DOCS
     words = (base.join(F.broadcast(needed) if small else needed, "ref", "left_semi").select("ref", "text")
              .mapInArrow(coded, "ref long, codes binary").dropDuplicates(["ref"]))
-    one = (linked.join(words, "ref").select("ref", "source", "a", "b", "codes")
-           .mapInArrow(_cut_out("a", "x"), "ref long, source long, a array<int>, b array<int>, x binary, x_at int"))
-    two = (one.join(words.withColumnRenamed("ref", "source"), "source")
-           .select("ref", "source", "a", "b", "x", "x_at", "codes")
-           .mapInArrow(_cut_out("b", "y"), "ref long, source long, a array<int>, b array<int>, x binary, x_at int, "
-                                           "y binary, y_at int"))
+    one = _cut_out(linked.join(words, "ref"), "a", "x")
+    two = _cut_out(one.join(words.withColumnRenamed("ref", "source"), "source"), "b", "y")
+    two = two.select("ref", "source", "a", "b", "x", "x_at", "y", "y_at")
     passages = saved(two.mapInArrow(_aligned, "ref long, source long, start long, end long, matches long"))
     names = saved(base.select("ref", "doc_id").distinct())
     passages = passages.join(names.select(F.col("ref").alias("source"), F.col("doc_id").alias("source_id")), "source")
