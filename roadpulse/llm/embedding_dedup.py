@@ -9,9 +9,11 @@ hand on counts and a spanning forest of its links instead of pairs.
 
 Cells are split in rounds. In a round every cell too large gets a small tree
 fitted on a bounded sample of its own rows, chosen by hash, and all its rows are
-routed through it. A cell that its tree does not make smaller stays a leaf and is
-compared block against block, so memory stays bounded for any group of near
-copies.
+routed through it. A cut would part the members of a group of near copies that
+makes up much of its cell. Such groups are found in the sample first, once per
+label and then in every cell: the rows around a group's centre become a leaf of
+their own, and rows all of whose links must lie in it leave the tree. Leaves of
+any size are compared block against block, so memory stays bounded.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ LEVELS = 5
 MAX_ROUNDS = 12
 #: share of a cell's rows on either side of a cut that go to both
 SPILL = 0.12
+#: share of a cell's sample within the bound of one of its rows that makes a group of near copies
+DENSE = 0.05
+#: rows of a group's leaf, at most, as a multiple of the rows within the bound of its centre
+REACH = 4
+#: linked pairs of a comparison from which shared leaves are looked up for all pairs at once
+MANY = 20_000
 
 
 def _doubles(vector_col: str) -> Column:
@@ -99,53 +107,129 @@ def route(unit: np.ndarray, cell: int, cuts: np.ndarray, levels: int) -> tuple[n
     return row, node
 
 
-def forest(found: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
-    """(node, label, cell): the leaves of every class in all trees; ``found`` is saved ``classes``."""
-    cells = found.select("node", "label", "vec", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+def dense_groups(unit: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, reach) of the groups of near copies in a sample: rows at cosine ``reach`` or more belong to one.
+
+    The reach is twice the angle of the bound, where all links of the rows within
+    the bound of the centre end, unless that takes in more than ``REACH`` times
+    these rows.
+    """
+    near = unit @ unit.T
+    open_, centres, reach = np.ones(len(unit), bool), [], []
+    while open_.any():
+        linked = (near[:, open_] >= cosine).sum(1) * open_
+        c = int(linked.argmax())
+        if linked[c] < max(2, DENSE * len(unit)):
+            break
+        limit = np.sort(near[c])[::-1][min(len(unit) - 1, REACH * int(linked[c]))]
+        centres.append(c)
+        reach.append(min(cosine, max(2 * cosine * cosine - 1, limit)))
+        open_ &= near[c] < cosine
+        open_[c] = False  # also where rounding puts a row below the bound of itself
+    return unit[centres], np.array(reach)
+
+
+def in_groups(unit: np.ndarray, centres: np.ndarray, reach: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, groups) who belongs to which, and whether all links of a row end in one group."""
+    near = unit @ centres.T
+    inner = np.cos(np.maximum(0, np.arccos(reach) - np.arccos(cosine)))
+    return near >= reach - 1e-9, ((near >= inner + 1e-9) & (reach < cosine)).any(1)
+
+
+def _cut_cells(cells: DataFrame, large: DataFrame, leaf: int, spill: float, most: int, cosine: float) -> DataFrame:
+    """(node, label, vec, cell, before, whole): the rows of the cells ``large`` (cell, n) in new cells.
+
+    A cell gets at most ``most`` levels. Cells marked ``whole`` are groups of near copies, not to be cut again.
+    """
+    joined = cells.select("node", "label", "vec", "cell").join(large, "cell")
+    sample = (joined.where(F.pmod(F.xxhash64("node", "cell"), F.lit(1 << 30))
+                           < (1 << 30) * F.least(F.lit(1.0), SAMPLE / F.col("n"))))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node")
+        cell, n, unit = int(pdf["cell"].iloc[0]), int(pdf["n"].iloc[0]), _unit(pdf["vec"])
+        centres, reach = dense_groups(unit, cosine)
+        rest = unit[~in_groups(unit, centres, reach, cosine)[1]]
+        levels = min(most, max(0, int(np.ceil(np.log2(max(1, n * len(rest) / len(unit)) / leaf)))))
+        cuts = fit_cuts(rest, cell, levels, spill)
+        return pd.DataFrame({"cell": [cell], "levels": [levels], "cuts": [cuts.ravel().tolist()],
+                             "centres": [centres.ravel().tolist()], "reach": [reach.tolist()]})
+
+    plans = saved(sample.groupBy("cell").applyInPandas(
+        fit, "cell long, levels int, cuts array<double>, centres array<double>, reach array<double>"))
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for cell, part in pdf.groupby("cell", sort=False):
+                levels, unit = int(part["levels"].iloc[0]), _unit(part["vec"])
+                cuts, reach = np.array(part["cuts"].iloc[0]).reshape(-1, 2), np.array(part["reach"].iloc[0])
+                centres = np.array(part["centres"].iloc[0]).reshape(-1, unit.shape[1])
+                member, settled = in_groups(unit, centres, reach, cosine)
+                stay = np.flatnonzero(~settled)
+                at, leaf_of = route(unit[stay], int(cell), cuts, levels)
+                of_group, group = np.nonzero(member)
+                row = np.concatenate([stay[at], of_group])
+                yield pd.DataFrame({
+                    "node": part["node"].to_numpy()[row], "label": part["label"].to_numpy()[row],
+                    "vec": part["vec"].to_numpy()[row], "leaf": np.concatenate([leaf_of, -1 - group]),
+                    "old": int(cell), "before": part["n"].to_numpy()[row]})
+
+    sent = (joined.join(plans, "cell")
+            .mapInPandas(send, "node long, label string, vec array<double>, leaf long, old long, before long"))
+    return saved(sent.select("node", "label", "vec", F.xxhash64("old", "leaf").alias("cell"), "before",
+                             (F.col("leaf") < 0).alias("whole")))
+
+
+def forest(found: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, *,
+           cosine: float = COSINE) -> DataFrame:
+    """(node, label, cell): the leaves of every class in all trees; ``found`` is saved ``classes``.
+
+    A class has no leaf in a tree where a group of near copies holds all its links.
+    """
+    # groups that make up much of a label are the same for all trees
+    cells = found.select("node", "label", "vec", F.xxhash64("label").alias("cell"))
+    large = saved(cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > leaf))
+    sent = _cut_cells(cells, large, leaf, spill, 0, cosine)
+    done = sent.where("whole").select("node", "label", "cell")
+    cells = (cells.join(large.select("cell"), "cell", "left_anti").select("node", "label", "vec")
+             .union(sent.where("not whole").select("node", "label", "vec")))
+    cells = cells.select("node", "label", "vec", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     cells = cells.select("node", "label", "vec", F.xxhash64("tree", "label").alias("cell"), F.lit(None).cast("long").alias("before"))
-    done = None
     for _ in range(MAX_ROUNDS):
         sizes = saved(cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("before").alias("before")))
         # split a cell that is too large, unless its parent's tree took away less than a tenth
         split = F.col("n") > leaf
         stuck = F.col("before").isNotNull() & (F.col("n") > 0.9 * F.col("before"))
-        large = sizes.where(split & ~stuck)
+        large = sizes.where(split & ~stuck).select("cell", "n")
         if large.isEmpty():
-            rest = cells.select("node", "label", "cell")
-            return rest if done is None else done.union(rest)
-        levels = F.least(F.lit(LEVELS), F.ceil(F.log2(F.col("n") / leaf))).cast("int")
-        large = large.select("cell", "n", levels.alias("levels"))
-        joined = cells.drop("before").join(large, "cell")
-        sample = (joined.where(F.pmod(F.xxhash64("node", "cell"), F.lit(1 << 30))
-                               < (1 << 30) * F.least(F.lit(1.0), SAMPLE / F.col("n"))))
-
-        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("node")
-            cell, levels = int(pdf["cell"].iloc[0]), int(pdf["levels"].iloc[0])
-            cuts = fit_cuts(_unit(pdf["vec"]), cell, levels, spill)
-            return pd.DataFrame({"cell": [cell], "cuts": [cuts.ravel().tolist()]})
-
-        plans = saved(sample.groupBy("cell").applyInPandas(fit, "cell long, cuts array<double>"))
-
-        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for cell, part in pdf.groupby("cell", sort=False):
-                    levels = int(part["levels"].iloc[0])
-                    cuts = np.array(part["cuts"].iloc[0]).reshape(-1, 2)
-                    row, leaf_of = route(_unit(part["vec"]), int(cell), cuts, levels)
-                    yield pd.DataFrame({
-                        "node": part["node"].to_numpy()[row], "label": part["label"].to_numpy()[row],
-                        "vec": part["vec"].to_numpy()[row], "leaf": leaf_of, "old": int(cell),
-                        "before": part["n"].to_numpy()[row]})
-
-        sent = (joined.join(plans, "cell")
-                .mapInPandas(send, "node long, label string, vec array<double>, leaf long, old long, before long")
-                .select("node", "label", "vec", F.xxhash64("old", "leaf").alias("cell"), "before"))
+            break
+        sent = _cut_cells(cells, large, leaf, spill, LEVELS, cosine)
         small = cells.join(large.select("cell"), "cell", "left_anti").select("node", "label", "cell")
-        done = small if done is None else done.union(small)
-        cells = saved(sent)
-    rest = cells.select("node", "label", "cell")
-    return done.union(rest)
+        done = done.union(small).union(sent.where("whole").select("node", "label", "cell"))
+        cells = sent.where("not whole").drop("whole")
+    return done.union(cells.select("node", "label", "cell"))
+
+
+def met_before(ok: np.ndarray, left: list, right: list, here: int) -> np.ndarray:
+    """Which of the linked pairs ``ok`` share a leaf that comes before ``here``; lists of leaves are sorted."""
+    out = np.zeros(ok.shape, bool)
+    if np.count_nonzero(ok) < MANY:
+        for x, y in zip(*(i.tolist() for i in np.nonzero(ok))):
+            out[x, y] = left[x][0] != here and min(set(left[x]).intersection(right[y])) != here
+        return out
+    # a column for each earlier leaf that both sides know, some at a time
+    flat = [(np.repeat(np.arange(len(side)), [len(c) for c in side]), np.concatenate(side)) for side in (left, right)]
+    shared = np.intersect1d(flat[0][1], flat[1][1])
+    shared = shared[shared < here]
+    for lo in range(0, len(shared), 1024):
+        part, marks = shared[lo:lo + 1024], []
+        for (row, cell), side in zip(flat, (left, right)):
+            hit = np.isin(cell, part)
+            mark = np.zeros((len(side), len(part)), np.float32)
+            mark[row[hit], np.searchsorted(part, cell[hit])] = 1
+            marks.append(mark)
+        out |= marks[0] @ marks[1].T > 0
+    return out & ok
 
 
 def links_in_leaves(found: DataFrame, leaves: DataFrame, cosine: float = COSINE, block: int = LEAF) -> DataFrame:
@@ -175,29 +259,24 @@ def links_in_leaves(found: DataFrame, leaves: DataFrame, cosine: float = COSINE,
             ca, cb = left["copies"].to_numpy(), right["copies"].to_numpy()
             la, lb = left["cells"].tolist(), right["cells"].tolist()
             count_a, count_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-            parent: dict[int, int] = {}
-
-            def top(x: int) -> int:
-                while (up := parent.setdefault(x, x)) != x:
-                    parent[x] = parent[up]
-                    x = parent[x]
-                return x
-
+            # every class's tree in the spanning forest: same classes stand at the same place on both sides
+            nodes, at_both = np.unique(np.concatenate([na, nb]), return_inverse=True)
+            top, at_a, at_b = np.arange(len(nodes)), at_both[:len(na)], at_both[len(na):]
             for at in range(0, len(a), 512):
-                i, j = np.nonzero(a[at:at + 512] @ b.T >= cosine)
-                i = i + at
+                ok = a[at:at + 512] @ b.T >= cosine
                 if same:
-                    i, j = i[na[i] < nb[j]], j[na[i] < nb[j]]
-                for x, y in zip(i.tolist(), j.tolist()):
-                    mine = la[x]
-                    if here != mine[0] and here != min(set(mine).intersection(lb[y])):
-                        continue
-                    count_a[x] += cb[y]
-                    count_b[y] += ca[x]
-                    r, s = top(int(na[x])), top(int(nb[y]))
-                    if r != s:
-                        parent[s] = r
-                        out.append((int(na[x]), int(nb[y]), 0))
+                    ok &= na[at:at + 512, None] < nb
+                ok &= ~met_before(ok, la[at:at + 512], lb, here)
+                count_a[at:at + 512] += ok @ cb
+                count_b += ca[at:at + 512] @ ok
+                for x in np.flatnonzero(ok.any(1)).tolist():
+                    y = np.flatnonzero(ok[x])
+                    mine = at_a[at + x]
+                    other, first_of = np.unique(top[at_b[y]], return_index=True)
+                    for t, f in zip(other.tolist(), first_of.tolist()):
+                        if t != top[mine]:
+                            top[top == t] = top[mine]
+                            out.append((int(na[at + x]), int(nb[y[f]]), 0))
             out += [(n, None, c) for n, c in zip(na.tolist(), count_a.tolist()) if c]
             out += [(n, None, c) for n, c in zip(nb.tolist(), count_b.tolist()) if c]
         return pd.DataFrame({"a": pd.array([o[0] for o in out], "Int64"), "b": pd.array([o[1] for o in out], "Int64"),
@@ -222,7 +301,7 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE, trees: int = TRE
     table gives an empty result; other columns are not read.
     """
     found = saved(classes(vectors, id_col, vector_col, label_col))
-    links = saved(links_in_leaves(found, forest(found, trees), cosine))
+    links = saved(links_in_leaves(found, forest(found, trees, cosine=cosine), cosine))
     roots = connected_components(links.where("b is not null"))
     counts = links.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     named = (found.drop("vec").join(counts, "node", "left").join(roots, "node", "left")

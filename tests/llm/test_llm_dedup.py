@@ -184,6 +184,32 @@ def test_forest_finds_the_links(spark, leaf, monkeypatch):
     assert 0.9 * all_of <= found <= all_of
 
 
+def test_forest_keeps_large_groups_of_near_copies_whole(spark):
+    rng = np.random.default_rng(8)
+    dim, size = 64, 10_500
+    centre = rng.normal(size=(2, dim))
+    tight = centre[0] + rng.normal(0, 0.22, (size, dim))           # all pairs link
+    loose = centre[1] + rng.normal(0, 0.28, (2_000, dim))          # many pairs, not all
+    rows = np.concatenate([tight, loose, rng.normal(size=(2_000, dim))]).astype(np.float32)
+    unit = embedding_dedup._unit(rows)
+    want = np.concatenate([(unit[i:i + 1_000] @ unit.T >= 0.93).sum(1) - 1 for i in range(0, len(unit), 1_000)])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<float>")
+    got = embedding_dedup.embedding_dedup(df.withColumn("label", F.lit(0))).orderBy("vec_id").collect()
+    links = np.array([r.n_links for r in got])
+    assert want[:size].min() > 0.9 * size and (links <= want).all()
+    assert (links[:size] == want[:size]).all() and {r.component_id for r in got[:size]} == {0}
+    assert links[size:].sum() >= 0.95 * want[size:].sum()
+
+
+def test_pairs_met_before_are_found_alike_one_by_one_and_at_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    cells = [sorted({0, *rng.integers(-30, 30, 3).tolist()}) for _ in range(90)]
+    ok = rng.random((40, 50)) < 0.5
+    alone = embedding_dedup.met_before(ok, cells[:40], cells[40:], 0)
+    monkeypatch.setattr(embedding_dedup, "MANY", 0)
+    assert alone.any() and (alone == embedding_dedup.met_before(ok, cells[:40], cells[40:], 0)).all()
+
+
 def test_forest_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1),
