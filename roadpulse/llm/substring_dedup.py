@@ -6,7 +6,8 @@ two texts share hold a common one. Every seed is linked to its first occurrence
 matching seeds are chained in order of both texts, with a cost for the words left
 out, through a Fenwick tree of prefix maxima. Chains are then aligned: words
 between anchors and beyond the ends are compared, with small edit tables where
-they differ. Adjoining passages of a document make one, so a passage counts even
+they differ. A chain of which too little matches is split where most words are left
+out, and its parts are judged again. Adjoining passages of a document make one, so a passage counts even
 where its halves were first seen in different documents.
 """
 
@@ -148,24 +149,61 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
     return i, j, n
 
 
-def align(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
-    """(start, end, start in y, end in y, matches) of the chain of anchors (a, b) in the words x and y."""
-    matches = K
+def steps(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Words matched from the end of each anchor (a, b) of a chain to the end of the next one."""
+    out = []
     for p, q, r, s in zip(a[:-1].tolist(), a[1:].tolist(), b[:-1].tolist(), b[1:].tolist()):
         if q - p == s - r:
             same = int((x[p + K:q + K] == y[r + K:s + K]).sum())
             if same == q - p or q - p <= K:
-                matches += same
+                out.append(same)
                 continue
         # anchors overlap or words between them differ: what lies after the first, up to the end of the second
         over = max(0, p + K - q, r + K - s)
-        matches += edit_matches(x[p + K:q], y[r + K:s]) + K - over
+        out.append(edit_matches(x[p + K:q], y[r + K:s]) + K - over)
+    return np.array(out, np.int64)
+
+
+def extend_equal(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
+    """Like ``extend``, up to the first difference."""
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    n = int(differ[0]) if len(differ) else n
+    return n, n, n
+
+
+def align(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, matched: np.ndarray | None = None,
+          further=extend) -> tuple[int, int, int, int, int]:
+    """(start, end, start in y, end in y, matches) of the chain of anchors (a, b) in the words x and y."""
+    matches = K + int((steps(x, y, a, b) if matched is None else matched).sum())
     start, end, y0, y1 = int(a[0]), int(a[-1]) + K, int(b[0]), int(b[-1]) + K
-    i, j, n = extend(x[:start][::-1], y[:y0][::-1])
-    p, q, m = extend(x[end:], y[y1:])
+    i, j, n = further(x[:start][::-1], y[:y0][::-1])
+    p, q, m = further(x[end:], y[y1:])
     return start - i, end + p, y0 - j, y1 + q, matches + n + m
 
 
+def passages(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, bool]]:
+    """(start, end, matches, whole) of the passages in a chain: the chain itself, or its parts of which enough matches.
+
+    A part that does not pass is split again; the words of a single anchor all match.
+    """
+    matched = steps(x, y, a, b)
+    left_out = np.maximum(np.diff(a), np.diff(b)) - matched
+    out, todo = [], [(0, len(a))]
+    while todo:
+        lo, hi = todo.pop()
+        part = a[lo:hi], b[lo:hi], matched[lo:hi - 1]
+        for further in (extend, extend_equal):
+            start, end, y0, y1, n = align(x, y, *part, further)
+            if n >= IDENTITY * max(end - start, y1 - y0):
+                out.append((start, end, n, further is extend and hi - lo == len(a)))
+                break
+        else:
+            cut = lo + 1 + int(left_out[lo:hi - 1].argmax())
+            todo += [(lo, cut), (cut, hi)]
+    return sorted(out)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of a partition sorted by ``key``, in tables that hold whole groups."""
     held: list[pa.RecordBatch] = []
@@ -220,28 +258,32 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for r in batch.to_pylist():
             x, y = np.frombuffer(r["x"], np.uint32), np.frombuffer(r["y"], np.uint32)
-            start, end, y0, y1, n = align(x, y, np.array(r["a"]) - r["x_at"], np.array(r["b"]) - r["y_at"])
-            if n >= IDENTITY * max(end - start, y1 - y0):
-                rows.append((r["ref"], r["source"], start + r["x_at"], end + r["x_at"], n))
-        cols = list(zip(*rows)) or [()] * 5
+            for start, end, n, whole in passages(x, y, np.array(r["a"]) - r["x_at"], np.array(r["b"]) - r["y_at"]):
+                rows.append((r["ref"], r["source"], start + r["x_at"], end + r["x_at"], n, ADJOIN if whole else 0))
+        cols = list(zip(*rows)) or [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                         names=["ref", "source", "start", "end", "matches"])
+                                         names=["ref", "source", "start", "end", "matches", "adjoin"])
 
 
 def _merged(min_words: int):
-    """Adjoining passages of each document as one, if it is long enough."""
+    """Adjoining passages of each document as one, if it is long enough.
+
+    Parts of a split chain adjoin without a gap only: words between them did not match.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "ref"):
             rows: list[list] = []
-            spans = sorted(zip(*(table.column(c).to_pylist() for c in ("ref", "start", "end", "source_id"))),
+            spans = sorted(zip(*(table.column(c).to_pylist() for c in ("ref", "start", "end", "source_id", "adjoin"))),
                            key=lambda s: (s[0], s[1], -s[2], s[3]))
-            for ref, start, end, source in spans:
-                if rows and rows[-1][0] == ref and start <= rows[-1][2] + ADJOIN:
+            for ref, start, end, source, adjoin in spans:
+                if rows and rows[-1][0] == ref and start <= rows[-1][2] + min(rows[-1][4], adjoin):
+                    if end >= rows[-1][2]:
+                        rows[-1][4] = max(adjoin, rows[-1][4]) if end == rows[-1][2] else adjoin
                     rows[-1][2] = max(rows[-1][2], end)
                     rows[-1][3].add(source)
                 else:
-                    rows.append([ref, start, end, {source}])
-            rows = [[r, a, b, sorted(s)] for r, a, b, s in rows if b - a >= min_words]
+                    rows.append([ref, start, end, {source}, adjoin])
+            rows = [[r, a, b, sorted(s)] for r, a, b, s, _ in rows if b - a >= min_words]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)],
                                              names=["ref", "start", "end", "sources"])
@@ -299,9 +341,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     one = _cut_out(linked.join(words, "ref"), "a", "x")
     two = _cut_out(one.join(words.withColumnRenamed("ref", "source"), "source"), "b", "y")
     two = two.select("ref", "source", "a", "b", "x", "x_at", "y", "y_at")
-    passages = saved(two.mapInArrow(_aligned, "ref long, source long, start long, end long, matches long"))
+    found = saved(two.mapInArrow(_aligned, "ref long, source long, start long, end long, matches long, adjoin long"))
     names = saved(base.select("ref", "doc_id").distinct())
-    passages = passages.join(names.select(F.col("ref").alias("source"), F.col("doc_id").alias("source_id")), "source")
-    merged = (passages.select("ref", "start", "end", "source_id").repartition("ref").sortWithinPartitions("ref")
+    found = found.join(names.select(F.col("ref").alias("source"), F.col("doc_id").alias("source_id")), "source")
+    merged = (found.select("ref", "start", "end", "source_id", "adjoin").repartition("ref").sortWithinPartitions("ref")
               .mapInArrow(_merged(min_words), "ref long, start long, end long, sources array<long>"))
     return merged.join(names, "ref").select("doc_id", "start", "end", "sources")

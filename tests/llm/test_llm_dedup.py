@@ -282,3 +282,35 @@ def test_fuzzy_passage_and_odd_rows(spark):
     assert abs(got[2][0] - 40) <= 1 and abs(got[2][1] - 108) <= 1 and got[2][2] == [1]
     assert got[7] == (0, 150, [3])
     assert substring_dedup.repeated_passages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sizes,between", [((55, 55), 32), ((55, 55, 55, 55), 24), ((120, 60, 80), 38)])
+def test_passages_apart_in_one_document_only(spark, sizes, between):
+    """Every exact window of 50 words is reported where words stand between the passages on one side."""
+    rng = random.Random(6)
+    words = lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+    rows, need = [], {}
+    for pair in range(12):
+        parts = [words(n) for n in sizes]
+        near = words(30) + [w for p in parts for w in p] + words(30)
+        apart = words(30) + [w for p in parts for w in p + words(between)]
+        for k, text in enumerate([near, apart] if pair % 2 else [apart, near]):
+            rows.append((2 * pair + k, " ".join(text)))
+        seen = {tuple(rows[-2][1].split()[i:i + 50]) for i in range(len(rows[-2][1].split()) - 49)}
+        last = rows[-1][1].split()
+        need[rows[-1][0]] = [i for i in range(len(last) - 49) if tuple(last[i:i + 50]) in seen]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {}
+    for r in substring_dedup.repeated_passages(df).collect():
+        spans.setdefault(r.doc_id, []).append((r.start, r.end))
+    for doc, windows in need.items():
+        assert windows and all(any(a <= i and i + 50 <= b for a, b in spans.get(doc, ())) for i in windows)
+
+
+def test_split_chains_do_not_report_what_differs(spark):
+    rng = random.Random(7)
+    words = lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+    kept = [words(7) for _ in range(30)]                # 7 of 10 words match, all through
+    text = lambda: " ".join(w for k in kept for w in k + words(3))
+    df = spark.createDataFrame([(1, text()), (2, text())], "doc_id long, text string")
+    assert substring_dedup.repeated_passages(df).count() == 0
