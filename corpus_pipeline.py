@@ -38,14 +38,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Rows without an id stay; of rows that repeat one id, one stays.
+    A row without an id stays only where its group has no id at all; of rows that
+    repeat one id or have none, each group keeps one.
     """
     known_to_workers(spark)
-    marks = simhash.simhash_dedup(docs, SHINGLE, MAX_BITS).where("kept").select("doc_id").distinct()
-    marks = marks.withColumnRenamed("doc_id", "_kept_id")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    kept = rows.join(marks, F.col("id") == F.col("_kept_id"), "left_semi")
-    return kept.unionByName(rows.where("id is null")).select("row.*")
+    return simhash.one_per_component(docs, SHINGLE, MAX_BITS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

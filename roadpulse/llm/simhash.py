@@ -298,6 +298,32 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT
     return links
 
 
+def one_per_component(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """One row of each component: the smallest id, null ids last, and the smallest hash of the whole row.
+
+    Rows are told apart by id and hash, so neither repeated nor null ids keep more than one.
+    """
+    mark = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), mark.alias("mark"))
+    texts = rows.select("mark", F.col("row")[text_col].alias("text"))
+    prints = saved(fingerprints(texts, shingle, "mark", "text").select(F.col("doc_id").alias("mark"), "fp").distinct())
+    nodes = saved(prints.select("fp").distinct())
+    roots = connected_components(fingerprint_links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    ids = rows.groupBy("id", "mark").agg(F.count("*").alias("n"))
+    named = ids.join(prints, "mark").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "mark", "n"))
+    kept = saved(named.groupBy("root").agg(first.alias("k")).select(
+        F.col("k.id").alias("kept_id"), F.col("k.mark").alias("kept_mark"), "k.n"))
+
+    def of(which: DataFrame) -> DataFrame:
+        same = rows["id"].eqNullSafe(which["kept_id"]) & (rows["mark"] == which["kept_mark"])
+        return rows.join(which, same, "left_semi")
+
+    # only rows that are there several times need to be brought together
+    return of(kept.where("n = 1")).union(of(kept.where("n > 1")).dropDuplicates(["id", "mark"])).select("row.*")
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, fingerprint, component_id and kept.

@@ -403,3 +403,17 @@ def test_pipeline(spark):
     assert {r.doc_id: r.length for r in seen[4]} == want
     assert sorted((r.doc_id, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, path).collect()) == \
         sorted((r.doc_id, r.length, r.ids_crc32) for r in seen[4])
+
+
+def test_copies_stage_with_repeated_and_null_ids(spark):
+    import corpus_pipeline
+    rng = random.Random(11)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(4))
+    rows = [(5, a, "x"), (5, a, "x"), (5, a, "y"), (5, b, "x"), (3, b, "x"), (None, a, "x"),
+            (None, c, "x"), (None, c, "x"), (None, c, "y"), (None, d, "x"), (9, None, "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.drop_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (3, b), (None, c), (None, d), (9, None)], key=str)
+    assert corpus_pipeline.drop_copies(spark, docs.limit(0), "").count() == 0
