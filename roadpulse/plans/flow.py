@@ -52,12 +52,15 @@ def batches_in(spark: SparkSession, path: str, schema) -> DataFrame:
     return layer_or_empty(spark, path, schema).select("city", "batch_ts").distinct().checkpoint()
 
 
-def files_in(spark: SparkSession, reject_path: str | None) -> DataFrame:
-    """Files that the reject ledger names so far."""
-    if reject_path is None or not path_exists(spark, reject_path):
-        return spark.createDataFrame([], "source_file string")
+def files_in(spark: SparkSession, reject_path: str | None) -> DataFrame | None:
+    """(source_file, run): files that the reject ledger names so far; None without a ledger."""
+    if reject_path is None:
+        return None
+    if not path_exists(spark, reject_path):
+        return spark.createDataFrame([], "source_file string, run string")
     checkpoint_root(spark)
-    return spark.read.parquet(reject_path).select("source_file").distinct().checkpoint()
+    return (spark.read.parquet(reject_path)
+            .select("source_file", F.col("run").cast("string").alias("run")).distinct().checkpoint())
 
 
 def pending(rows: DataFrame, done: DataFrame, keys=("city", "batch_ts")) -> DataFrame:
@@ -65,13 +68,15 @@ def pending(rows: DataFrame, done: DataFrame, keys=("city", "batch_ts")) -> Data
     return semi_join(rows, done.select(*keys).distinct(), list(keys), null_safe=True, anti=True)
 
 
-def pending_raw(raw: DataFrame, done: DataFrame, ledger: DataFrame) -> DataFrame:
+def pending_raw(raw: DataFrame, done: DataFrame, ledger: DataFrame | None, key: str = "") -> DataFrame:
     """Raw rows not processed yet, with the batch (``of_batch``) each belongs to.
 
     A row with city and batch belongs to that batch. A malformed line, or a row
-    without city or batch, belongs to the newest batch of its file and counts as
-    processed with it; in a file without any batch it counts as processed once its
-    file is in the reject ledger.
+    without city or batch, is listed under the newest batch of its file and counts
+    as processed once its file is in the reject ledger; what run ``key`` itself left
+    there counts only if all batches of the file are done, so that a repeated run
+    does not lose it. Without a ledger such a line counts as processed when all
+    batches of its file, by city, are.
     """
     raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
     whole = F.col(CORRUPT_COL).isNull() & F.col("city").isNotNull() & F.col("batch_ts").isNotNull()
@@ -79,14 +84,21 @@ def pending_raw(raw: DataFrame, done: DataFrame, ledger: DataFrame) -> DataFrame
     # Spark refuses a JSON scan of the corrupt column alone (city and batch may be folder
     # names), so a data column is counted as well
     data = next(c for c in raw.columns if c not in ("city", "batch_ts", "source_file", CORRUPT_COL))
-    files = (raw.filter(whole).groupBy("source_file")
-             .agg(F.max("batch_ts").alias("file_batch"), F.count(data).alias("n")).filter("n >= 0").drop("n"))
+    pairs = (raw.filter(whole).groupBy("source_file", "city", "batch_ts")
+             .agg(F.count(data).alias("n")).filter("n >= 0").drop("n"))
+    held = done.select("city", "batch_ts").distinct().withColumn("held", F.lit(True))
+    files = (pairs.join(held, ["city", "batch_ts"], "left").groupBy("source_file")
+             .agg(F.max("batch_ts").alias("file_batch"), F.every(F.coalesce("held", F.lit(False))).alias("all_held")))
     rest = (raw.filter(~whole).join(files, "source_file", "left")
             .withColumn("of_batch", F.coalesce("batch_ts", "file_batch")).drop("file_batch"))
-    known = done.select(F.col("batch_ts").alias("done_batch")).distinct()
-    rest = rest.join(known, rest["of_batch"] == known["done_batch"], "left_anti")
-    seen = ledger.select(F.col("source_file").alias("done_file")).distinct()
-    rest = rest.join(seen, (rest["source_file"] == seen["done_file"]) & rest["of_batch"].isNull(), "left_anti")
+    held_all = F.coalesce("all_held", F.lit(False))
+    if ledger is None:
+        rest = rest.filter(~held_all)
+    else:
+        seen = ledger.groupBy("source_file").agg(F.max(F.col("run") != key).alias("by_others"))
+        held_all = held_all | F.col("all_held").isNull()  # a file without any batch has nothing to wait for
+        rest = (rest.join(seen, "source_file", "left")
+                .filter(F.col("by_others").isNull() | (~F.col("by_others") & ~held_all)))
     return fresh.unionByName(rest.select(*fresh.columns))
 
 
@@ -157,7 +169,8 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
     t0 = time.time()
     done, ledger = batches_in(spark, bronze_path, FLOW_BRONZE), files_in(spark, reject_path)
     with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
-        rows = pending_raw(read_flow_raw(spark, raw_path, keep_corrupt=True), done, ledger)
+        rows = pending_raw(read_flow_raw(spark, raw_path, keep_corrupt=True), done, ledger,
+                           run_key(run_id, run_ts))
         # the frame is written, counted and its rejects kept: read the input once
         tagged = gate_bronze(rows, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
         try:

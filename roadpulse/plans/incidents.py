@@ -55,7 +55,8 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
     t0 = time.time()
     done, ledger = batches_in(spark, bronze_path, INCIDENT_BRONZE), files_in(spark, reject_path)
     with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
-        rows = pending_raw(read_incident_raw(spark, raw_path, keep_corrupt=True), done, ledger)
+        rows = pending_raw(read_incident_raw(spark, raw_path, keep_corrupt=True), done, ledger,
+                           run_key(run_id, run_ts))
         tagged = tag_rejects(rows.withColumn("date", batch_date("batch_ts")),
                              [(MALFORMED, F.col(CORRUPT_COL).isNull()),
                               *bronze_rules(required=(), date_col="date")])

@@ -120,6 +120,23 @@ def test_bronze_rejects_are_counted(spark, workdir):
     assert res.output.schema == FLOW_BRONZE or set(res.output.columns) == set(FLOW_BRONZE.fieldNames())
 
 
+@pytest.mark.parametrize("with_ledger", [True, False])
+def test_bad_lines_of_a_late_city_are_rejected_once(spark, workdir, with_ledger):
+    raw, bronze = os.path.join(workdir, "raw"), os.path.join(workdir, "bronze")
+    rejects = os.path.join(workdir, "rejects") if with_ledger else None
+    rows, counts = flow_rows(BATCHES[-1:]), []
+    for hour, city in enumerate(("berlin", "bremen", None)):    # one city a run, then nothing new
+        if city:
+            write_jsonl(os.path.join(raw, f"{city}.jsonl"), [r for r in rows if r["city"] == city])
+            with open(os.path.join(raw, f"{city}.jsonl"), "a") as f:
+                f.write("{not json\n")
+        res = flow.run_bronze(spark, raw + "/*.jsonl", bronze, run_ts=f"2026-07-20 2{hour}:00:00", reject_path=rejects)
+        counts.append(sum(r.records_dropped for r in res.metrics.collect()))
+    assert counts == [1, 1, 0]
+    if with_ledger:
+        assert sorted(r.source_file.rsplit("/", 1)[1] for r in res.rejected.collect()) == ["berlin.jsonl", "bremen.jsonl"]
+
+
 def test_silver_dedups_and_keys(spark, workdir):
     raw, bronze, silver = (os.path.join(workdir, p) for p in ("raw", "bronze", "silver"))
     rows = flow_rows(BATCHES[-1:])
