@@ -5,7 +5,9 @@ smallest hash of every ``W`` neighbours is kept, all of a short template), which
 gives an inverted index from hash to places in templates. The index has the size
 of the templates, not of the corpus, and goes to every task. All windows of a
 document are looked up in it; a hit names a template and a diagonal, and along
-each diagonal the words are aligned within a band (Smith-Waterman). Reported are
+each diagonal the words are aligned within a band (Smith-Waterman). A short template
+need not leave a window whole: every one of its words names a diagonal, and those
+are aligned around which enough of its words stand. Reported are
 the matched share of the template and the matched characters of the document.
 """
 
@@ -25,6 +27,8 @@ from ._util import ids_and_texts
 K, W, BAND = 3, 3, 8
 #: reported when so much of a template's words match
 COVERAGE = 0.8
+#: words of a template up to which single words name diagonals
+SHORT = 12
 #: most bytes of template text that the index may be built from and sent to tasks
 MAX_TEMPLATE_BYTES = 16 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -96,9 +100,13 @@ class Index:
         self.codes = [word_codes(_word.findall(t)) for t in templates.values()]
         self.places: dict[int, list[tuple[int, int]]] = {}
         for n, codes in enumerate(self.codes):
+            if len(codes) <= SHORT:
+                continue
             h = window_hashes(codes)
             for p in winnow(h).tolist():
                 self.places.setdefault(int(h[p]), []).append((n, p))
+        self.short = [n for n, codes in enumerate(self.codes) if 0 < len(codes) <= SHORT]
+        self.short_words = np.unique(np.concatenate([self.codes[n] for n in self.short] or [np.zeros(0, np.uint64)]))
         self.hashes = np.array(sorted(self.places), np.uint64)
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
@@ -141,35 +149,71 @@ def align(a: np.ndarray, b: np.ndarray, diagonal: int) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def near_diagonals(codes: np.ndarray, known: np.ndarray, template: np.ndarray, coverage: float) -> list[int]:
+    """Diagonals of shared words along which the band holds enough words of a short template.
+
+    ``known`` are the places in ``codes`` of words that any short template has.
+    """
+    words, at_most = np.unique(template, return_counts=True)
+    places = [known[codes[known] == w] for w in words]
+    if sum(min(len(p), m) for p, m in zip(places, at_most.tolist())) < coverage * len(template):
+        return []
+    found = np.unique(np.concatenate([p - q for w, p in zip(words, places) for q in np.flatnonzero(template == w)]))
+    inside = [np.searchsorted(p, found + len(template) + BAND) - np.searchsorted(p, found - BAND) for p in places]
+    enough = sum(np.minimum(n, m) for n, m in zip(inside, at_most.tolist())) >= coverage * len(template)
+    return found[enough].tolist()
+
+
+def best_apart(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (matches, first, last) those that overlap no better one: more matches, then a shorter span."""
+    out: list[tuple[int, int, int]] = []
+    for n, a, b in sorted(set(found), key=lambda m: (-m[0], m[2] - m[1], m[1])):
+        if all(b < x or a > y for _, x, y in out):
+            out.append((n, a, b))
+    return out
+
+
 def scan(index: Index, text: str, coverage: float = COVERAGE) -> list[tuple[str, float, int, int]]:
     """(license, coverage, start, end) of every match; a notice inside a longer match of another one stays."""
-    if not len(index.hashes):
+    if not len(index.codes):
         return []
     codes = word_codes(_word.findall(text))
     h = window_hashes(codes)
-    hits = index.lookup(h)
-    if not len(hits):
+    hits = index.lookup(h) if len(index.hashes) else np.zeros(0, np.int64)
+    known = np.flatnonzero(np.isin(codes, index.short_words))
+    if not len(hits) and not len(known):
         return []
-    places = np.array([m.span() for m in _word.finditer(text)])
-    start, end = places[:, 0], places[:, 1]
     seeds: dict[int, set[int]] = {}
     for p, x in zip(hits.tolist(), h[hits].tolist()):
         for n, q in index.places[x]:
             seeds.setdefault(n, set()).add(p - q)
-    out = []
+
+    def along(n: int, d: int) -> tuple[int, int, int] | None:
+        # the whole template along this diagonal; gaps up to the band on either side
+        template = index.codes[n]
+        low, high = max(0, d - BAND), min(len(codes), d + len(template) + BAND)
+        found = align(template, codes[low:high], d - low)
+        if found and len(found) >= coverage * len(template):
+            return len(found), low + found[0][1], low + found[-1][1]
+        return None
+
+    matches = []
     for n, diagonals in sorted(seeds.items()):
-        template, covered = index.codes[n], -1
+        covered = -1
         for d in sorted(diagonals):
             if d <= covered:
                 continue  # inside the band of the diagonal aligned last
-            # the whole template along this diagonal; gaps up to the band on either side
-            low, high = max(0, d - BAND), min(len(codes), d + len(template) + BAND)
-            found = align(template, codes[low:high], d - low)
-            if len(found) >= coverage * len(template):
-                a, b = low + found[0][1], low + found[-1][1]
-                out.append((index.names[n], len(found) / len(template), int(start[a]), int(end[b])))
-                covered = b
-    return sorted(set(out), key=lambda m: (m[2], m[3], m[0]))
+            if found := along(n, d):
+                matches.append((n, *found))
+                covered = found[2]
+    for n in index.short:
+        tried = [along(n, d) for d in near_diagonals(codes, known, index.codes[n], coverage)]
+        matches += [(n, *m) for m in best_apart([m for m in tried if m])]
+    if not matches:
+        return []
+    places = np.array([m.span() for m in _word.finditer(text)])
+    out = {(index.names[n], k / len(index.codes[n]), int(places[a, 0]), int(places[b, 1])) for n, k, a, b in matches}
+    return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 
 def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = COVERAGE,

@@ -372,6 +372,27 @@ def test_license_query_finds_every_notice(spark):
             {n for d, n in got if d == r.doc_id}
 
 
+def test_short_notices_with_one_word_changed_or_added():
+    """Whatever an alignment of all templates along all diagonals finds is reported."""
+    index, rng = license_scan.Index(license_scan.NOTICES), random.Random(3)
+    changed = 0
+    for n in index.short:
+        words = license_scan._word.findall(license_scan.NOTICES[index.names[n]])
+        for at in range(len(words)):
+            for edit in ([*words[:at], "other", *words[at + 1:]], [*words[:at], "other", *words[at:]]):
+                text = " ".join(["".join(rng.choices("abc", k=5)) for _ in range(12)] + edit + ["end"] * 12)
+                codes = license_scan.word_codes(license_scan._word.findall(text))
+                want = {index.names[m] for m in index.short if max(
+                    len(license_scan.align(index.codes[m], codes, d)) for d in range(0, len(codes), license_scan.BAND)
+                ) >= license_scan.COVERAGE * len(index.codes[m])}
+                assert want <= {m[0] for m in license_scan.scan(index, text)}
+                changed += index.names[n] in want
+    assert changed > 80
+    exact = "x y the license " + license_scan.NOTICES["MIT"] + " the MIT"
+    assert [(m[0], m[1], exact[m[2]:m[3]]) for m in license_scan.scan(index, exact)] == \
+        [("MIT", 1.0, "Released under the MIT License")]
+
+
 # ----------------------------------------------------------------------------- pipeline
 
 def test_pipeline(spark):
