@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, packing, pii, quality, simhash, substring_dedup
+from . import (bpe, embedding_dedup, language_id, license_scan, line_dedup, mixture_packing, packing, pii, quality,
+               simhash, spelling, substring_dedup, token_alignment)
 from ._util import table
 
 
@@ -58,8 +59,25 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(spelling.vocabulary(docs, min_length=7, min_count=2), dominance=10)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("byte_bpe_50k.json"),
+                                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_packing.pack_mixture(table(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_rp_forest, op2_license_scan, op3_simhash, op4_substring, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language)}
+    op1_rp_forest, op2_license_scan, op3_simhash, op4_substring, op5_packing, op6_pii, op7_bpe, op8_line_dedup, op9_quality, op10_language,
+    op11_spelling_variants, op12_token_alignment, op13_mixture_packing)}
 #: DuckDB SQL of the queries that SQL can express
 ORACLE_SQL = {"op1_rp_forest": embedding_dedup.oracle_sql(), "op8_line_dedup": line_dedup.oracle_sql(),
               "op9_quality": quality.oracle_sql()}
