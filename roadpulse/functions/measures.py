@@ -47,32 +47,58 @@ def level(c, bounds: Sequence[tuple[float, str]] = LEVEL_BOUNDS,
 MEAN_SCALE = 6
 
 
-def exact_mean_parts(c, scale: int = MEAN_SCALE) -> tuple[Column, Column]:
-    """Aggregates (sum in units of 10^-scale, count) of values with at most ``scale`` decimals.
+#: exact sums are kept in two halves, units div LIMB and units mod LIMB
+LIMB = 1 << 20
 
-    Decimal sums are exact and do not depend on the order rows are combined
-    in, unlike a double sum, so the rounded mean is the same on any
-    partitioning (see ``exact_mean_round``).
+
+def exact_sum_parts(c, scale: int = MEAN_SCALE) -> tuple[Column, Column, Column]:
+    """Aggregates (high, low, count) whose sums are ``high * LIMB + low`` units of 10^-scale.
+
+    Whole sums do not depend on the order rows are combined in, unlike a double
+    sum, so the rounded mean is the same on any partitioning. Both halves are plain
+    longs, which generated code adds without boxing, and hold 10^12 values of 10^9.
     """
     x = as_col(c)
-    return F.sum(F.round(x * (10 ** scale)).cast("decimal(20,0)")), F.count(x)
+    units = F.rint(x.cast("double") * (10 ** scale)).cast("long")
+    low = F.pmod(units, F.lit(LIMB))
+    return F.sum(F.shiftright(units, 20)), F.sum(low), F.count(x)
 
 
-def exact_mean_round(units: str, n: str, places: int = 3, scale: int = MEAN_SCALE) -> Column:
-    """HALF_UP mean of ``units / n`` at ``places`` decimals, exactly, as a double."""
+def exact_mean(high: Column, low: Column, n: Column, places: int = 3, scale: int = MEAN_SCALE) -> Column:
+    """HALF_UP mean at ``places`` decimals, exactly, as a double; null without a value."""
+    units = high.cast("decimal(38,0)") * F.lit(LIMB).cast("decimal(8,0)") + low.cast("decimal(38,0)")
     k = 10 ** (scale - places)
-    q = F.expr(f"(2 * abs(`{units}`) + `{n}` * {k}) div (2 * `{n}` * {k})") * F.signum(F.col(units))
-    return F.when(F.col(n) > 0, q.cast("double") / float(10 ** places))
+    whole = units.cast("decimal(38,0)")
+    # div of whole decimals is a long: the mean itself, not the sum, has to fit
+    q = F.call_function("div", 2 * F.abs(whole) + n * k, 2 * n * k) * F.signum(whole)
+    return F.when(n > 0, q.cast("double") / float(10 ** places))
 
 
 def exact_means(df: DataFrame, groups: Sequence[Column | str], means: dict[str, tuple],
                 others: Sequence[Column] = ()) -> DataFrame:
     """Group and aggregate with exact means: ``means`` maps a name to (value, decimals)."""
-    parts = []
-    for name, (value, _) in means.items():
-        units, n = exact_mean_parts(value)
-        parts += [units.alias(f"__units_{name}"), n.alias(f"__n_{name}")]
-    out = df.groupBy(*groups).agg(*others, *parts)
-    keep = [c for c in out.columns if not c.startswith(("__units_", "__n_"))]
-    return out.select(*keep, *[exact_mean_round(f"__units_{m}", f"__n_{m}", places).alias(m)
-                               for m, (_, places) in means.items()])
+    state, places = mean_state(means)
+    out = df.groupBy(*groups).agg(*others, *state)
+    return finish_means(out, places)
+
+
+def mean_state(means: dict[str, tuple]) -> tuple[list[Column], dict[str, tuple[str, int]]]:
+    """Aggregates that hold the means, and for each name (the state it reads, its decimals).
+
+    Means of one and the same value share their state.
+    """
+    state, places, held = [], {}, {}
+    for name, (value, decimals) in means.items():
+        key = held.setdefault(id(value), name)
+        if key == name:
+            state += [c.alias(f"__{part}_{name}") for part, c in zip(("high", "low", "n"), exact_sum_parts(value))]
+        places[name] = key, decimals
+    return state, places
+
+
+def finish_means(out: DataFrame, places: dict[str, tuple[str, int]]) -> DataFrame:
+    """The means in place of their state."""
+    keep = [c for c in out.columns if not c.startswith(("__high_", "__low_", "__n_"))]
+    return out.select(*keep, *[
+        exact_mean(F.col(f"__high_{key}"), F.col(f"__low_{key}"), F.col(f"__n_{key}"), decimals).alias(name)
+        for name, (key, decimals) in places.items()])

@@ -58,3 +58,51 @@ def alert_rows(alerts: DataFrame, mapping: dict[str, str] = CATEGORY_NAMES) -> D
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """Number of alert rows (one row, zero on empty input)."""
     return alerts.agg(F.count(F.lit(1)).alias("n_alerts"))
+
+
+ALERT_KEYS = ("city", "category")
+OPENED, WORSENED, EASED, CHANGED, CLOSED = "opened", "worsened", "eased", "changed", "closed"
+
+
+def alert_changes(state: DataFrame, alerts: DataFrame, keys: Sequence[str] = ALERT_KEYS, delay: str = "delay_seconds",
+                  columns: Sequence[str] = ALERT_COLUMNS) -> DataFrame:
+    """What a batch's alerts change: one row per key whose alert is new, different or gone.
+
+    ``state`` holds the open alerts, one row per key, as ``alert_state`` leaves them;
+    ``alerts`` those of the batch. An alert is ``opened`` or ``closed``; one that stays
+    is ``worsened`` or ``eased`` by its delay (a known delay is worse than none) or, at
+    the same delay, ``changed`` if it is another incident. An alert that is as it was
+    gives no row, so nothing is sent twice. Null keys are keys. The columns are those
+    of the batch, or of the state for a closed alert, with ``before_delay``.
+    """
+    keys, columns = list(keys), list(columns)
+    known = "observed_at"
+    old = state.select(F.struct(*columns).alias("old"), *[F.col(k).alias(f"__{k}") for k in keys])
+    new = alerts.select(F.struct(*columns).alias("new"), *keys)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    both = new.join(old, same, "full")
+    a, b = F.col("old")[delay], F.col("new")[delay]
+    other = F.lit(False)
+    for c in columns:
+        if c not in (*keys, delay, known):
+            other = other | ~F.col("old")[c].eqNullSafe(F.col("new")[c])
+    change = (F.when(F.col("old").isNull(), OPENED).when(F.col("new").isNull(), CLOSED)
+              .when((b > a) | (a.isNull() & b.isNotNull()), WORSENED)
+              .when((b < a) | (b.isNull() & a.isNotNull()), EASED).when(other, CHANGED))
+    row = F.coalesce("new", "old")
+    return (both.select(change.alias("change"), *[row[c].alias(c) for c in columns], a.alias("before_delay"))
+            .where("change is not null"))
+
+
+def alert_state(state: DataFrame, changes: DataFrame, keys: Sequence[str] = ALERT_KEYS,
+                columns: Sequence[str] = ALERT_COLUMNS) -> DataFrame:
+    """The open alerts after ``changes``: one row per key; a key without a change keeps its row."""
+    keys, columns = list(keys), list(columns)
+    touched = changes.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    kept = state.select(*columns).join(touched, same, "left_anti")
+    return kept.unionByName(changes.where(F.col("change") != CLOSED).select(*columns))

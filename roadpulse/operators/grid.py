@@ -109,10 +109,10 @@ def grid_coverage(grid: DataFrame, received: DataFrame, batch: str = "batch_ts",
     keys = list(keys)
     if batches is None:
         batches = received.select(batch)
-    # the batch keys of a run are a short list; each site gets a row for each of them
-    announced = batches.select(F.sort_array(F.collect_set(batch))).scalar()
-    want = (grid.groupBy("city").agg(F.count(F.lit(1)).alias("points_expected"))
-            .select("city", "points_expected", F.explode(announced).alias(batch)))
+    # the sites are the run's configuration, a short list; each batch gets a row for each of them
+    sites = (grid.groupBy("city").agg(F.count(F.lit(1)).alias("points_expected"))
+             .select(F.collect_list(F.struct("city", "points_expected"))).scalar())
+    want = batches.select(batch).distinct().select(batch, F.inline(sites))
     got = (received.join(grid.select(*keys), keys, "left_semi").select(*keys, batch).distinct()
            .groupBy("city", batch).agg(F.count(F.lit(1)).alias("points_received")))
     return (want.join(got, ["city", batch], "left")

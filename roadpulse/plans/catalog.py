@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import functions as RF
-from ..operators import (alerts, batches, dedup, grid, kpi, layers, metrics, payloads,
-                         quality)
+from ..operators import (alerts, batches, dedup, drift, episodes, grid, kpi, layers, metrics, outages, payloads,
+                         quality, quantiles)
 from ..schemas import BATCH_FORMAT
 from ..session import scratch_path, spread as spread_rows
 from ..sinks import files as sink_files
@@ -572,8 +573,11 @@ def q_job_metrics(spark, sf_dir):
     root = scratch_path(spark, "job_metrics")
     kept = f"{root}/metrics"
     sink_files.write_raw(_yearly(_lineitem_raw(spark, sf_dir)), f"{root}/raw")
-    flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS, metrics_path=kept, run_id="one")
-    flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS, metrics_path=kept, run_id="one")
+    # clean input: the reject ledgers stay empty
+    flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS, metrics_path=kept, run_id="one",
+                    reject_path=f"{root}/rejects/bronze")
+    flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS, metrics_path=kept, run_id="one",
+                    reject_path=f"{root}/rejects/silver")
     try:
         flow.run_bronze(spark, f"{root}/missing", f"{root}/bronze", run_ts=RUN_TS, metrics_path=kept, run_id="two")
     except Exception:  # noqa: BLE001  the failed run is what is looked at
@@ -629,6 +633,202 @@ def q_stream_gold(spark, sf_dir):
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "observation_ts")})
 
 
+# --------------------------------------------------------------------------- deliveries over several runs
+
+_SAMPLE = ("lat", "lon", "frc", "current_speed", "free_flow_speed", "travel_time", "confidence", "road_closure")
+
+
+def _delivered(raw: DataFrame, parts: int, path: str):
+    """Write the samples in so many deliveries, each holding a part of every batch; yields after each."""
+    part = F.pmod(F.xxhash64("city", "batch_ts", *_SAMPLE), F.lit(parts))
+    for i in range(parts):
+        raw.filter(part == i).write.mode("append").partitionBy("city", "batch_ts").json(path)
+        yield i
+
+
+def q_late_files(spark, sf_dir):
+    """Every batch comes in two files, one run apart: bronze holds all rows, each file taken once."""
+    from . import flow
+    root = scratch_path(spark, "late_files")
+    for _ in _delivered(_yearly(_lineitem_raw(spark, sf_dir)), 2, f"{root}/raw"):
+        out = flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS).output
+    return out.select("city", "batch_ts", *_SAMPLE)
+
+
+def q_late_rows_refresh(spark, sf_dir):
+    """Three deliveries of every batch, silver after each: late rows meet the ones that came before."""
+    from . import flow
+    root = scratch_path(spark, "late_rows")
+    for _ in _delivered(_yearly(_lineitem_raw(spark, sf_dir)), 3, f"{root}/raw"):
+        flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
+        silver = flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS).output
+    return silver.select("city", "batch_ts", "road_id", *_SAMPLE, "speed_ratio",
+                         F.col("processed_at").cast("timestamp_ntz").alias("processed_at"))
+
+
+def q_reject_job(spark, sf_dir):
+    """Raw lines with faults through bronze and silver: what the reject ledgers hold, after a run without news too."""
+    from . import flow
+    root = scratch_path(spark, "reject_job")
+    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    li = _load(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("city"), F.concat(F.date_format("l_shipdate", "yyyy"), F.lit("0101T000000")).alias("batch_ts"),
+        F.when(F.pmod(k, F.lit(89)) != 0, F.col("l_suppkey") / 4.0).alias("lat"), (F.col("l_partkey") / 8.0).alias("lon"),
+        F.col("l_linestatus").alias("frc"),
+        F.when(F.pmod(k, F.lit(83)) != 0, F.col("l_quantity").cast("int")).alias("current_speed"),
+        F.lit(40).alias("free_flow_speed"), F.pmod(k, F.lit(97)).alias("__k"))
+    line = F.when(F.col("__k") == 0, F.lit("{broken")).otherwise(F.to_json(F.struct(*[c for c in li.columns if c != "__k"])))
+    li.select(line.alias("value")).write.text(f"{root}/raw")
+    for run in ("one", "two"):
+        ledgers = [flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS, run_id=run,
+                                   reject_path=f"{root}/bad/bronze").rejected,
+                   flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS, run_id=run,
+                                   reject_path=f"{root}/bad/silver").rejected]
+    rows = None
+    for task, rejected in zip(("bronze", "silver"), ledgers):
+        n = rejected.groupBy(F.lit(task).alias("task_id"), "run", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+        rows = n if rows is None else rows.unionByName(n)
+    return rows
+
+
+def q_kpi_merge(spark, sf_dir):
+    """Samples in three deliveries kept as mergeable state, merged into a base on the way; KPIs per year from it."""
+    from ..operators.kpi_state import KpiTable
+    li = _load(spark, sf_dir, "lineitem")
+    table = KpiTable(spark, scratch_path(spark, "kpi_merge"))
+    for i in range(3):
+        samples = _lineitem_flow(li.filter(F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(3)) == i))
+        table.add(samples, i, observed="observed", unit="month")
+        if i == 1:
+            table.compact(unit="month")
+    return table.kpis("year").withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+def _quarters(raw: DataFrame) -> DataFrame:
+    """Raw samples in quarterly batches."""
+    month = F.substring("batch_ts", 5, 2).cast("int")
+    first = F.lpad((F.floor((month - 1) / 3) * 3 + 1).cast("string"), 2, "0")
+    return raw.withColumn("batch_ts", F.concat(F.substring("batch_ts", 1, 4), first, F.lit("01T000000")))
+
+
+def q_gold_backlog(spark, sf_dir):
+    """Years of four quarterly batches, delivered in three parts with late rows: gold holds all complete ones."""
+    from . import flow
+    root = scratch_path(spark, "gold_backlog")
+    raw = _quarters(_lineitem_raw(spark, sf_dir))
+    late = F.pmod(F.xxhash64(*_SAMPLE), F.lit(50)) == 0     # rows of batches that were worked in before
+    tail = (F.col("city") == "N") & (F.col("batch_ts") >= "1997")
+    for delivery in (raw.filter(~late & ~tail), raw.filter(~late & tail), raw.filter(late)):
+        delivery.write.mode("append").partitionBy("city", "batch_ts").json(f"{root}/raw")
+        flow.run_bronze(spark, f"{root}/raw", f"{root}/bronze", run_ts=RUN_TS)
+        flow.run_silver(spark, f"{root}/bronze", f"{root}/silver", run_ts=RUN_TS)
+        gold = flow.run_gold_backlog(spark, f"{root}/silver", f"{root}/gold", run_ts=RUN_TS, unit="year",
+                                     min_batches=4, estimate_free_flow=True).output
+    return gold.withColumn("observation_ts", F.col("observation_ts").cast("timestamp_ntz"))
+
+
+def q_stream_update(spark, sf_dir):
+    """The flow layers as a stream in update mode, in two runs: late and open hours come from its state."""
+    from ..streaming import flow_kpis, run_flow_updates
+    root = scratch_path(spark, "stream_update")
+    raw = _lineitem_raw(spark, sf_dir)
+    for i in range(2):
+        raw.filter(F.pmod(F.xxhash64(*_SAMPLE), F.lit(2)) == i).write.mode("append").json(f"{root}/raw")
+        run_flow_updates(spark, f"{root}/raw", f"{root}/samples", f"{root}/checkpoint", watermark="3000 days")
+    out = flow_kpis(spark, f"{root}/samples", estimate_free_flow=True)
+    return out.drop("window_end").withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "observation_ts")})
+
+
+def q_coverage_bitmaps(spark, sf_dir):
+    """Per (site, batch): which grid points are missing, from bitmaps of the samples' points."""
+    sites = _supplier_sites(spark, sf_dir)
+    sup = _load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("city"))
+    li = _load(spark, sf_dir, "lineitem")
+    samples = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+        "city", (F.col("l_linenumber") - 1).alias("point_index"), F.col("l_returnflag").alias("batch_ts"))
+    grids = sites.select("city", (F.col("grid_steps") * F.col("grid_steps")).alias("points"))
+    return outages.coverage_bitmaps(samples, grids).withColumn("missing", F.concat_ws(",", F.col("missing").cast("array<string>")))
+
+
+def q_outage_intervals(spark, sf_dir):
+    """Runs of missing 15-minute batches per event type."""
+    ev = _load(spark, sf_dir, "events")
+    t = F.window(F.col("ts").cast("timestamp"), "15 minutes").start
+    out = outages.outage_intervals(ev.select(F.col("event_type").alias("city"), t.alias("batch_time")), 900)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_missing", "last_missing")})
+
+
+def q_incident_episodes(spark, sf_dir):
+    """How long a supplier's worst load stayed in one band: every other quarter delivered first, then the rest."""
+    obs = _quarters(_load(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("city"), F.date_format("l_shipdate", BATCH_FORMAT).alias("batch_ts"),
+        F.col("l_suppkey").alias("road"), F.floor(F.col("l_quantity") / 10).cast("int").alias("band"))) \
+        .groupBy("city", "batch_ts", "road").agg(F.max("band").alias("band"))
+    root = scratch_path(spark, "episodes")
+    obs.write.parquet(f"{root}/observations")
+    obs = spark.read.parquet(f"{root}/observations")
+    first = F.substring("batch_ts", 5, 2).isin("01", "07")
+    names = {"identity": ("city", "road"), "attributes": ("band",)}
+    episodes.incident_episodes(obs.filter(first), **names).write.parquet(f"{root}/history")
+    return episodes.incident_episodes(obs.filter(~first), history=spark.read.parquet(f"{root}/history"),
+                                      known=obs.filter(first).select("city", "batch_ts").distinct(), **names)
+
+
+def q_alert_changes(spark, sf_dir):
+    """The alerts of three batches, one after the other: only what opens, gets worse or better, or closes."""
+    inc = _orders_incidents(spark, sf_dir).withColumn("year", F.year("observed_at"))
+    years = sorted(r.year for r in inc.select("year").distinct().orderBy(F.desc("year")).limit(3).collect())
+    root = scratch_path(spark, "alert_changes")
+    state = spark.createDataFrame([], alerts.worst_incidents(inc).schema)
+    for year in years:
+        worst = alerts.worst_incidents(inc.filter(F.col("year") == year))
+        (alerts.alert_changes(state, worst).withColumn("batch", F.lit(year))
+         .write.mode("append").parquet(f"{root}/changes"))
+        of_batch = spark.read.parquet(f"{root}/changes").filter(F.col("batch") == year)
+        alerts.alert_state(state, of_batch).write.parquet(f"{root}/state{year}")
+        state = spark.read.parquet(f"{root}/state{year}")
+    return spark.read.parquet(f"{root}/changes").select("batch", "change", "city", "category", "delay_seconds",
+                                                        "before_delay", "to_road")
+
+
+def q_type_drift(spark, sf_dir):
+    """JSON records of orders with wrong types mixed in, counted per field and city."""
+    contract = "frc string, current_speed int, travel_time int, confidence double, road_closure boolean"
+    k = F.col("o_orderkey")
+    hit = lambda n: F.pmod(k, F.lit(n)) == 0
+    field = lambda name, text: F.concat(F.lit(f'"{name}":'), text)
+    speed = F.when(hit(11), F.lit('"fast"')).when(hit(5), F.lit("null")).otherwise(F.pmod(k, F.lit(90)).cast("string"))
+    travel = F.when(hit(13), F.lit("12.5")).otherwise(F.pmod(k, F.lit(600)).cast("string"))
+    confidence = F.when(hit(17), F.lit('{"value":1}')).when(hit(2), F.lit("1")).otherwise(F.lit("0.25"))
+    closure = F.when(hit(7), F.lit('"yes"')).otherwise(F.when(hit(3), F.lit("true")).otherwise(F.lit("false")))
+    body = F.concat(F.lit('{"frc":'), F.when(hit(4), F.lit("7")).otherwise(F.lit('"FRC7"')), F.lit(","),
+                    F.concat_ws(",", field("current_speed", speed), field("travel_time", travel),
+                                field("confidence", confidence), field("road_closure", closure)), F.lit("}"))
+    o = _load(spark, sf_dir, "orders", spread=True)
+    lines = o.select(F.col("o_orderstatus").alias("city"), F.when(hit(19), F.lit("{broken")).otherwise(body).alias("value"))
+    return drift.type_drift(lines, StructType.fromDDL(contract), ["city"])
+
+
+def q_health_quantiles(spark, sf_dir):
+    """Median and 95th percentile per (dag, task) from daily histograms of two halves, against the exact ranks."""
+    m = _orders_metrics(spark, sf_dir)
+    x = "total_execution_time"
+    half = F.floor(F.col("records_read")) % 2 == 0
+    days = quantiles.duration_histogram(m.filter(half)).unionByName(quantiles.duration_histogram(m.filter(~half)))
+    est = quantiles.quantiles(days, {"p50": 0.5, "p95": 0.95})
+    order = Window.partitionBy("dag_id", "task_id").orderBy(x)
+    ranked = m.select("dag_id", "task_id", x, F.row_number().over(order).alias("rank"),
+                      F.count(F.lit(1)).over(Window.partitionBy("dag_id", "task_id")).alias("all"))
+    exact = ranked.groupBy("dag_id", "task_id").agg(*[
+        F.max(F.when(F.col("rank") == F.ceil(F.col("all") * q), F.col(x))).alias(f"exact_{name}")
+        for name, q in (("p50", 0.5), ("p95", 0.95))])
+    near = lambda name: F.abs(F.col(name) - F.col(f"exact_{name}")) <= 0.01 * F.col(f"exact_{name}")
+    return est.join(exact, ["dag_id", "task_id"]).select(
+        "dag_id", "task_id", "n", near("p50").alias("p50_within"), near("p95").alias("p95_within"),
+        F.round("exact_p50", 6).alias("exact_p50"), F.round("exact_p95", 6).alias("exact_p95"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_kpi": q_hourly_kpi,
     "speed_ratio": q_speed_ratio,
@@ -674,4 +874,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_by_city": q_append_by_city,
     "json_documents": q_json_documents,
     "alert_count": q_alert_count,
+    "late_files": q_late_files,
+    "late_rows_refresh": q_late_rows_refresh,
+    "reject_job": q_reject_job,
+    "kpi_merge": q_kpi_merge,
+    "gold_backlog": q_gold_backlog,
+    "stream_update": q_stream_update,
+    "coverage_bitmaps": q_coverage_bitmaps,
+    "outage_intervals": q_outage_intervals,
+    "incident_episodes": q_incident_episodes,
+    "alert_changes": q_alert_changes,
+    "type_drift": q_type_drift,
+    "health_quantiles": q_health_quantiles,
 }

@@ -1,10 +1,10 @@
 """Flow jobs: raw -> bronze -> silver -> gold, each a replay-safe Spark job.
 
-Every job takes all batches that its layer does not hold yet, writes with
-dynamic partition overwrite (a retry replaces its own output) and derives its
-metrics rows from the same tagged frame, persisted for the job's duration.
-Bronze and silver write their layer last: a run that fails earlier leaves its
-batches pending.
+Bronze takes every raw file once, found by a listing (``sources.loads``); silver
+works anew every batch of which bronze has a newer version. Writes are dynamic
+partition overwrites (a retry replaces its own output), and metrics come from the
+frame that is written, persisted for the job's duration. A run counts once its
+versions are recorded, its last step: what fails earlier is pending again.
 """
 
 from __future__ import annotations
@@ -16,21 +16,23 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.times import batch_timestamp
-from ..operators.batches import complete_hours, latest_hour_of_key
+from ..functions.times import batch_date, batch_timestamp
+from ..operators.batches import complete_hours, hour_progress, latest_hour_of_key
 from ..operators.joins import semi_join
-from ..operators.kpi import heatmap_points, hourly_segment_kpis
+from ..operators.kpi import finish_kpis, heatmap_points, hourly_segment_kpis, segment_kpi
 from ..operators.layers import dedup_silver, flow_bronze, silver_features
-from ..operators.metrics import batch_metrics, ingestion_tallies
+from ..operators.metrics import batch_counts, batch_metrics, ingestion_tallies
 from ..operators.payloads import flatten_flow
 from ..operators.quality import REJECT_COL
-from ..schemas import FLOW_BRONZE, FLOW_SILVER, PIPELINE_METRICS, TRAFFIC_KPIS, TRAFFIC_POINTS
+from ..schemas import BATCH_FORMAT, FLOW_BRONZE, FLOW_SILVER, PIPELINE_METRICS, TRAFFIC_KPIS, TRAFFIC_POINTS
 from ..sinks.files import BATCH_PARTITIONS, append_missing, write_batch, write_raw, write_snapshot
 from ..sinks.jdbc import write_serving
 from ..sources.jdbc import read_serving_or_empty
-from ..session import checkpoint_root
+from ..session import checkpoint_root, release
 from ..sources.files import CORRUPT_COL, layer_or_empty, path_exists, read_flow_raw, read_layer
+from ..sources.loads import VERSIONS, LoadLog
 
 MALFORMED = "malformed json line"
 
@@ -42,64 +44,114 @@ class JobResult:
     rejected: DataFrame | None = None
 
 
-def batches_in(spark: SparkSession, path: str, schema) -> DataFrame:
-    """(city, batch_ts) of the batches a layer holds, as they are now.
+#: batch keys up to which a scan is pruned by their list; beyond, by the join with them alone
+FEW_BATCHES = 2_000
 
-    Checkpointed: a frame that still read the layer would change, cached or not,
-    when the job writes to it. One row per batch.
+
+def new_rows(raw: DataFrame, files: list[str]) -> DataFrame:
+    """Rows of the given files, with ``source_file`` and the batch (``of_batch``) each belongs to.
+
+    Only these files are opened. A malformed line, or a row without a batch, is
+    listed under the newest batch of its file.
+    """
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path")).filter(F.col("_metadata.file_path").isin(files))
+    # JSON scans need a data column beside the corrupt one: city and batch may be folder names
+    data = next(c for c in raw.columns if c not in ("city", "batch_ts", "source_file", CORRUPT_COL))
+    newest = (raw.groupBy(F.col("source_file").alias("__file"))
+              .agg(F.max("batch_ts").alias("__batch"), F.count(data).alias("__n")).where("__n >= 0").drop("__n"))
+    return (raw.join(newest, F.col("source_file") == F.col("__file"), "left")
+            .withColumn("of_batch", F.coalesce("batch_ts", "__batch")).drop("__file", "__batch"))
+
+
+def current_rows(spark: SparkSession, path: str, schema, batches: DataFrame | None = None) -> DataFrame:
+    """Rows of a layer of loads that count: no load broken off, no file that was replaced since.
+
+    With ``batches`` (city, batch_ts, ...) only theirs, with the further columns of that frame.
     """
-    checkpoint_root(spark)
-    return layer_or_empty(spark, path, schema).select("city", "batch_ts").distinct().checkpoint()
+    log = LoadLog(spark, path)
+    rows = layer_or_empty(spark, path, with_load(schema))
+    rows = rows.filter(F.col("load") <= log.last())
+    old = log.superseded()
+    if not old.isEmpty():
+        rows = semi_join(rows, old, ["source_file", "load"], anti=True)
+    return rows if batches is None else of_batches(rows, batches)
+
+
+def of_batches(rows: DataFrame, batches: DataFrame) -> DataFrame:
+    """Rows of the given batches with the columns that ``batches`` adds; null cities are a city."""
+    keys = batches.select("batch_ts").distinct().limit(FEW_BATCHES + 1).collect()
+    if len(keys) <= FEW_BATCHES and all(k[0] is not None for k in keys):
+        rows = rows.filter(F.col("batch_ts").isin([k[0] for k in keys]))  # prunes the folders
+    b = batches.withColumnsRenamed({"city": "__city", "batch_ts": "__batch"})
+    same = F.col("city").eqNullSafe(F.col("__city")) & F.col("batch_ts").eqNullSafe(F.col("__batch"))
+    return rows.join(b, same).drop("__city", "__batch")
 
 
-def files_in(spark: SparkSession, reject_path: str | None) -> DataFrame | None:
-    """(source_file, run): files that the reject ledger names so far; None without a ledger."""
-    if reject_path is None:
+def with_load(schema: StructType) -> StructType:
+    return StructType(schema.fields + [StructField("source_file", StringType()), StructField("load", LongType())])
+
+
+@dataclass
+class Load:
+    """A load of raw files into a first layer: its number, its rows, and how it ends."""
+    log: LoadLog
+    number: int
+    files: DataFrame
+    rows: DataFrame
+
+    def finish(self, tagged: DataFrame, path: str, schema) -> None:
+        """Write the accepted rows, one folder level per load, then record versions and files."""
+        good = tagged.filter(F.col(REJECT_COL).isNull())
+        out = good.select(*schema.fieldNames(), "source_file", F.lit(self.number).cast("long").alias("load"))
+        write_batch(out, path, partition_by=(*BATCH_PARTITIONS, "load"))
+        changed = good.select("city", "batch_ts").distinct()
+        replaced = self.log.superseded(self.files)
+        if not replaced.isEmpty():  # batches that lose rows have changed as well
+            gone = semi_join(read_layer(out.sparkSession, path, with_load(schema)), replaced, ["source_file", "load"])
+            changed = changed.union(gone.select("city", "batch_ts")).distinct()
+        self.log.commit(self.number, changed.withColumn("version", F.lit(self.number)), self.files)
+
+
+def next_load(spark: SparkSession, raw_path: str, layer_path: str, read) -> Load | None:
+    """The load of all files that the layer has not taken yet; None, and nothing parsed, without any.
+
+    The paths pass the driver, as they do whenever Spark lists files for a scan.
+    """
+    log = LoadLog(spark, layer_path)
+    files = log.pending(raw_path)
+    paths = [r.path for r in files.select("path").collect()]
+    if not paths:
         return None
-    if not path_exists(spark, reject_path):
-        return spark.createDataFrame([], "source_file string, run string")
-    checkpoint_root(spark)
-    return (spark.read.parquet(reject_path)
-            .select("source_file", F.col("run").cast("string").alias("run")).distinct().checkpoint())
+    return Load(log, log.last() + 1, files, new_rows(read(spark, raw_path, keep_corrupt=True), paths))
 
 
-def pending(rows: DataFrame, done: DataFrame, keys=("city", "batch_ts")) -> DataFrame:
-    """Rows of the batches that ``done`` does not hold yet, whichever and however many these are."""
-    return semi_join(rows, done.select(*keys).distinct(), list(keys), null_safe=True, anti=True)
+def no_metrics(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], PIPELINE_METRICS)
 
 
-def pending_raw(raw: DataFrame, done: DataFrame, ledger: DataFrame | None, key: str = "") -> DataFrame:
-    """Raw rows not processed yet, with the batch (``of_batch``) each belongs to.
+def replace_batches(rows: DataFrame, path: str, stale: DataFrame) -> DataFrame:
+    """Write all rows of the ``stale`` batches in place of what the layer held of them.
 
-    A row with city and batch belongs to that batch. A malformed line, or a row
-    without city or batch, is listed under the newest batch of its file and counts
-    as processed once its file is in the reject ledger; what run ``key`` itself left
-    there counts only if all batches of the file are done, so that a repeated run
-    does not lose it. Without a ledger such a line counts as processed when all
-    batches of its file, by city, are.
+    Returns (city, batch_ts, n): rows written. Folders of batches that have no row any
+    more are deleted.
     """
-    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
-    whole = F.col(CORRUPT_COL).isNull() & F.col("city").isNotNull() & F.col("batch_ts").isNotNull()
-    fresh = pending(raw.filter(whole), done).withColumn("of_batch", F.col("batch_ts"))
-    # Spark refuses a JSON scan of the corrupt column alone (city and batch may be folder
-    # names), so a data column is counted as well
-    data = next(c for c in raw.columns if c not in ("city", "batch_ts", "source_file", CORRUPT_COL))
-    pairs = (raw.filter(whole).groupBy("source_file", "city", "batch_ts")
-             .agg(F.count(data).alias("n")).filter("n >= 0").drop("n"))
-    held = done.select("city", "batch_ts").distinct().withColumn("held", F.lit(True))
-    files = (pairs.join(held, ["city", "batch_ts"], "left").groupBy("source_file")
-             .agg(F.max("batch_ts").alias("file_batch"), F.every(F.coalesce("held", F.lit(False))).alias("all_held")))
-    rest = (raw.filter(~whole).join(files, "source_file", "left")
-            .withColumn("of_batch", F.coalesce("batch_ts", "file_batch")).drop("file_batch"))
-    held_all = F.coalesce("all_held", F.lit(False))
-    if ledger is None:
-        rest = rest.filter(~held_all)
-    else:
-        seen = ledger.groupBy("source_file").agg(F.max(F.col("run") != key).alias("by_others"))
-        held_all = held_all | F.col("all_held").isNull()  # a file without any batch has nothing to wait for
-        rest = (rest.join(seen, "source_file", "left")
-                .filter(F.col("by_others").isNull() | (~F.col("by_others") & ~held_all)))
-    return fresh.unionByName(rest.select(*fresh.columns))
+    spark = rows.sparkSession
+    write_batch(rows, path)
+    before = stale.filter("before > 0")
+    if not before.isEmpty():
+        written = rows.select("city", "batch_ts").distinct()
+        gone = semi_join(before.select("city", "batch_ts").withColumn("date", batch_date("batch_ts")), written,
+                         ["city", "batch_ts"], anti=True)
+        for r in gone.toLocalIterator():
+            release(spark, f"{path}/{partition_folder(spark, r, BATCH_PARTITIONS)}")
+    left = of_batches(spark.read.schema(rows.schema).parquet(path), stale.select("city", "batch_ts"))
+    return left.groupBy("city", "batch_ts").agg(F.count(F.lit(1)).alias("n"))
+
+
+def partition_folder(spark: SparkSession, row, columns) -> str:
+    """The folder, below a table's path, that holds the partition of a row."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else escape(str(row[c]))}" for c in columns)
 
 
 def gate_bronze(rows: DataFrame, run_ts=None) -> DataFrame:
@@ -114,12 +166,30 @@ def run_key(run_id: str, run_ts) -> str:
 
 
 def write_rejects(tagged: DataFrame, path: str | None, key: str) -> DataFrame | None:
-    """Write the tagged rows to the ledger, one partition per run: a retried run replaces its own."""
+    """Write the tagged rows to the ledger, one partition per run: a retried run replaces its own.
+
+    Returns the whole ledger; a run without rejects adds nothing, and a ledger that
+    never held a row is empty.
+    """
     if path is None:
         return None
-    rejected = tagged.filter(F.col(REJECT_COL).isNotNull())
-    write_batch(rejected.withColumn("run", F.lit(key)), path, partition_by=("run",))
-    return tagged.sparkSession.read.parquet(path)
+    rejected = tagged.filter(F.col(REJECT_COL).isNotNull()).withColumn("run", F.lit(key))
+    write_batch(rejected, path, partition_by=("run",))
+    return ledger(tagged.sparkSession, path, rejected.schema)
+
+
+def ledger(spark: SparkSession, path: str | None, schema: StructType | None = None) -> DataFrame | None:
+    """The rejects kept at ``path``, read under a known schema: there may be no file yet."""
+    if path is None:
+        return None
+    if schema is None:
+        if path_exists(spark, f"{path}/run=*"):
+            rows = spark.read.option("mergeSchema", True).parquet(path)
+            return rows.withColumn("run", F.col("run").cast("string"))
+        schema = StructType([StructField(REJECT_COL, StringType()), StructField("run", StringType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 @contextmanager
@@ -165,62 +235,89 @@ def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None,
                reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "flow", run_id: str = "") -> JobResult:
-    """Every raw batch that is not in bronze yet -> bronze (city/date/batch_ts partitions)."""
+    """Every raw file that bronze has not taken yet -> bronze (city/date/batch_ts/load partitions).
+
+    A batch may come in any number of files over any number of runs. A run without
+    new files parses nothing. A file that was written anew replaces its rows.
+    """
     t0 = time.time()
-    done, ledger = batches_in(spark, bronze_path, FLOW_BRONZE), files_in(spark, reject_path)
     with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
-        rows = pending_raw(read_flow_raw(spark, raw_path, keep_corrupt=True), done, ledger,
-                           run_key(run_id, run_ts))
-        # the frame is written, counted and its rejects kept: read the input once
-        tagged = gate_bronze(rows, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
-            metrics = batch_metrics(tagged.withColumn("batch_ts", F.coalesce("batch_ts", "of_batch")),
-                                    dag_id=dag_id, task_id="bronze", run_id=run_id, run_ts=run_ts,
-                                    elapsed=round(time.time() - t0, 3)).cache()
-            metrics.count()
-            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                        .select(*FLOW_BRONZE.fieldNames()), bronze_path)
-        finally:
-            tagged.unpersist()
-        save(metrics)
-    return JobResult(read_layer(spark, bronze_path, FLOW_BRONZE), metrics, rejects)
+        load = next_load(spark, raw_path, bronze_path, read_flow_raw)
+        if load is None:
+            metrics, rejects = no_metrics(spark), ledger(spark, reject_path)
+        else:
+            metrics, rejects = take_load(load, gate_bronze(load.rows, run_ts), bronze_path, FLOW_BRONZE, reject_path,
+                                         dag_id, run_id, run_ts, t0)
+            save(metrics)
+    return JobResult(current_rows(spark, bronze_path, FLOW_BRONZE).select(*FLOW_BRONZE.fieldNames()), metrics, rejects)
+
+
+def take_load(load: Load, tagged: DataFrame, path: str, schema: StructType, reject_path: str | None,
+              dag_id: str, run_id: str, run_ts, t0: float) -> tuple[DataFrame, DataFrame | None]:
+    """Rejects, metrics and rows of a load, from one reading of its files."""
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
+        metrics = batch_metrics(tagged.withColumn("batch_ts", F.coalesce("batch_ts", "of_batch")),
+                                dag_id=dag_id, task_id="bronze", run_id=run_id, run_ts=run_ts,
+                                elapsed=round(time.time() - t0, 3)).cache()
+        metrics.count()
+        load.finish(tagged, path, schema)
+    finally:
+        tagged.unpersist()
+    return metrics, rejects
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,
                reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "flow", run_id: str = "") -> JobResult:
-    """Every bronze batch that is not in silver yet -> deduplicated silver.
+    """Every batch of which bronze has a newer version than silver -> its silver rows, deduplicated.
 
-    Written counts the rows after gate and dedup. A batch without any good row
-    leaves nothing in silver and is looked at again by the next run.
+    A batch is worked anew as a whole, so late rows meet the ones that came before.
+    Read and written count the whole batch; a reject is kept by the run that first saw it.
     """
+    return refresh(
+        spark, bronze_path, silver_path, FLOW_BRONZE, FLOW_SILVER, lambda rows: silver_features(rows, run_ts),
+        dedup_silver, "silver", run_ts, reject_path, metrics_path, dag_id, run_id)
+
+
+def refresh(spark: SparkSession, source_path: str, path: str, source_schema: StructType, schema: StructType,
+            transform, choose, task_id: str, run_ts, reject_path, metrics_path, dag_id, run_id) -> JobResult:
+    """Work the stale batches of a layer anew: ``transform`` tags their rows, ``choose`` takes the ones to keep."""
     t0 = time.time()
-    bronze = read_layer(spark, bronze_path, FLOW_BRONZE)
-    done = batches_in(spark, silver_path, FLOW_SILVER)
-    with recorded(spark, metrics_path, dag_id, "silver", run_id, run_ts) as save:
-        feats = silver_features(pending(bronze, done), run_ts)
-        good = F.col(REJECT_COL).isNull()
-        # one dedup: its winners and the rejects are marked in the same frame
-        tagged = (dedup_silver(feats.filter(good)).withColumn("kept", F.lit(True))
-                  .unionByName(feats.filter(~good).withColumn("kept", F.lit(False))))
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rejects = write_rejects(tagged.drop("kept"), reject_path, run_key(run_id, run_ts))
-            counts = batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id, run_ts=run_ts,
-                                   elapsed=round(time.time() - t0, 3), written_col="kept")
-            read = (pending(bronze, done).groupBy("city", F.col("batch_ts").alias("batch_id"))
-                    .agg(F.count(F.lit(1)).alias("n")))
-            metrics = (counts.join(read, ["city", "batch_id"])
-                       .withColumns({"records_read": F.col("n"),
-                                     "records_dropped": F.col("n") - F.col("records_written")})
-                       .select(*PIPELINE_METRICS.fieldNames()).cache())
-            metrics.count()
-            write_batch(tagged.filter("kept").select(*FLOW_SILVER.fieldNames()), silver_path)
-        finally:
-            tagged.unpersist()
-        save(metrics)
-    return JobResult(read_layer(spark, silver_path, FLOW_SILVER), metrics, rejects)
+    log, upstream, parts = LoadLog(spark, path), LoadLog(spark, source_path), ["city", "batch_ts"]
+    rejects = None
+    with recorded(spark, metrics_path, dag_id, task_id, run_id, run_ts) as save:
+        checkpoint_root(spark)
+        stale = log.stale(upstream).checkpoint()
+        if stale.isEmpty():
+            metrics, rejects = no_metrics(spark), ledger(spark, reject_path)
+        else:
+            rows = current_rows(spark, source_path, source_schema, stale)
+            tagged = transform(rows).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                fresh = tagged.filter(F.col("load") > F.col("before")).drop("version", "before", "load")
+                rejects = write_rejects(fresh, reject_path, run_key(run_id, run_ts))
+                read = tagged.groupBy(*parts).agg(F.count(F.lit(1)).alias("read")).cache()
+                read.count()
+                good = choose(tagged.filter(F.col(REJECT_COL).isNull()))
+                written = replace_batches(good.select(*schema.fieldNames()), path, stale)
+                w = written.withColumnsRenamed({"city": "__c", "batch_ts": "__b"})
+                same = F.col("city").eqNullSafe(F.col("__c")) & F.col("batch_ts").eqNullSafe(F.col("__b"))
+                counts = read.join(w, same, "left").select(
+                    *parts, "read", F.coalesce("n", F.lit(0)).alias("written"))
+                metrics = batch_counts(counts, dag_id, task_id, run_id, run_ts, round(time.time() - t0, 3)).cache()
+                metrics.count()
+            finally:
+                tagged.unpersist()
+            log.commit(run_number(log), stale)
+            save(metrics)
+    return JobResult(layer_or_empty(spark, path, schema), metrics, rejects)
+
+
+def run_number(log: LoadLog) -> int:
+    """A new number for a run of a layer that takes no files of its own."""
+    return (log._table("versions", VERSIONS).agg(F.max("load")).first()[0] or 0) + 1
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
@@ -302,31 +399,82 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,
     return gold_back, heatmap_points(latest), metrics
 
 
+def run_gold_backlog(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None, unit: str = "hour",
+                     min_batches: int = 4, close_after: str | None = None, estimate_free_flow: bool = False,
+                     metrics_path: str | None = None, dag_id: str = "flow", run_id: str = "") -> JobResult:
+    """Every complete hour of every city that gold does not hold as silver has it now -> gold KPIs.
+
+    Which hours these are comes from the versions that silver recorded, without reading
+    silver; of silver only their batches are read. Gold is partitioned by (city, hour),
+    ``hour`` a batch key, and replaced hour by hour: an hour that a late batch changes
+    is worked anew. See ``hour_progress`` for when an hour is complete.
+    """
+    t0 = time.time()
+    log, silver_log = LoadLog(spark, gold_path), LoadLog(spark, silver_path)
+    with recorded(spark, metrics_path, dag_id, "gold_backlog", run_id, run_ts) as save:
+        checkpoint_root(spark)
+        batches = silver_log.versions()
+        hours = hour_progress(batches, unit, min_batches, close_after).where("complete") \
+            .withColumn("key", F.date_format("hour", BATCH_FORMAT))
+        held = log.versions().select(F.col("city").alias("__c"), F.col("batch_ts").alias("__h"),
+                                     F.col("version").alias("before"))
+        todo = (hours.join(held, F.col("city").eqNullSafe(F.col("__c")) & (F.col("key") == F.col("__h")), "left")
+                .where("before is null or before < version").select("city", "hour", "key", "version").checkpoint())
+        if todo.isEmpty():
+            return JobResult(_gold_hours(spark, gold_path), no_metrics(spark))
+        want = todo.select(F.col("city").alias("__c"), F.col("hour").alias("__hour"), "key")
+        members = (batches.join(want, F.col("city").eqNullSafe(F.col("__c"))
+                                & (F.date_trunc(unit, batch_timestamp("batch_ts")) == F.col("__hour")))
+                   .select("city", "batch_ts", F.col("key").alias("hour")))
+        rows = of_batches(layer_or_empty(spark, silver_path, FLOW_SILVER), members)
+        gold = finish_kpis(segment_kpi(rows, ("city", "hour", "road_id", "frc")), estimate_free_flow=estimate_free_flow)
+        write_batch(gold, gold_path, partition_by=("city", "hour"))
+        log.commit(run_number(log), todo.select("city", F.col("key").alias("batch_ts"), "version"))
+        back = _gold_hours(spark, gold_path)
+        fresh = back.join(want.select(F.col("__c"), F.col("key").alias("__key")),
+                          F.col("city").eqNullSafe(F.col("__c")) & (F.col("hour") == F.col("__key")), "left_semi")
+        counts = fresh.groupBy("city", F.col("hour").alias("batch_ts")).agg(
+            F.sum("road_segments").alias("read"), F.sum("road_segments").alias("written"))
+        metrics = batch_counts(counts, dag_id, "gold_backlog", run_id, run_ts, round(time.time() - t0, 3)).cache()
+        metrics.count()
+        save(metrics)
+    return JobResult(back, metrics)
+
+
+def _gold_hours(spark: SparkSession, path: str) -> DataFrame:
+    """Gold by hour; ``hour`` stays a batch key. Empty, with the columns of a first run, before one."""
+    if not path_exists(spark, path):
+        samples = spark.createDataFrame([], FLOW_SILVER).withColumn("hour", F.lit(""))
+        return finish_kpis(segment_kpi(samples, ("city", "hour", "road_id", "frc")))
+    types = {"city": "string", "hour": "string"}
+    plain = spark.read.parquet(path)
+    schema = StructType([StructField(f.name, StringType()) if f.name in types else f for f in plain.schema.fields])
+    return spark.read.schema(schema).parquet(path)
+
+
 def bronze_batch_handler(bronze_path: str, metrics_path: str | None = None,
                          reject_path: str | None = None, dag_id: str = "flow"):
     """``foreachBatch`` function for ``streaming.ingest_available``.
 
-    Each micro-batch of new raw rows is gated and written. The micro-batch id is
-    the last partition level, so a replayed micro-batch replaces its own files
-    and nothing else: a batch whose files arrive in several micro-batches, late
-    files included, stays whole. Rejects and metrics are kept the same way.
+    Each micro-batch of new raw rows is a load of its own, numbered by the micro-batch
+    id: a replayed one replaces its own rows and nothing else, and ``run_silver`` works
+    the batches it touched anew. Rejects and metrics are kept the same way.
     """
     def handle(df: DataFrame, batch_id: int) -> None:
+        spark, number = df.sparkSession, batch_id + 1
         if CORRUPT_COL not in df.columns:
             df = df.withColumn(CORRUPT_COL, F.lit(None).cast("string"))
-        tagged = gate_bronze(df).withColumn("micro_batch", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        # the stream's checkpoint is what tells its files apart
+        tagged = (gate_bronze(df).withColumn("source_file", F.lit(None).cast("string"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                        .select(*FLOW_BRONZE.fieldNames(), "micro_batch"), bronze_path,
-                        partition_by=(*BATCH_PARTITIONS, "micro_batch"))
-            if reject_path:
-                write_batch(tagged.filter(F.col(REJECT_COL).isNotNull()), reject_path,
-                            partition_by=("micro_batch",))
+            files = spark.createDataFrame([(f"micro-batch {batch_id}", 0)], "path string, length long") \
+                .withColumn("modified", F.lit(None).cast("timestamp"))
+            Load(LoadLog(spark, bronze_path), number, files, tagged).finish(tagged, bronze_path, FLOW_BRONZE)
+            write_rejects(tagged, reject_path, f"microbatch-{batch_id}")
             if metrics_path:
-                m = batch_metrics(tagged, dag_id=dag_id, task_id="bronze",
-                                  run_id=f"microbatch-{batch_id}")
-                write_batch(m.withColumn("micro_batch", F.lit(batch_id)), metrics_path,
-                            partition_by=("micro_batch",))
+                m = batch_metrics(tagged, dag_id=dag_id, task_id="bronze", run_id=f"microbatch-{batch_id}")
+                write_batch(m, metrics_path, partition_by=("dag_id", "task_id", "run_id"))
         finally:
             tagged.unpersist()
     return handle

@@ -15,13 +15,12 @@ from ..operators.layers import bronze_rules, incident_gold, incident_silver
 from ..operators.metrics import batch_metrics
 from ..operators.payloads import flatten_incidents
 from ..operators.quality import REJECT_COL, tag_rejects
-from ..schemas import INCIDENT_BRONZE, INCIDENT_SILVER, PIPELINE_METRICS, TRAFFIC_INCIDENTS
+from ..schemas import INCIDENT_BRONZE, INCIDENT_SILVER, TRAFFIC_INCIDENTS
 from ..sinks.files import append_missing, write_batch, write_raw
 from ..sinks.jdbc import write_serving
 from ..sources.jdbc import read_serving_or_empty
 from ..sources.files import CORRUPT_COL, read_incident_raw, read_layer
-from .flow import (MALFORMED, JobResult, batches_in, files_in, pending, pending_raw, recorded, run_key,
-                   write_rejects)
+from .flow import MALFORMED, JobResult, current_rows, ledger, next_load, no_metrics, recorded, refresh, take_load
 
 
 def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
@@ -47,61 +46,36 @@ def ingest_payloads(payloads: DataFrame, raw_path: str) -> DataFrame:
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None,
                reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "incidents", run_id: str = "") -> JobResult:
-    """Every raw batch that is not in bronze yet -> bronze.
+    """Every raw file that bronze has not taken yet -> bronze.
 
     As in the original, bronze keeps rows with null keys (silver gates them);
     malformed lines and batch keys that cannot be parsed are rejected here.
     """
     t0 = time.time()
-    done, ledger = batches_in(spark, bronze_path, INCIDENT_BRONZE), files_in(spark, reject_path)
     with recorded(spark, metrics_path, dag_id, "bronze", run_id, run_ts) as save:
-        rows = pending_raw(read_incident_raw(spark, raw_path, keep_corrupt=True), done, ledger,
-                           run_key(run_id, run_ts))
-        tagged = tag_rejects(rows.withColumn("date", batch_date("batch_ts")),
-                             [(MALFORMED, F.col(CORRUPT_COL).isNull()),
-                              *bronze_rules(required=(), date_col="date")])
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
-            metrics = batch_metrics(tagged.withColumn("batch_ts", F.coalesce("batch_ts", "of_batch")),
-                                    dag_id=dag_id, task_id="bronze", run_id=run_id, run_ts=run_ts,
-                                    elapsed=round(time.time() - t0, 3)).cache()
-            metrics.count()
-            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                        .select(*INCIDENT_BRONZE.fieldNames()), bronze_path)
-        finally:
-            tagged.unpersist()
-        save(metrics)
-    return JobResult(read_layer(spark, bronze_path, INCIDENT_BRONZE), metrics, rejects)
+        load = next_load(spark, raw_path, bronze_path, read_incident_raw)
+        if load is None:
+            metrics, rejects = no_metrics(spark), ledger(spark, reject_path)
+        else:
+            tagged = tag_rejects(load.rows.withColumn("date", batch_date("batch_ts")),
+                                 [(MALFORMED, F.col(CORRUPT_COL).isNull()),
+                                  *bronze_rules(required=(), date_col="date")])
+            metrics, rejects = take_load(load, tagged, bronze_path, INCIDENT_BRONZE, reject_path,
+                                         dag_id, run_id, run_ts, t0)
+            save(metrics)
+    rows = current_rows(spark, bronze_path, INCIDENT_BRONZE).select(*INCIDENT_BRONZE.fieldNames())
+    return JobResult(rows, metrics, rejects)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,
                dedup: bool = False, reject_path: str | None = None, metrics_path: str | None = None,
                dag_id: str = "incidents", run_id: str = "") -> JobResult:
-    """Every bronze batch that is not in silver yet -> silver; copies left out by ``dedup`` count as dropped."""
-    t0 = time.time()
-    bronze = read_layer(spark, bronze_path, INCIDENT_BRONZE)
-    fresh = pending(bronze, batches_in(spark, silver_path, INCIDENT_SILVER))
-    with recorded(spark, metrics_path, dag_id, "silver", run_id, run_ts) as save:
-        tagged = incident_silver(fresh, run_ts, dedup).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rejects = write_rejects(tagged, reject_path, run_key(run_id, run_ts))
-            counts = batch_metrics(tagged, dag_id=dag_id, task_id="silver", run_id=run_id,
-                                   run_ts=run_ts, elapsed=round(time.time() - t0, 3))
-            read = (fresh.groupBy(F.col("city").alias("c"), F.col("batch_ts").alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n")))
-            same = F.col("city").eqNullSafe(F.col("c")) & F.col("batch_id").eqNullSafe(F.col("b"))
-            metrics = (counts.join(read, same)
-                       .withColumns({"records_read": F.col("n"),
-                                     "records_dropped": F.col("n") - F.col("records_written")})
-                       .select(*PIPELINE_METRICS.fieldNames()).cache())
-            metrics.count()
-            write_batch(tagged.filter(F.col(REJECT_COL).isNull())
-                        .select(*INCIDENT_SILVER.fieldNames()), silver_path)
-        finally:
-            tagged.unpersist()
-        save(metrics)
-    return JobResult(read_layer(spark, silver_path, INCIDENT_SILVER), metrics, rejects)
+    """Every batch with a newer bronze version -> silver; copies left out by ``dedup`` count as dropped."""
+    business = [f.name for f in TRAFFIC_INCIDENTS.fields]
+    return refresh(
+        spark, bronze_path, silver_path, INCIDENT_BRONZE, INCIDENT_SILVER, lambda rows: incident_silver(rows, run_ts),
+        lambda good: good.dropDuplicates(business) if dedup else good,
+        "silver", run_ts, reject_path, metrics_path, dag_id, run_id)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, run_ts=None,

@@ -58,8 +58,10 @@ def read_json_documents(spark: SparkSession, path: str,
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything that a glob names, exists."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def layer_or_empty(spark: SparkSession, path: str | None, schema: StructType) -> DataFrame:
