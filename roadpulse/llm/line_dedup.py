@@ -5,7 +5,13 @@ fields with a digit standing for any value, lead to a leaf. A leaf's template ha
 at each place the token that most of its lines have there, or a variable field
 where none has half. A line that agrees with its leaf's template in most places
 belongs to it, any other line is a template of its own. Templates that occur in
-``MIN_DOCS`` documents or more are boilerplate, and their lines are dropped.
+``MIN_DOCS`` documents or more are boilerplate, and their lines are dropped. Lines of
+one or two tokens have leaves of their own and need a letter, so that brackets and
+numbers alone are never boilerplate.
+
+What is left of a copy would be next to nothing, and a text that only copies hold
+would be gone from all of them. So of the texts that consist mostly of one and the
+same set of recurring lines, one keeps them.
 
 Built-in expressions and joins only. Line texts are moved for leaves that enough
 documents share; elsewhere lines travel as hashes.
@@ -19,8 +25,8 @@ from pyspark.sql import functions as F
 from ._util import saved
 
 DEPTH = 3
-#: lines with fewer tokens are too short to be boilerplate
-MIN_TOKENS = 3
+#: tokens from which a line is judged without regard to its letters
+LONG = 3
 MIN_DOCS = 10
 #: share of a leaf's documents that a constant token needs, and of places in which a line must agree
 CONSTANT, SIMILAR = 0.5, 0.6
@@ -36,15 +42,15 @@ def masked(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lines long enough to judge: doc (its identity), hash, pos, line (masked), tokens, leaf, key."""
+    """Lines to judge: doc (its identity), hash, size of the text and of the line, pos, line (masked), leaf, key."""
     text = F.col(text_col).cast("string")
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"),
-                        F.split(text, "\n").alias("lines"))
-            .select("doc_id", "hash", F.posexplode("lines").alias("pos", "line"))
-            .withColumn("line", masked(F.col("line")))
+                        F.length(text).alias("size"), F.split(text, "\n").alias("lines"))
+            .select("doc_id", "hash", "size", F.posexplode("lines").alias("pos", "line"))
+            .withColumn("chars", F.length("line")).withColumn("line", masked(F.col("line")))
             .withColumn("tokens", F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1)
-            .where(F.col("tokens") >= MIN_TOKENS))
-    return rows.select("doc_id", "hash", F.coalesce("doc_id", "hash").alias("doc"), "pos", "line",
+            .where((F.col("tokens") >= LONG) | F.col("line").rlike(r"\p{L}")))
+    return rows.select("doc_id", "hash", F.coalesce("doc_id", "hash").alias("doc"), "size", "chars", "pos", "line",
                        F.xxhash64("tokens", F.substring_index("line", " ", DEPTH)).alias("leaf"),
                        F.xxhash64("line").alias("key"))
 
@@ -72,7 +78,12 @@ def templates(lines: DataFrame) -> DataFrame:
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """(doc_id, hash, dropped): for each text with recurring lines, the places of these lines."""
+    """(doc_id, hash, dropped): for each text with recurring lines, the places of those that go.
+
+    Where recurring lines make up more than half of a text's characters, the text with
+    the smallest id (nulls last) of all such texts with the same set of lines keeps
+    them and gives no row.
+    """
     all_lines = _lines(docs, id_col, text_col)
     marks = saved(all_lines.drop("line"))
     busy = saved(marks.select("leaf", "doc").distinct().groupBy("leaf").count()
@@ -86,17 +97,24 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
     often = (placed.select("leaf", "template", "doc").distinct().groupBy("leaf", "template").count()
              .where(F.col("count") >= min_docs).select("leaf", "template"))
     keys = saved(known.join(often, ["leaf", "template"]).select("leaf", "key"))
-    return (marks.join(keys, ["leaf", "key"], "left_semi").groupBy("doc_id", "hash")
-            .agg(F.collect_set("pos").alias("dropped")))
+    cuts = saved(marks.join(keys, ["leaf", "key"], "left_semi").groupBy("doc_id", "hash").agg(
+        F.collect_set("pos").alias("dropped"), F.xxhash64(F.sort_array(F.collect_set("key"))).alias("lines"),
+        # rows that repeat id and text come more than once
+        (F.sum(F.col("chars") + 1) / (F.count("pos") / F.count_distinct("pos"))).alias("gone"),
+        F.first("size").alias("size")))
+    mostly = cuts.where(2 * (F.col("size") - F.col("gone")) < F.col("size"))
+    keeps = mostly.groupBy("lines").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("one")) \
+        .select(F.col("one.doc_id").alias("kept_id"), F.col("one.hash").alias("kept_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+    return cuts.join(keeps, same, "left_anti").select("doc_id", "hash", "dropped")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as struct ``row``, with n_lines, n_dropped and the text left.
 
-    A text of which recurring lines make up more than half of the characters is a
-    copy rather than a page with boilerplate: it is left whole for document
-    deduplication to judge. Null texts have no line and stay null; empty texts
+    Texts that consist mostly of the same recurring lines are copies of each other,
+    or hold nothing else: one of them is left whole, see ``recurring``. Null texts have no line and stay null; empty texts
     have one empty line. Rows with a null id count as documents by their text;
     repeated rows count once and are cut alike. Extra columns pass through in
     ``row``; an empty table gives an empty result.
@@ -110,7 +128,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
     rows = (rows.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("hash") == F.col("cut_hash")), "left")
             .select("row", "whole", F.size(F.coalesce(lines, F.array().cast("array<string>"))).alias("n_lines"), "dropped",
                     F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col("dropped"), i), F.lit(False))).alias("left")))
-    whole = F.col("dropped").isNull() | (2 * F.length(F.array_join("left", "\n")) < F.length("whole"))
+    whole = F.col("dropped").isNull()
     return rows.select(
         "row", F.col("n_lines").cast("long").alias("n_lines"),
         F.when(whole, 0).otherwise(F.size("dropped")).cast("long").alias("n_dropped"),
@@ -133,7 +151,9 @@ def oracle_sql(min_docs: int = MIN_DOCS) -> str:
     parsed AS (
       SELECT doc_id, pos, string_split(regexp_replace(trim(line, ' '), '(^| )[^ 0-9]*[0-9][^ ]*', '\\1{ANY}', 'g'), ' ') AS t
       FROM split),
-    leaves AS (SELECT doc_id, pos, t, (len(t), t[1:{DEPTH}]) AS leaf FROM parsed WHERE len(t) >= {MIN_TOKENS}),
+    leaves AS (
+      SELECT doc_id, pos, t, (len(t), t[1:{DEPTH}]) AS leaf FROM parsed
+      WHERE len(t) >= {LONG} OR regexp_matches(array_to_string(t, ' '), '\\p{{L}}')),
     per_line AS (SELECT leaf, t, count(DISTINCT doc_id) AS n FROM leaves GROUP BY ALL),
     votes AS (
       SELECT leaf, place, token, sum(n) AS n FROM (
@@ -150,11 +170,15 @@ def oracle_sql(min_docs: int = MIN_DOCS) -> str:
       SELECT j.leaf, j.own FROM judged j JOIN leaves l ON l.leaf = j.leaf AND l.t = j.t
       GROUP BY j.leaf, j.own HAVING count(DISTINCT l.doc_id) >= {min_docs}),
     gone AS (
-      SELECT DISTINCT l.doc_id, l.pos FROM leaves l JOIN judged j ON l.leaf = j.leaf AND l.t = j.t
+      SELECT DISTINCT l.doc_id, l.pos, l.t FROM leaves l JOIN judged j ON l.leaf = j.leaf AND l.t = j.t
       JOIN often o ON o.leaf = j.leaf AND o.own IS NOT DISTINCT FROM j.own),
     cut AS (
       SELECT s.doc_id, any_value(s.text) AS whole, count(*) AS n_lines, count(g.pos) AS n,
-             coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (g.pos IS NULL), '') AS kept
-      FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.pos = s.pos GROUP BY s.doc_id)
-    SELECT doc_id, n_lines, CASE WHEN 2 * length(kept) < length(whole) THEN 0 ELSE n END AS n_dropped,
-           CASE WHEN 2 * length(kept) < length(whole) THEN whole ELSE kept END AS text FROM cut"""
+             coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (g.pos IS NULL), '') AS kept,
+             list(DISTINCT g.t ORDER BY g.t) FILTER (g.pos IS NOT NULL) AS lines
+      FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.pos = s.pos GROUP BY s.doc_id),
+    ones AS (
+      SELECT min(doc_id) AS doc_id FROM cut WHERE n > 0 AND 2 * length(kept) < length(whole) GROUP BY lines)
+    SELECT c.doc_id, n_lines, CASE WHEN o.doc_id IS NOT NULL THEN 0 ELSE n END AS n_dropped,
+           CASE WHEN o.doc_id IS NOT NULL THEN whole ELSE kept END AS text
+    FROM cut c LEFT JOIN ones o ON o.doc_id = c.doc_id"""

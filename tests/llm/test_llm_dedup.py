@@ -169,19 +169,48 @@ def near_vectors(count=240, dim=16):
     return rows
 
 
-@pytest.mark.parametrize("leaf", [1_000, 25])
-def test_forest_finds_the_links(spark, leaf, monkeypatch):
+@pytest.mark.parametrize("leaf,cell", [(1_000, 100_000), (25, 100_000), (25, 90), (12, 40)])
+def test_forest_finds_the_links(spark, leaf, cell):
+    """One leaf, trees in one task, and labels cut into cells of several tasks."""
     rows = near_vectors()
     rows += [(300 + i, rows[0][1], 0) for i in range(20)]        # copies
-    monkeypatch.setattr(embedding_dedup.forest, "__defaults__", (embedding_dedup.TREES, leaf, embedding_dedup.SPILL))
-    monkeypatch.setattr(embedding_dedup.links_in_leaves, "__defaults__", (0.93, leaf))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(df).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id)
+           for r in embedding_dedup.embedding_dedup(df, leaf=leaf, cell=cell).collect()}
     want = plain_links(rows)
     if leaf > len(rows):
         assert got == want
     found, all_of = (sum(n for n, _ in x.values()) for x in (got, want))
     assert 0.9 * all_of <= found <= all_of
+    assert all(got[i][0] <= want[i][0] for i in want)
+
+
+def test_forest_as_shipped_against_brute_force(spark):
+    """6,000 distinct vectors of one label, pairs and triples: trees are built, every count is right."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(2_500, 64))
+    rows = np.concatenate([base, base[:2_000] + rng.normal(0, 0.25, (2_000, 64)),
+                           base[:1_500] + rng.normal(0, 0.2, (1_500, 64))]).astype(np.float32)
+    unit = embedding_dedup._unit(rows)
+    assert len(embedding_dedup.grow(unit, 1, embedding_dedup.LEAF, embedding_dedup.SPILL, embedding_dedup.TREES, 0.93)) > 100
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<float>")
+    got = embedding_dedup.embedding_dedup(df.withColumn("label", F.lit("x"))).orderBy("vec_id").collect()
+    links = np.array([r.n_links for r in got])
+    assert (links <= want).all() and links.sum() >= 0.99 * want.sum() > 3_000
+
+
+def test_groups_larger_than_a_cell_are_compared_in_blocks(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=32)
+    rows = np.concatenate([centre + rng.normal(0, 0.1, (700, 32)), rng.normal(size=(500, 32))]).astype(np.float32)
+    unit = embedding_dedup._unit(rows)
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<float>")
+    got = embedding_dedup.embedding_dedup(df.withColumn("label", F.lit(1)), cell=200).orderBy("vec_id").collect()
+    links = np.array([r.n_links for r in got])
+    assert (links[:700] == want[:700]).all() and (links <= want).all()
+    assert {r.component_id for r in got[:700]} == {0}
 
 
 def test_forest_keeps_large_groups_of_near_copies_whole(spark):
@@ -201,13 +230,12 @@ def test_forest_keeps_large_groups_of_near_copies_whole(spark):
     assert links[size:].sum() >= 0.95 * want[size:].sum()
 
 
-def test_pairs_met_before_are_found_alike_one_by_one_and_at_once(monkeypatch):
+def test_pairs_that_met_before():
     rng = np.random.default_rng(4)
-    cells = [sorted({0, *rng.integers(-30, 30, 3).tolist()}) for _ in range(90)]
-    ok = rng.random((40, 50)) < 0.5
-    alone = embedding_dedup.met_before(ok, cells[:40], cells[40:], 0)
-    monkeypatch.setattr(embedding_dedup, "MANY", 0)
-    assert alone.any() and (alone == embedding_dedup.met_before(ok, cells[:40], cells[40:], 0)).all()
+    lists = [sorted({*rng.integers(0, 60, 3).tolist()}) for _ in range(90)]
+    a, b = np.arange(40), np.arange(40, 90)
+    want = np.array([[bool(set(lists[x]) & set(lists[y])) for y in b] for x in a])
+    assert want.any() and (embedding_dedup._met(a, b, lists) == want).all()
 
 
 def test_forest_odd_rows(spark):
@@ -243,12 +271,23 @@ def test_line_dedup_generalises_fields_and_keeps_the_rest(spark):
     out = line_dedup.without_boilerplate(df, min_docs=3)
     assert out.columns == df.columns
     by = {r.doc_id: r.text for r in out.collect()}
-    assert by[1] == f"{body[1]}\nok" and by[0] == f"{body[0]}\nok"
+    assert by[1] == body[1] and by[0] == body[0]       # the short line recurs as well
     assert by[10] is None and by[11] == "" and by[None] == "alone\nand here"
-    assert by[20] == rows[-4][1]                      # copies of whole pages are left to document dedup
+    assert [by[i] for i in range(20, 24)] == [rows[-4][1], "", "", ""]     # of copied pages one stays
     assert out.count() == len(rows) and line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_lines_of_pages_with_little_of_their_own(spark):
+    """Boilerplate goes however much of a page it is; one page of each set of recurring lines keeps it."""
+    shared = ["read more about our cookies here", "all rights reserved by us"]
+    rows = [(i, f"{shared[0]}\n{shared[1]}\nown {'abcdefgh'[i]} text") for i in range(8)]
+    rows += [(20 + i, "\n".join([*shared, "12", "-", "see"])) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by = {r.row.doc_id: (r.text, r.n_dropped) for r in line_dedup.dedup_lines(df, 3).collect()}
+    assert by[0] == (rows[0][1], 0) and all(by[i] == (f"own {'abcdefgh'[i]} text", 2) for i in range(1, 8))
+    assert by[20] == ("12\n-\nsee", 2) and by[21] == ("12\n-\nsee", 2)      # numbers and marks alone are no lines
+
+
 def test_passages_of_the_query(spark):
     """Every window of 50 words seen in an earlier document lies in a reported passage, all but a few."""
     got = queries.op4_substring(spark, SF).collect()
