@@ -3,7 +3,7 @@
 Documents are tokenised in Python tasks, word by word with a bounded memory:
 a text may be cut before a space or line break that follows a non-space without
 changing its ids, because no pre-token of the vocabulary runs on into white
-space. Only lengths are shuffled. Pieces are dealt by hash over shards of about
+space. Only lengths are shuffled. Pieces are dealt by a hash of all they are over shards of about
 ``SHARD`` pieces; each shard is packed on its own, longest pieces first, putting
 every piece where the sum over residual gaps of (open bins with that gap)^2
 becomes smallest.
@@ -61,9 +61,13 @@ class WordTokenizer:
         import tiktoken
         from tokenizers import Tokenizer
         alphabet = byte_alphabet()
-        vocab = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+        library = Tokenizer.from_file(path)
+        vocab = library.get_vocab(with_added_tokens=False)
         ranks = {bytes(alphabet[c] for c in t): i for t, i in vocab.items() if all(c in alphabet for c in t)}
-        ranks = {t: i for t, i in ranks.items() if not t.startswith(b"<|endoftext|>")}
+        #: tokens that the library takes out of a text before anything else, as they stand
+        self.added = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        ranks = {t: i for t, i in ranks.items() if t.decode("utf-8", "replace") not in self.added}
+        self.cut_added = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.coder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for t, i in ranks.items():
@@ -87,11 +91,22 @@ class WordTokenizer:
                 self.words[w] = flat[a:b]
                 a = b
 
+    def _split(self, text: str) -> list[str]:
+        """Stretches of the text; an added token in it is a stretch, and what lies between two is a text."""
+        if self.cut_added is None or not self.cut_added.search(text):
+            return stretches(text)
+        out, at = [], 0
+        for m in self.cut_added.finditer(text):
+            out += [*stretches(text[at:m.start()]), m.group()]
+            at = m.end()
+        return out + stretches(text[at:])
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text, without special tokens; null is an empty text."""
-        split = [stretches(t) if t else [] for t in texts]
+        """Ids of each text as the library gives them without adding special tokens; null is an empty text."""
+        split = [self._split(t) if t else [] for t in texts]
         if len(self.words) > CACHE:
             self.words.clear()
+        self.words.update((t, np.array([i], "<u4").tobytes()) for t, i in self.added.items())
         new: set[str] = set()
         for words in split:
             new.update(words)
@@ -197,7 +212,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> Dat
     shards = max(1, pieces.count() // shard)
     schema = pieces.schema.simpleString()[7:-1]
     names = pieces.columns
-    at = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))
+    # start, length and ids tell rows apart that share an id or have none
+    at = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), F.lit(shards))
 
     def place(group: pa.Table) -> pa.Table:
         n = group.column("length").to_numpy()

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ODD = ["a  b", "a \n b", "\n\n", "  ", " a", "a ", "tab\tx y", "x  y z", "a\x1c b", "!\x1c!", "a\r\nb", "", None,
-       "é ñ'll 's  'S", "\x85 a", "a\x00 b c\x00", "𝔘𝔫 12³ ①", "<|endoftext|> x", "aaaaaaaaa " * 40]
+       "é ñ'll 's  'S", "\x85 a", "a\x00 b c\x00", "𝔘𝔫 12³ ①", "<|endoftext|> x", "a <|endoftext|>b<|endoftext|> <|endoftext|>", "<|ENDOFTEXT|>", "aaaaaaaaa " * 40]
 
 
 @pytest.fixture(autouse=True)
@@ -42,7 +42,6 @@ def frame(spark, texts, **extra):
 
 def test_word_ids_are_those_of_the_library(texts):
     ref = Tokenizer.from_file(JSON)
-    ref.encode_special_tokens = True
     tok = packing.WordTokenizer(JSON, public_tokenizers.PATTERN)
     for t, ids in zip(ODD + texts, tok.encode(ODD + texts)):
         assert ids.tolist() == ref.encode(t or "", add_special_tokens=False).ids
@@ -52,15 +51,24 @@ def test_word_ids_are_those_of_the_library(texts):
 @given(st.text(alphabet=st.characters(codec="utf-8"), max_size=40))
 def test_cutting_into_words_never_changes_ids(text):
     ref = Tokenizer.from_file(JSON)
-    ref.encode_special_tokens = True
     tok = packing._tokenizer(JSON, public_tokenizers.PATTERN)
     assert next(iter(tok.encode([text]))).tolist() == ref.encode(text, add_special_tokens=False).ids
 
 
+def test_rows_without_ids_are_dealt_over_shards(spark):
+    """A third of the ids null, the rest one id: pieces still spread, and none is lost."""
+    rows = [(None if i % 3 == 0 else 7, f"text number {i} of many") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack_documents(docs, JSON, public_tokenizers.PATTERN, 64, shard=100).collect()
+    per = {}
+    for r in got:
+        per[r.sequence_id >> 32] = per.get(r.sequence_id >> 32, 0) + 1
+    assert len(got) == 900 and len(per) == 9 and max(per.values()) < 250
+
+
 def test_packing_query(spark, texts):
     got = queries.op5_packing(spark, SF).collect()
     ref = Tokenizer.from_file(JSON)
-    ref.encode_special_tokens = True
     size = {r.doc_id: len(ref.encode(r.text, add_special_tokens=False).ids) + 1
             for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     by_doc, by_seq = {}, {}
@@ -202,8 +210,8 @@ def test_quality_odd_rows(spark):
     rng = random.Random(3)
     odd = [None, "", " \n\t ", "a b c a b c", "x\n\nx\n \nx", "one", "A\x0bb\x0cc", "é|é <b>",
            " ".join(rng.choices("abcd", k=3000)), "Pf. " * 4000]
-    df = frame(spark, odd, lang="xx", words=5, row="r")
-    out = {r.row.doc_id: r for r in quality.quality(df).collect()}
+    df = frame(spark, odd, lang="xx", words=5, row="r", k1=1, space=2)
+    out = {r.doc_id: r for r in quality.quality(df).collect()}
     for i, t in enumerate(odd):
         assert tuple(out[i][c] for c in COUNTS) == plain_counts(t), t
     assert not any(r.kept for i, r in out.items() if i != 8)
@@ -213,6 +221,18 @@ def test_quality_odd_rows(spark):
     assert quality.quality(nulls).count() == len(odd)
 
 
+def test_quality_copies_get_the_verdict_of_one(spark):
+    """Rows of equal text are counted together and must not shift their own histogram."""
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choices("aeiounst", k=rng.randint(2, 7))) for _ in range(80))
+    once = [text() for _ in range(30)]
+    a, b = frame(spark, once, lang="xx"), frame(spark, [t for t in once for _ in range(7)], lang="xx")
+    refs = quality.language_references(a)
+    one = {r.doc_id: (r.word_distance, r.class_distance) for r in quality.quality(a, refs).collect()}
+    many = {r.doc_id: (r.word_distance, r.class_distance) for r in quality.quality(b, refs).collect()}
+    assert all(many[i] == pytest.approx(one[i // 7]) and one[i // 7][0] > 0 for i in many)
+
+
 def test_quality_keeps_clean_and_drops_junk(spark):
     """On labelled documents long enough to judge: all of the good ones stay, most of the bad go."""
     sf = "/root/testdata/sf0.01"
@@ -223,8 +243,9 @@ def test_quality_keeps_clean_and_drops_junk(spark):
 
 
 def test_divergence(spark):
-    row = spark.range(1).select(quality.divergence(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0))),
-                                quality.divergence(F.array(F.lit(0.3), F.lit(0.7)), F.array(F.lit(0.3), F.lit(0.7))))
+    shares = lambda *x: [F.lit(v) for v in x]
+    row = spark.range(1).select(quality.divergence(shares(1.0, 0.0), shares(0.0, 1.0)),
+                                quality.divergence(shares(0.3, 0.7), shares(0.3, 0.7)))
     assert [round(x, 9) for x in row.first()] == [1.0, 0.0]
 
 
