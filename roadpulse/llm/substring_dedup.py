@@ -28,8 +28,8 @@ K, W = 6, 16
 MIN_WORDS, IDENTITY = 50, 0.8
 #: cost of a word skipped on either side, and most words skipped between two anchors
 SKIP, MAX_GAP = 0.2, 40
-#: words of a chain worth aligning, and read beyond its ends
-MIN_CHAIN, MARGIN = 12, 40
+#: words read beyond the ends of a chain
+MARGIN = 40
 #: words between passages of one document that still adjoin
 ADJOIN = 3
 #: documents (8 bytes each) up to which their list is broadcast
@@ -89,20 +89,31 @@ def chains(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     """Chains of anchors (a, b), as arrays of anchor numbers in order, best first, no anchor twice.
 
     A chain gains ``K`` per anchor and pays ``SKIP`` per word between anchors on
-    either side; it is cut where more than ``MAX_GAP`` words lie between two.
+    either side; it is cut where more than ``MAX_GAP`` words lie between two. The tree
+    answers for all anchors before one. Where its best is beyond the gap, as the end of
+    a long chain is for all that comes later, the anchors within the gap are looked
+    through: at most one for each place of the first text, so a few.
     """
     order = np.lexsort((-b, a))
     column = np.unique(b, return_inverse=True)[1][order].tolist()
     aa, bb = a[order].tolist(), b[order].tolist()
     tree, score, back = Fenwick(max(column, default=0) + 1), [0.0] * len(aa), [-1] * len(aa)
+
+    def within(j: int, x: int, y: int) -> bool:
+        return 0 < x - aa[j] <= MAX_GAP + K and 0 < y - bb[j] <= MAX_GAP + K
+
+    oldest = 0
     for i, (x, y, c) in enumerate(zip(aa, bb, column)):
         value, j = tree.below(c)
+        if j >= 0 and not within(j, x, y):
+            while aa[oldest] < x - MAX_GAP - K:
+                oldest += 1
+            value, j = max(((score[h] + SKIP * (aa[h] + bb[h]), h) for h in range(oldest, i) if within(h, x, y)),
+                           default=(-1e18, -1))
         gain = value - SKIP * (x + y)
         score[i] = K + max(0.0, gain)
-        if gain > 0 and x - aa[j] <= MAX_GAP + K and y - bb[j] <= MAX_GAP + K and aa[j] < x:
+        if gain > 0:
             back[i] = j
-        elif gain > 0:
-            score[i] = K
         tree.put(c, score[i] + SKIP * (x + y), i)
     used, out = [False] * len(aa), []
     for i in sorted(range(len(aa)), key=lambda i: -score[i]):
@@ -238,8 +249,7 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(ref)]):
             for chain in chains(a[lo:hi], b[lo:hi]):
                 x, y = a[lo:hi][chain], b[lo:hi][chain]
-                if x[-1] - x[0] + K + 2 * W >= MIN_CHAIN:
-                    rows.append((int(ref[lo]), int(source[lo]), x.tolist(), y.tolist()))
+                rows.append((int(ref[lo]), int(source[lo]), x.tolist(), y.tolist()))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)],
                                          names=["ref", "source", "a", "b"])
