@@ -56,3 +56,23 @@ def test_query_matches_oracle(spark, con, name):
     o_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(o_cols)
     assert _rows(df.columns, s_rows) == _rows(o_cols, res.fetchall())
+
+
+BLOCKED = """
+import importlib.abc, sys
+sys.path.insert(0, {root!r})
+class Absent(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path, target=None):
+        if name.startswith("roadpulse.llm") or name == "corpus_pipeline":
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as E
+print(len(E.queries()), len(E.oracle_sql()))
+"""
+
+
+def test_entry_without_the_optional_subpackage():
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", BLOCKED.format(root=root)], capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(QUERIES))] * 2
