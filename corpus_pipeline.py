@@ -26,12 +26,19 @@ def _recount(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts go. Null ids, null languages, repeated rows and further columns
+    pass; rows of equal text and language are judged alike.
+    """
     return quality.keep_good(docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without recurring lines."""
+    """All documents, without recurring lines; of texts that consist of the same ones one keeps them.
+
+    Null texts stay null. Rows that repeat id and text are cut alike; other columns pass.
+    """
     return _recount(line_dedup.without_boilerplate(docs))
 
 
@@ -46,13 +53,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by the name of its kind."""
+    """All documents, personal data replaced by the name of its kind; null texts stay null."""
     known_to_workers(spark)
     return _recount(pii.redact(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents' pieces in sequences of ``CAPACITY`` tokens."""
+    """The places of all documents' pieces in sequences of ``CAPACITY`` tokens.
+
+    Null and empty texts are a separator; null and repeated ids keep their rows.
+    """
     known_to_workers(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"),
                                   public_tokenizers.PATTERN, CAPACITY)
@@ -61,7 +71,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("quality", quality_rules), ("lines", drop_lines), ("copies", drop_copies),
           ("personal_data", redact_personal_data), ("packing", pack_sequences)]
 
-#: SQL expresses neither the trained tagger nor the tokenizer; the tests hold run() against plain Python
+#: SQL expresses neither the trained tagger nor the tokenizer; the tests hold run() against its stages, one by
+#: one, and these against brute force
 ORACLE_SQL = None
 
 
