@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and a character BiLSTM-CRF that adds to them.
 
 The patterns give the base spans. The network reads overlapping windows of
-``WINDOW`` characters; every window answers for the ``ZONE`` characters in its
-middle, so the tags of a text fit together into one sequence from which spans are
-read. A span must hold a digit or ``@`` and be at most ``REACH`` characters, so
-only windows whose zone lies within ``REACH`` of such a character can matter, and
-only those are run; the result is the same as over all windows.
+``WINDOW`` characters, and every window scores the tags of the ``ZONE`` characters in
+its middle. The scores of neighbouring windows make one sequence, which is decoded
+as a whole with the transitions of the CRF: no window decides by itself, so a span
+over the border of two is one span. A span must hold a digit or ``@``, so the windows
+within ``REACH`` of such characters are run; where a decoded stretch does not end
+outside of any span, the windows next to it join it, however long it gets. The result
+is that of one decoding over all windows of the text.
 
 Training is plain numpy on the driver: labelled spans are the base spans of a
 bounded sample of documents and written-out variants of each kind (other
@@ -210,19 +212,34 @@ def crf_gradient(e: np.ndarray, trans: np.ndarray, tags: np.ndarray):
 
 
 def viterbi(e: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Best tag sequences (T, B) under emissions (T, B, tags)."""
-    steps, batch, _ = e.shape
-    back = np.empty(e.shape, np.int8)
-    best = e[0]
-    for t in range(1, steps):
-        step = best[:, :, None] + trans[None]
-        back[t] = step.argmax(1)
-        best = step.max(1) + e[t]
-    out = np.empty((steps, batch), np.int8)
-    out[-1] = best.argmax(1)
-    who = np.arange(batch)
-    for t in range(steps - 1, 0, -1):
-        out[t - 1] = back[t, who, out[t]]
+    """Best tag sequences (T, B) under emissions (T, B, tags) of windows by themselves."""
+    return np.stack(decode([e[:, i] for i in range(e.shape[1])], trans), axis=1)
+
+
+def decode(runs: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
+    """Best tag sequence of each run of emissions (steps, tags).
+
+    All runs take a step at once, the longest ones first, so that at any step those
+    still going on are the first of them.
+    """
+    order = sorted(range(len(runs)), key=lambda i: -len(runs[i]))
+    size = np.array([len(runs[i]) for i in order], np.int64)
+    flat, starts = np.concatenate([runs[i] for i in order]), np.cumsum(size) - size
+    best, back = flat[starts].copy(), []
+    for t in range(1, int(size[0])):
+        m = int(np.searchsorted(-size, -t))  # runs longer than t
+        step = best[:m, :, None] + trans[None]
+        back.append(step.argmax(1).astype(np.int8))
+        best[:m] = step.max(1) + flat[starts[:m] + t]
+    tags, now = np.empty(len(flat), np.int8), best.argmax(1)
+    for t in range(int(size[0]) - 1, -1, -1):
+        m = int(np.searchsorted(-size, -t))
+        tags[starts[:m] + t] = now[:m]
+        if t:
+            now[:m] = back[t - 1][np.arange(m), now[:m]]
+    out: list[np.ndarray] = [tags[:0]] * len(runs)
+    for i, a, n in zip(order, starts.tolist(), size.tolist()):
+        out[i] = tags[a:a + n]
     return out
 
 
@@ -281,7 +298,7 @@ def spans_of(tags: np.ndarray, text: str, offset: int = 0) -> list[Span]:
         body = text[a:b]
         a += len(body) - len(body.lstrip())
         b -= len(body) - len(body.rstrip())
-        if a < b and b - a <= REACH and plausible(int(kind[s]), text[a:b]):
+        if a < b and plausible(int(kind[s]), text[a:b]):
             out.append((int(kind[s]), a, b))
     return out
 
@@ -375,40 +392,45 @@ def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
     return train(wins, tags, hidden, epochs, seed)
 
 
+def _zone_scores(w: dict, syms: dict[int, np.ndarray], wanted: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+    """Emissions (zones * ZONE, tags) of the given zones of the given texts."""
+    rows = np.concatenate([windows_of(syms[n], zones) for n, zones in wanted])
+    out = np.empty((len(rows), ZONE, TAGS), np.float32)
+    for at in range(0, len(rows), 2048):
+        out[at:at + 2048] = emissions(w, rows[at:at + 2048])[0][SIDE:SIDE + ZONE].transpose(1, 0, 2)
+    ends = np.cumsum([len(z) for _, z in wanted]).tolist()
+    return [out[a:b].reshape(-1, TAGS) for a, b in zip([0, *ends], ends)]
+
+
 def find_spans(w: dict, texts: list[str], everywhere: bool = False) -> list[list[Span]]:
     """All spans of each text: the base spans, and the network's that overlap none of them.
 
-    ``everywhere`` runs every window, for tests; the result is the same.
+    ``everywhere`` runs every window and decodes each text in one piece, for tests; the
+    result is the same.
     """
-    jobs = []
+    found: list[list[Span]] = [base_spans(t) for t in texts]
+    used: dict[int, np.ndarray] = {}  # zones of each text that are run
     for n, text in enumerate(texts):
         zones = np.arange(-(-len(text) // ZONE)) if everywhere else zones_near(text)
         if len(zones):
-            jobs.append((n, zones))
-    found: list[list[Span]] = [base_spans(t) for t in texts]
-    marks = {n: np.zeros(len(texts[n]) + ZONE, np.int8) for n, _ in jobs}
-    queue: list[tuple[int, int]] = []
-    rows: list[np.ndarray] = []
-
-    def run() -> None:
-        if not rows:
-            return
-        tags = viterbi(emissions(w, np.concatenate(rows))[0], w["t"])[SIDE:SIDE + ZONE]
-        for (n, z), mine in zip(queue, tags.T):
-            marks[n][z * ZONE:(z + 1) * ZONE] = mine
-        queue.clear()
-        rows.clear()
-
-    for n, zones in jobs:
-        sym = symbols(texts[n])
-        for at in range(0, len(zones), 2048):
-            part = zones[at:at + 2048]
-            queue += [(n, z) for z in part.tolist()]
-            rows.append(windows_of(sym, part))
-            if len(queue) >= 2048:
-                run()
-    run()
-    for n, _ in jobs:
+            used[n] = np.zeros(-(-len(text) // ZONE), bool)
+            used[n][zones] = True
+    syms = {n: symbols(texts[n]) for n in used}
+    marks = {n: np.zeros(len(used[n]) * ZONE, np.int8) for n in used}
+    todo = [(n, r) for n in used for r in _runs(used[n])]
+    further = 1
+    while todo:
+        tags = decode(_zone_scores(w, syms, [(n, np.arange(a, b)) for n, (a, b) in todo]), w["t"])
+        grown: dict[int, list[int]] = {}
+        for (n, (a, b)), mine in zip(todo, tags):
+            marks[n][a * ZONE:b * ZONE] = mine
+            low, high = max(0, a - further * bool(mine[0])), min(len(used[n]), b + further * bool(mine[-1]))
+            if (low, high) != (a, b):  # a span may go on beyond the stretch
+                used[n][low:high] = True
+                grown.setdefault(n, []).append(low)
+        todo = [(n, r) for n, at in grown.items() for r in _runs(used[n]) if any(r[0] <= x < r[1] for x in at)]
+        further *= 2
+    for n in used:
         base = np.zeros(len(texts[n]) + 1, bool)
         for _, a, b in found[n]:
             base[a:b] = True
@@ -417,6 +439,12 @@ def find_spans(w: dict, texts: list[str], everywhere: bool = False) -> list[list
     return found
 
 
+def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
+    """(first, end) of the runs of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 

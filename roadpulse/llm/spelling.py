@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import ids_and_texts, saved
+from ._util import ids_and_texts, saved, shuffle_width
 
 #: letters that partitions share
 DEPTH = 3
@@ -278,7 +278,10 @@ def near_words(words: DataFrame, size: int = WORDS) -> DataFrame:
         return _rows(_partition_pairs([w[::-1] for w in ws] if turned else ws, group.column("n").to_pylist(),
                                       group.column("depth")[0].as_py(), turned))
 
-    found = parts.groupBy("turned", "depth", "key").applyInArrow(compose, _FOUND)
+    # as many partitions as the work needs: by bytes, which are few, they would be merged into a handful
+    width = shuffle_width(words.sparkSession, 2 * words.count(), size // 5 + 1)
+    found = (parts.repartition(width, "turned", "depth", "key")
+             .groupBy("turned", "depth", "key").applyInArrow(compose, _FOUND))
     for r in rests:
         found = found.unionByName(r.groupBy("turned", "key", "rest").applyInArrow(_opened, _FOUND))
     first = F.min(F.struct((-F.col("best_n")).alias("m"), "best"))

@@ -342,6 +342,41 @@ def weights(texts):
     return pii.train(wins, tags)
 
 
+def test_runs_of_any_length_are_decoded_at_once():
+    rng = np.random.default_rng(1)
+    t = rng.normal(size=(pii.TAGS, pii.TAGS))
+    runs = [rng.normal(size=(n, pii.TAGS)) for n in (3, 1, 5, 3, 2)]
+    for e, got in zip(runs, pii.decode(runs, t)):
+        best, back = e[0], []
+        for row in e[1:]:
+            step = best[:, None] + t
+            back.append(step.argmax(0))
+            best = step.max(0) + row
+        want = [int(best.argmax())]
+        for b in reversed(back):
+            want.append(int(b[want[-1]]))
+        assert got.tolist() == want[::-1]
+
+
+def one_piece(w, text):
+    """Scores of every window's middle put side by side, decoded once over the whole text."""
+    sym, rows = pii.symbols(text), []
+    for z in range(-(-len(text) // pii.ZONE)):
+        rows.append(pii.emissions(w, pii.windows_of(sym, np.array([z])))[0][pii.SIDE:pii.SIDE + pii.ZONE, 0])
+    tags = pii.decode([np.concatenate(rows)], w["t"])[0][:len(text)]
+    base = pii.base_spans(text)
+    taken = {i for _, a, b in base for i in range(a, b)}
+    return sorted(base + [s for s in pii.spans_of(tags, text) if not taken & set(range(s[1], s[2]))])
+
+
+def test_spans_are_those_of_one_decoding(weights, texts):
+    """Windows, zones and stretches leave no trace: also for spans over their borders and very long ones."""
+    some = [t for t in texts if t and re.search("[0-9@]", t)][:25]
+    some += ["x" * k + " write to (555) 123-4567 or 555.123.4567, card 4111-1111-1111-1111 end" for k in range(20, 70, 7)]
+    some.append("a" * 300 + "@" + "b" * 300 + ".org " + "and " * 40)
+    assert pii.find_spans(weights, some) == [one_piece(weights, t) for t in some]
+
+
 def test_windows_near_digits_are_enough(weights, texts):
     some = texts[:60] + ["call (555) 123-4567 or write to bob7 @ mail.org now " * 5]
     assert pii.find_spans(weights, some) == pii.find_spans(weights, some, everywhere=True)
