@@ -353,3 +353,51 @@ def test_split_chains_do_not_report_what_differs(spark):
     text = lambda: " ".join(w for k in kept for w in k + words(3))
     df = spark.createDataFrame([(1, text()), (2, text())], "doc_id long, text string")
     assert substring_dedup.repeated_passages(df).count() == 0
+
+
+def best_chain_score(a, b):
+    """Quadratic: the best score over all chains whose anchors follow each other within the gap."""
+    k, gap, skip = substring_dedup.K, substring_dedup.MAX_GAP + substring_dedup.K, substring_dedup.SKIP
+    order = sorted(range(len(a)), key=lambda i: (a[i], -b[i]))
+    score = {}
+    for n, i in enumerate(order):
+        score[i] = k
+        for j in order[:n]:
+            if 0 < a[i] - a[j] <= gap and 0 < b[i] - b[j] <= gap:
+                score[i] = max(score[i], k + score[j] - skip * (a[i] - a[j] + b[i] - b[j]))
+    return score
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_chains_are_the_best_within_the_gap(seed):
+    """Long chains must not hide near predecessors, wherever in either text they lie."""
+    rng = np.random.default_rng(seed)
+    parts, at = [], 0
+    for size in (90, 20, 25, 8):                    # passages in turn, each from anywhere in the other text
+        a = at + np.cumsum(rng.integers(1, 16, size))
+        b = int(rng.integers(0, 4_000)) + (a - a[0]) + rng.integers(0, 2, size).cumsum()
+        parts.append((a, b))
+        at = int(a[-1]) + int(rng.integers(1, 60))
+    a, b = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    got = substring_dedup.chains(a, b)
+    want = best_chain_score(a.tolist(), b.tolist())
+    seen = np.concatenate(got)
+    assert sorted(seen.tolist()) == list(range(len(a)))
+    k, skip = substring_dedup.K, substring_dedup.SKIP
+    scores = [k * len(c) - skip * float((a[c[-1]] - a[c[0]]) + (b[c[-1]] - b[c[0]])) for c in got]
+    assert max(scores) == pytest.approx(max(want.values()))
+    assert len(got) <= len(a) // 8                   # no passage falls apart into single anchors
+
+
+def test_a_passage_behind_a_long_one_is_found(spark):
+    """Two fuzzy passages (every 9th word changed) behind an exact one of 800 words, each from another place."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    source = [word() for _ in range(3_000)]
+    change = lambda part: [word() if i % 9 == 8 else w for i, w in enumerate(part)]
+    copy = source[:800] + change(source[2_000:2_120]) + change(source[1_200:1_330])
+    rows = [(1, " ".join(source)), (2, " ".join(copy))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = {i for r in got if r.doc_id == 2 for i in range(r.start, r.end)}
+    for lo, hi in ((0, 800), (800, 920), (920, 1_050)):
+        assert len(covered & set(range(lo, hi))) >= 0.9 * (hi - lo)
