@@ -23,7 +23,7 @@ from ..operators.batches import complete_hours, hour_progress, latest_hour_of_ke
 from ..operators.joins import semi_join
 from ..operators.kpi import finish_kpis, heatmap_points, hourly_segment_kpis, segment_kpi
 from ..operators.layers import dedup_silver, flow_bronze, silver_features
-from ..operators.metrics import batch_counts, batch_metrics, ingestion_tallies
+from ..operators.metrics import batch_counts, batch_metrics, counted, ingestion_tallies
 from ..operators.payloads import flatten_flow
 from ..operators.quality import REJECT_COL
 from ..schemas import BATCH_FORMAT, FLOW_BRONZE, FLOW_SILVER, PIPELINE_METRICS, TRAFFIC_KPIS, TRAFFIC_POINTS
@@ -42,6 +42,7 @@ class JobResult:
     output: DataFrame      # what was written (re-readable)
     metrics: DataFrame     # pipeline_metrics rows
     rejected: DataFrame | None = None
+    written: int = 0       # rows of this run, observed while they were written (bronze)
 
 
 #: batch keys up to which a scan is pruned by their list; beyond, by the join with them alone
@@ -98,12 +99,15 @@ class Load:
     number: int
     files: DataFrame
     rows: DataFrame
+    written: int = 0
 
     def finish(self, tagged: DataFrame, path: str, schema) -> None:
         """Write the accepted rows, one folder level per load, then record versions and files."""
         good = tagged.filter(F.col(REJECT_COL).isNull())
         out = good.select(*schema.fieldNames(), "source_file", F.lit(self.number).cast("long").alias("load"))
-        write_batch(out, path, partition_by=(*BATCH_PARTITIONS, "load"))
+        observed, rows = counted(out, f"load-{self.number}")
+        write_batch(observed, path, partition_by=(*BATCH_PARTITIONS, "load"))
+        self.written = rows.get.get("rows", 0)  # nothing is observed where there is nothing to write
         changed = good.select("city", "batch_ts").distinct()
         replaced = self.log.superseded(self.files)
         if not replaced.isEmpty():  # batches that lose rows have changed as well
@@ -249,7 +253,8 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
             metrics, rejects = take_load(load, gate_bronze(load.rows, run_ts), bronze_path, FLOW_BRONZE, reject_path,
                                          dag_id, run_id, run_ts, t0)
             save(metrics)
-    return JobResult(current_rows(spark, bronze_path, FLOW_BRONZE).select(*FLOW_BRONZE.fieldNames()), metrics, rejects)
+    rows = current_rows(spark, bronze_path, FLOW_BRONZE).select(*FLOW_BRONZE.fieldNames())
+    return JobResult(rows, metrics, rejects, load.written if load else 0)
 
 
 def take_load(load: Load, tagged: DataFrame, path: str, schema: StructType, reject_path: str | None,

@@ -64,7 +64,7 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, run_ts=None
                                          dag_id, run_id, run_ts, t0)
             save(metrics)
     rows = current_rows(spark, bronze_path, INCIDENT_BRONZE).select(*INCIDENT_BRONZE.fieldNames())
-    return JobResult(rows, metrics, rejects)
+    return JobResult(rows, metrics, rejects, load.written if load else 0)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=None,

@@ -145,6 +145,7 @@ def test_clean_runs_with_a_reject_ledger(spark, workdir, domain):
         b = job.run_bronze(spark, raw, bronze, run_ts=RUN, reject_path=f"{workdir}/bad/b")
         s = job.run_silver(spark, bronze, silver, run_ts=RUN, reject_path=f"{workdir}/bad/s")
         assert b.rejected.count() == 0 and s.rejected.count() == 0
+        assert b.written == (0 if _ else len(rows))      # observed on the write; the second run has no news
         assert s.output.count() == len(rows)
     write_jsonl(f"{raw}/b.jsonl", [dict(rows[0], lat=None)])        # then one bad row
     b = job.run_bronze(spark, raw, bronze, run_ts=RUN, run_id="2", reject_path=f"{workdir}/bad/b")
