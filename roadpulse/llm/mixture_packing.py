@@ -329,27 +329,39 @@ def pack_mixture(docs: DataFrame, tokenizer_path: str, targets: dict[str | None,
               "offset long, source string") + ", ids array<int>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in schema.split(", ")]
-        kinds = [pa.int64()] * 7 + [pa.string()] + [pa.list_(pa.int32())] * with_ids
+        names, full = [x.split()[0] for x in schema.split(", ")], plan.total // capacity * capacity
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, source, queue, first, ids in zip(*[batch.column(c).to_pylist() for c in
-                                                        ("doc_id", "source", "queue", "first", "ids")]):
-                ids = np.frombuffer(ids, kind).astype("<u4")
-                for at, n, place in plan.places(queue, first, len(ids)):
-                    while n:
-                        number, begin, size = plan.sequence(place, capacity)
-                        take = min(n, begin + size - place)
-                        part = ids[at - first:at - first + take]
-                        rows.append((doc, at - first, take, zlib.crc32(part), len(ids), number, place - begin,
-                                     source, *[part.tolist()] * with_ids))
-                        at, n, place = at + take, n - take, place + take
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            row, start, length, crc, places, parts = [], [], [], [], [], []
+            for k, (queue, first, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("queue", "first", "n")])):
+                ids = np.frombuffer(batch.column("ids")[k].as_buffer(), kind).astype("<u4")
+                for at, m, place in plan.places(queue, first, n):
+                    at, stop = at - first, place + m
+                    while place < stop:
+                        end = (place // capacity + 1) * capacity if place < full else sum(plan.sequence(place, capacity)[1:])
+                        take = (stop if stop < end else end) - place
+                        part = ids[at:at + take]
+                        row.append(k)
+                        start.append(at)
+                        length.append(take)
+                        crc.append(zlib.crc32(part))
+                        places.append(place)
+                        if with_ids:
+                            parts.append(part.astype(np.int32))
+                        at, place = at + take, place + take
+            if not row:
+                continue
+            of, place = pa.array(row), np.array(places, np.int64)
+            number, begin = place // capacity, place // capacity * capacity
+            for i in np.flatnonzero(place >= full).tolist():
+                number[i], begin[i], _ = plan.sequence(places[i], capacity)
+            columns = [batch.column("doc_id").take(of), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                       pa.array(crc, pa.int64()), batch.column("n").take(of), pa.array(number), pa.array(place - begin),
+                       batch.column("source").take(of)]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(parts, pa.list_(pa.int32()))] * with_ids, names=names)
 
     placed = (encoded.alias("e").join(starts.alias("s"), (F.col("e.part") == F.col("s.part"))
                                       & F.col("e.source").eqNullSafe(F.col("s.of")))
-              .select("doc_id", "source", "queue", (F.col("start") + F.col("at")).alias("first"), "ids"))
+              .select("doc_id", "source", "queue", (F.col("start") + F.col("at")).alias("first"), F.col("e.n").alias("n"), "ids"))
     return placed.mapInArrow(cut, schema)
 
 
