@@ -20,6 +20,7 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._util import ids_and_texts
 
@@ -216,15 +217,33 @@ def scan(index: Index, text: str, coverage: float = COVERAGE) -> list[tuple[str,
     return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 
-def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = COVERAGE,
+def read_templates(table: DataFrame, name_col: str = "license", text_col: str = "text") -> dict[str, str]:
+    """Templates of a table (name, text), as for full licence texts; their size is checked before they are read.
+
+    Rows without a name or text are left out; of rows that share a name the text that
+    sorts first counts. More than ``MAX_TEMPLATE_BYTES`` of text is an error.
+    """
+    rows = table.select(F.col(name_col).cast("string").alias("name"), F.col(text_col).cast("string").alias("text")) \
+        .where("name is not null and text is not null").groupBy("name").agg(F.min("text").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
+    if size > MAX_TEMPLATE_BYTES:
+        raise ValueError(f"{size} bytes of templates, at most {MAX_TEMPLATE_BYTES} are sent to the tasks")
+    return {r["name"]: r["text"] for r in rows.orderBy("name").collect()}
+
+
+def license_scan(docs: DataFrame, templates: Mapping[str, str] | DataFrame | None = None, coverage: float = COVERAGE,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per match: doc_id, license, coverage, start and end (characters, end exclusive).
 
-    ``coverage`` is the share of the template's words found in order. Every place
+    ``templates`` are names and texts, a table (license, text) of them, or by default
+    short notices and headers. ``coverage`` is the share of the template's words found
+    in order. Every place
     where a template matches is reported. Null and empty texts and texts without a
     match give no row; null and repeated ids keep theirs; an empty table or no
     template gives an empty result; other columns are not read.
     """
+    if isinstance(templates, DataFrame):
+        templates = read_templates(templates)
     index = Index(NOTICES if templates is None else templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -342,7 +342,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
              .where("r1 <> r2").select("seed", F.col("first.ref").alias("source"), F.col("first.at").alias("b")))
     anchors = (found.join(first, "seed").where("ref <> source")
                .select("ref", "source", F.col("at").alias("a"), "b").distinct())
-    linked = saved(anchors.repartition("ref").sortWithinPartitions("ref")
+    # a document that shares passages with many others is dealt over tasks by these
+    linked = saved(anchors.repartition("ref", "source").sortWithinPartitions("ref")
                    .mapInArrow(_chained, "ref long, source long, a array<int>, b array<int>"))
     needed = saved(linked.select("ref").union(linked.select("source")).distinct())
     small = needed.count() <= BROADCAST_DOCS

@@ -279,6 +279,43 @@ def test_gru_gradients():
         assert abs((up - down) / 2e-3 - grads[k][at]) < 2e-2 * max(1.0, abs(grads[k][at]))
 
 
+def plain_gru(w, d, data):
+    """States over the bytes of one stretch, one byte at a time."""
+    n = w["u" + d].shape[0]
+    h, out = np.zeros(n), []
+    for byte in data:
+        gx, gh = w["x" + d][byte] + w["c" + d], h @ w["u" + d]
+        z, r = (1 / (1 + np.exp(-(gx[i * n:(i + 1) * n] + gh[i * n:(i + 1) * n]))) for i in (0, 1))
+        h = z * h + (1 - z) * np.tanh(gx[2 * n:] + r * gh[2 * n:])
+        out.append(h)
+    return out
+
+
+def plain_language(net, text):
+    total, positions = np.zeros(len(net.langs)), 0
+    for word in (text or "").encode().split():
+        if any(map(str.isalpha, word.decode())):
+            word = b" " + word + b" "
+            for at in range(0, len(word), language_id.SPAN):
+                part = word[at:at + language_id.SPAN]
+                f, b = plain_gru(net.weights, "f", part), plain_gru(net.weights, "b", part[::-1])[::-1]
+                for x, y in zip(f, b):
+                    e = np.exp(np.concatenate([x, y]) @ net.weights["o"] + net.weights["p"])
+                    total += e / e.sum()
+                    positions += 1
+    return (net.langs[int(total.argmax())], total.max() / positions) if positions else ("und", 0.0)
+
+
+def test_predictions_are_those_of_a_plain_forward_pass(spark, texts):
+    net = language_id.Network.fresh(["de", "en", "fr"], 5, 2)
+    net.weights = {k: (v * 2).astype(np.float32) for k, v in net.weights.items()}
+    some = [*texts[:12], None, "", "12 34 !", "x" * 130 + " é" * 50, "日本語 text a\x00b", "same same same"]
+    got = {r.doc_id: r for r in language_id.predict(frame(spark, some), net).collect()}
+    for i, t in enumerate(some):
+        lang, score = plain_language(net, t)
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-4)
+
+
 def test_language_query_is_right_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op10_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
@@ -419,6 +456,22 @@ def test_license_scan(spark):
     assert license_scan.license_scan(df, {}).count() == 0 and license_scan.license_scan(df.limit(0)).count() == 0
 
 
+def test_templates_from_a_table(spark, monkeypatch):
+    """Long texts of a table of templates, found with words changed; names and texts may be missing or repeated."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    full = {f"licence {i}": [word() for _ in range(400)] for i in range(3)}
+    rows = [(n, " ".join(w)) for n, w in full.items()] + [(None, "x"), ("empty", None), ("licence 0", "zzz")]
+    table = spark.createDataFrame(rows, "license string, text string")
+    changed = [w if i % 10 else word() for i, w in enumerate(full["licence 1"])]
+    docs = frame(spark, ["lead in " + " ".join(changed) + " and on", " ".join(full["licence 2"][:200]), "nothing"])
+    got = license_scan.license_scan(docs, table).collect()
+    assert [(r.doc_id, r.license) for r in got] == [(0, "licence 1")] and 0.85 <= got[0].coverage < 1
+    monkeypatch.setattr(license_scan, "MAX_TEMPLATE_BYTES", 100)
+    with pytest.raises(ValueError):
+        license_scan.license_scan(docs, table)
+
+
 def test_license_query_finds_every_notice(spark):
     sf = "/root/testdata/sf0.01"
     got = {(r.doc_id, r.license) for r in queries.op2_license_scan(spark, sf).collect()}
