@@ -73,7 +73,7 @@ def current_rows(spark: SparkSession, path: str, schema, batches: DataFrame | No
     rows = layer_or_empty(spark, path, with_load(schema))
     rows = rows.filter(F.col("load") <= log.last())
     old = log.superseded()
-    if not old.isEmpty():
+    if old is not None:
         rows = semi_join(rows, old, ["source_file", "load"], anti=True)
     return rows if batches is None else of_batches(rows, batches)
 
@@ -105,12 +105,13 @@ class Load:
         """Write the accepted rows, one folder level per load, then record versions and files."""
         good = tagged.filter(F.col(REJECT_COL).isNull())
         out = good.select(*schema.fieldNames(), "source_file", F.lit(self.number).cast("long").alias("load"))
-        observed, rows = counted(out, f"load-{self.number}")
-        write_batch(observed, path, partition_by=(*BATCH_PARTITIONS, "load"))
-        self.written = rows.get.get("rows", 0)  # nothing is observed where there is nothing to write
+        if not good.isEmpty():  # nothing is observed where there is nothing to write
+            observed, rows = counted(out, f"load-{self.number}")
+            write_batch(observed, path, partition_by=(*BATCH_PARTITIONS, "load"))
+            self.written = rows.get["rows"]
         changed = good.select("city", "batch_ts").distinct()
         replaced = self.log.superseded(self.files)
-        if not replaced.isEmpty():  # batches that lose rows have changed as well
+        if replaced is not None:  # batches that lose rows have changed as well
             gone = semi_join(read_layer(out.sparkSession, path, with_load(schema)), replaced, ["source_file", "load"])
             changed = changed.union(gone.select("city", "batch_ts")).distinct()
         self.log.commit(self.number, changed.withColumn("version", F.lit(self.number)), self.files)
@@ -119,14 +120,15 @@ class Load:
 def next_load(spark: SparkSession, raw_path: str, layer_path: str, read) -> Load | None:
     """The load of all files that the layer has not taken yet; None, and nothing parsed, without any.
 
-    The paths pass the driver, as they do whenever Spark lists files for a scan.
+    A file that lands after the listing waits for the next load.
     """
     log = LoadLog(spark, layer_path)
-    files = log.pending(raw_path)
-    paths = [r.path for r in files.select("path").collect()]
-    if not paths:
+    pending = log.pending(raw_path)
+    if not pending:
         return None
-    return Load(log, log.last() + 1, files, new_rows(read(spark, raw_path, keep_corrupt=True), paths))
+    files = spark.createDataFrame(pending, "path string, length long, modified long, again boolean")
+    return Load(log, log.last() + 1, files,
+                new_rows(read(spark, raw_path, keep_corrupt=True), [r.path for r in pending]))
 
 
 def no_metrics(spark: SparkSession) -> DataFrame:
@@ -474,7 +476,7 @@ def bronze_batch_handler(bronze_path: str, metrics_path: str | None = None,
                   .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             files = spark.createDataFrame([(f"micro-batch {batch_id}", 0)], "path string, length long") \
-                .withColumn("modified", F.lit(None).cast("timestamp"))
+                .withColumns({"modified": F.lit(None).cast("long"), "again": F.lit(False)})
             Load(LoadLog(spark, bronze_path), number, files, tagged).finish(tagged, bronze_path, FLOW_BRONZE)
             write_rejects(tagged, reject_path, f"microbatch-{batch_id}")
             if metrics_path:
