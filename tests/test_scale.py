@@ -34,12 +34,15 @@ def test_kpis_do_not_depend_on_partitioning(spark):
 
 
 def test_estimate_is_per_sample(spark):
-    rows = [("a", 100, 0.1), ("a", 10, 1.0)]
-    df = spark.createDataFrame(rows, "city string, travel_time int, speed_ratio double").selectExpr(
-        "*", "1 as current_speed", "1 as free_flow_speed", "1.0D as confidence", "false as road_closure")
+    # each sample's own speeds count, not its rounded ratio; no estimate without a free-flow speed
+    rows = [("a", 100, 1, 10, 0.1), ("a", 10, 7, 7, 1.0), ("b", 3000, 1, 3, 0.333), ("b", 50, 5, 0, None)]
+    df = spark.createDataFrame(rows, "city string, travel_time int, current_speed int, free_flow_speed int, "
+                                     "speed_ratio double").selectExpr("*", "1.0D as confidence", "false as road_closure")
     from roadpulse.operators import hourly_segment_kpis
-    k = hourly_segment_kpis(df, ["city"], estimate_free_flow=True, observed=F.current_timestamp()).first()
-    assert k.est_free_flow_travel_time == 10.0 and k.est_delay_seconds == 45.0
+    out = {r.city: r for r in hourly_segment_kpis(df, ["city"], estimate_free_flow=True,
+                                                  observed=F.current_timestamp()).collect()}
+    assert out["a"].est_free_flow_travel_time == 10.0 and out["a"].est_delay_seconds == 45.0
+    assert out["b"].est_free_flow_travel_time == 1000.0
 
 
 def test_hot_key_top1_and_kpi(spark):
