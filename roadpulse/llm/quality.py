@@ -22,8 +22,8 @@ from ._util import saved
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: words a document needs before its histograms are judged
-GUARD_WORDS = 50
+#: words that a document needs before its histograms are judged, and a language before it has a reference
+GUARD_WORDS, GUARD_LANGUAGE = 50, 2_000
 #: allowed distances: a fixed part and one that shrinks with the square root of the words
 CLASS_LIMIT, CLASS_NOISE = 0.15, 1.0
 WORD_LIMIT, WORD_NOISE = 0.25, 2.5
@@ -145,13 +145,14 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
 
     ``words`` are structs (word, share) of its ``common`` most frequent words, ties to
     the smaller word; ``classes`` the shares of ``HISTOGRAM``. Counted over all documents
-    that are long enough to be judged; a language with no such document has no
-    reference. One row per language.
+    that are long enough to be judged; a language that has fewer than ``GUARD_LANGUAGE``
+    words in them has no reference. One row per language.
     """
     if facts is None:
         facts = _facts(docs, text_col, lang_col)
     classes = facts.where(F.col("n_words") >= GUARD_WORDS).groupBy("lang").agg(
-        F.sum("n_words").alias("total"), *[F.sum(k).cast("double").alias(k) for k in HISTOGRAM])
+        F.sum("n_words").alias("total"), *[F.sum(k).cast("double").alias(k) for k in HISTOGRAM]) \
+        .where(F.col("total") >= GUARD_LANGUAGE)
     counts = (_word_rows(docs.select(F.col(text_col), F.col(lang_col)), text_col, lang_col)
               .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     # a row_number with a limit keeps only the first rows of each task before the shuffle
@@ -298,7 +299,7 @@ def oracle_sql() -> str:
       FROM common GROUP BY lang),
     sums AS (
       SELECT lang, sum(n_words) AS total, {", ".join(f"sum({k}) AS {k}" for k in HISTOGRAM)}
-      FROM h WHERE n_words >= {GUARD_WORDS} GROUP BY lang),
+      FROM h WHERE n_words >= {GUARD_WORDS} GROUP BY lang HAVING sum(n_words) >= {GUARD_LANGUAGE}),
     refs AS (
       SELECT s.lang, ref_words, list_transform(ns, lambda x: x / total)
                || [greatest(0, 1 - list_sum(list_transform(ns, lambda x: x / total)))] AS ref_shares,
