@@ -30,14 +30,18 @@ def kpi_state(samples: DataFrame, keys: Sequence[str] = KEYS, observed: str | Co
     """One row per (keys, ``unit``): the state of its samples. Samples without a time are left out."""
     obs = batch_timestamp("batch_ts") if observed is None else as_col(observed)
     state, _ = mean_state(kpi_means(ratio=ratio, **columns))
-    return (samples.groupBy(*keys, F.date_trunc(unit, obs).alias("hour"))
-            .agg(F.max(obs).alias("observation_ts"), *kpi_counts(closure, ratio), *state).where("hour is not null"))
+    # brought together as samples: states are several times as wide, and in a scan's tasks keys hardly repeat
+    timed = samples.withColumns({"__obs": obs, "hour": F.date_trunc(unit, obs)}).repartition(*keys, "hour")
+    return (timed.groupBy(*keys, "hour")
+            .agg(F.max("__obs").alias("observation_ts"), *kpi_counts(closure, ratio), *state).where("hour is not null"))
 
 
 def merge_states(states: DataFrame, keys: Sequence[str] = KEYS, unit: str | None = None) -> DataFrame:
     """States added up per (keys, ``unit``); over all time for ``unit`` None."""
     sums = [c for c in states.columns if c in COUNTS or c.startswith(("__high_", "__low_", "__n_"))]
-    by = [] if unit is None else [F.date_trunc(unit, "hour").alias("hour")]
+    by = [] if unit is None else ["hour"]
+    if unit is not None:
+        states = states.withColumn("hour", F.date_trunc(unit, "hour")).repartition(*keys, "hour")
     return states.groupBy(*keys, *by).agg(F.max("observation_ts").alias("observation_ts"),
                                           *[F.sum(c).alias(c) for c in sums])
 
@@ -63,7 +67,7 @@ class KpiTable:
     def add(self, samples: DataFrame, delivery: int, **how) -> None:
         """Reduce one delivery and keep its state; nothing of earlier ones is read."""
         state = kpi_state(samples, **how).withColumn("delivery", F.lit(delivery))
-        write_batch(state, f"{self.path}/deliveries", partition_by=("delivery",))
+        write_batch(state, f"{self.path}/deliveries", partition_by=("delivery",), files_per_partition=0)
 
     def _base(self) -> int:
         """The newest delivery that a base holds, -1 without one."""
