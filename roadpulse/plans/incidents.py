@@ -73,7 +73,7 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, run_ts=N
     """Every batch with a newer bronze version -> silver; copies left out by ``dedup`` count as dropped."""
     business = [f.name for f in TRAFFIC_INCIDENTS.fields]
     return refresh(
-        spark, bronze_path, silver_path, INCIDENT_BRONZE, INCIDENT_SILVER, lambda rows: incident_silver(rows, run_ts),
+        spark, bronze_path, silver_path, INCIDENT_BRONZE, INCIDENT_SILVER, incident_silver,
         lambda good: good.dropDuplicates(business) if dedup else good,
         "silver", run_ts, reject_path, metrics_path, dag_id, run_id)
 
