@@ -66,7 +66,9 @@ class KpiTable:
 
     def add(self, samples: DataFrame, delivery: int, **how) -> None:
         """Reduce one delivery and keep its state; nothing of earlier ones is read."""
-        state = kpi_state(samples, **how).withColumn("delivery", F.lit(delivery))
+        keys = how.get("keys", KEYS)
+        # in key order the long road keys repeat side by side, and a file packs them to almost nothing
+        state = kpi_state(samples, **how).sortWithinPartitions(*keys, "hour").withColumn("delivery", F.lit(delivery))
         write_batch(state, f"{self.path}/deliveries", partition_by=("delivery",), files_per_partition=0)
 
     def _base(self) -> int:
@@ -93,7 +95,8 @@ class KpiTable:
         newest = self.spark.read.parquet(f"{self.path}/deliveries").agg(F.max("delivery")).first()[0]
         if newest is None or newest <= old:
             return
-        merge_states(self.states(), keys, unit).write.mode("overwrite").parquet(f"{self.path}/bases/upto={newest}")
+        (merge_states(self.states(), keys, unit).sortWithinPartitions(*keys, "hour")
+         .write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/bases/upto={newest}"))
         (self.spark.createDataFrame([(newest,)], "upto int").coalesce(1)
          .write.mode("append").parquet(f"{self.path}/marks"))
         if old >= 0:
