@@ -126,6 +126,21 @@ def test_simhash_hot_keys_keep_every_component(spark, hot, huge):
     assert groups((x, u.top(x)) for x in u.up) == groups((x, v.top(x)) for x in v.up)
 
 
+@pytest.mark.parametrize("hot", [2_000, 0])
+def test_simhash_finds_pairs_that_differ_in_any_bit(spark, hot):
+    """Pairs of their own that differ in one given bit, the sign bit too, and in up to three others."""
+    rng = np.random.default_rng(8)
+    pairs = []
+    for bit in [*range(64), *[63] * 40]:
+        x = int(rng.integers(0, 2**64, dtype=np.uint64))
+        others = rng.choice([b for b in range(64) if b != bit], rng.integers(0, 4), replace=False)
+        pairs.append((x, x ^ sum(1 << int(b) for b in (bit, *others))))
+    signed = [[v - 2**64 if v >> 63 else v for v in p] for p in pairs]
+    nodes = spark.createDataFrame([(v,) for p in signed for v in p], "fp long")
+    links = {frozenset((r.a, r.b)) for r in simhash.fingerprint_links(nodes, 4, hot).collect()}
+    assert links == {frozenset(p) for p in signed}
+
+
 def test_simhash_odd_rows(spark):
     long = "word " * 50_000
     rows = [(1, None, "x"), (2, "", "x"), (3, "  \n", "x"), (4, "A b c", "x"), (5, "a B c", "x"), (None, "a b c", "x"),
