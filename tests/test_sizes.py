@@ -5,9 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators import layers
+from roadpulse.operators import kpi, layers
 from roadpulse.operators.kpi_state import kpi_state
-from roadpulse.operators.layers import CELL, deal_silver, dedup_silver, silver_features
+from roadpulse.operators.layers import (CELL, ROAD, deal_roads, deal_silver, dedup_silver, flow_bronze, flow_silver,
+                                        silver_features)
 from roadpulse.plans import catalog, flow
 from roadpulse.schemas import FLOW_BRONZE, FLOW_SILVER
 from roadpulse.session import even, scratch_path
@@ -108,6 +109,30 @@ def test_open_windows_leaves_rows_where_they_are(spark, no_small_tables):
     assert sorted(r.t.hour for r in rest.collect()) == [18, 19]
 
 
+def lineitem(spark, n, path):
+    spark.range(n).select(
+        F.lit("A").alias("l_returnflag"), F.lit("2026-07-20").cast("timestamp").alias("l_shipdate"),
+        (F.col("id") % 40).alias("l_partkey"), (F.col("id") % 4).alias("l_suppkey"), F.lit("O").alias("l_linestatus"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"), F.lit(1).alias("l_linenumber"), F.lit(900.0).alias("l_extendedprice"),
+        F.lit(0.1).alias("l_discount"), F.lit(0.0).alias("l_tax")).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_gold_is_worked_behind_one_shuffle_of_samples(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layers, "CELL_ROWS", 50)
+    raw = samples(spark, 90).unionByName(samples(spark, 90, copies=1).withColumn(
+        "batch_ts", F.lit("20260720T191500"))).where("city is not null").withColumn("lat", F.when(F.col("lat") != 3.0, F.col("lat")))
+    bronze = flow_bronze(raw, RUN).where("reject_reason is null").drop("reject_reason")
+    silver = flow_silver(deal_roads(bronze, 270), RUN, within=(ROAD,))
+    dealt = kpi.hourly_segment_kpis(silver, (ROAD, "city", "road_id", "frc"))
+    plain = kpi.hourly_segment_kpis(flow_silver(bronze, RUN))
+    assert dealt.columns == plain.columns
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    assert deal_roads(bronze, 270).rdd.getNumPartitions() == 6
+    lineitem(spark, 200, tmp_path)
+    gold = catalog.q_flow_gold(spark, str(tmp_path))
+    assert plan(gold).count("Exchange") == 1 and gold.agg(F.sum("road_segments")).first()[0] == 40
+
+
 def test_state_is_built_behind_one_shuffle_of_samples(spark):
     rows = samples(spark, 50).withColumns({"road_id": F.col("lat").cast("string"), "speed_ratio": F.lit(0.5)})
     p = plan(kpi_state(rows))
