@@ -13,7 +13,9 @@ from roadpulse.plans import catalog, flow
 from roadpulse.schemas import FLOW_BRONZE, FLOW_SILVER
 from roadpulse.session import even, scratch_path
 from roadpulse.sinks.files import write_batch, write_raw
-from roadpulse.streaming import open_windows, run_available
+from roadpulse.functions import stable_key
+from roadpulse.streaming import (close_flow_stream, flow_kpis, latest_versions, open_windows, run_available, run_flow_stream,
+                                 run_flow_updates)
 
 RUN = "2026-07-20 20:00:00"
 
@@ -140,6 +142,23 @@ def test_state_is_built_behind_one_shuffle_of_samples(spark):
     assert p.rindex("HashAggregate") < p.index("Exchange hashpartitioning")  # no wide states are shuffled
 
 
+def test_streams_carry_the_text_of_a_road_and_name_it_in_their_figures(spark, workdir):
+    rows = samples(spark, 30).where("city is not null")
+    rows.write.json(f"{workdir}/raw")
+    roads = sorted(r[0] for r in rows.select(stable_key("city", "lat", "lon", "frc").alias("k")).distinct().collect())
+    run_flow_stream(spark, f"{workdir}/raw", f"{workdir}/gold", f"{workdir}/ck")
+    gold = close_flow_stream(spark, f"{workdir}/raw", f"{workdir}/gold")
+    run_flow_updates(spark, f"{workdir}/raw", f"{workdir}/samples", f"{workdir}/ck2", watermark="3000 days")
+    kpis = flow_kpis(spark, f"{workdir}/samples")
+    assert "road_id" not in spark.read.parquet(f"{workdir}/samples").columns
+    assert plan(kpis).count("Exchange hashpartitioning") == 1
+    for out in (gold, kpis):
+        assert out.columns[:5] == ["window_start", "window_end", "city", "road_id", "frc"]
+        assert sorted(r.road_id for r in out.collect()) == roads
+    assert sorted(map(str, gold.select(*kpis.columns).collect())) == sorted(map(str, kpis.collect()))
+    assert latest_versions(spark, f"{workdir}/samples").count() == len(roads)
+
+
 def test_stream_files_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog, "STREAM_FILE_ROWS", 1_000)
     monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
