@@ -159,6 +159,16 @@ def test_streams_carry_the_text_of_a_road_and_name_it_in_their_figures(spark, wo
     assert latest_versions(spark, f"{workdir}/samples").count() == len(roads)
 
 
+def test_update_mode_keeps_its_state_on_disk_and_restores_the_settings(spark, workdir):
+    names = [f"spark.sql.streaming.stateStore.{k}" for k in ("providerClass", "rocksdb.boundedMemoryUsage", "compression.codec")]
+    before = [spark.conf.get(n, None) for n in names]
+    samples(spark, 10).where("city is not null").write.json(f"{workdir}/raw")
+    run_flow_updates(spark, f"{workdir}/raw", f"{workdir}/samples", f"{workdir}/ck", watermark="3000 days")
+    offsets = spark.read.text(f"{workdir}/ck/offsets").collect()
+    assert any("RocksDBStateStoreProvider" in r.value for r in offsets)
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
 def test_stream_files_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog, "STREAM_FILE_ROWS", 1_000)
     monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
