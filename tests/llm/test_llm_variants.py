@@ -210,6 +210,20 @@ def test_alignment_of_odd_texts(spark, block):
     assert token_alignment.align_documents(docs.limit(0), BYTES, PIECES).count() == 0
 
 
+def test_alignment_keeps_the_last_blocks_stretches(monkeypatch):
+    """What a worker remembers stays bounded, and what the last block held is not encoded again."""
+    monkeypatch.setattr(token_alignment, "CACHE", 60)
+    aligner, learned = token_alignment.Aligner(BYTES, PIECES), []
+    learn = aligner.learn
+    monkeypatch.setattr(aligner, "learn", lambda new: (learned.append(set(new)), learn(new))[1])
+    for k in range(8):
+        block = [" ".join(["common words of all blocks"] + [f"own{k}{i:02d}x" for i in range(40)]), None, "", "é " + "x" * k]
+        got, want = aligner.block(block), token_alignment.Aligner(BYTES, PIECES).block(block)
+        assert len(aligner.known) <= 60 + 50
+        assert all(np.array_equal(got[c], want[c]) for c in want)
+    assert all(" common" not in new and " words" not in new for new in learned[1:])
+
+
 def test_alignment_forgets_stretches(spark, texts, monkeypatch):
     monkeypatch.setattr(token_alignment, "CACHE", 50)
     a, b = token_alignment.Aligner(BYTES, PIECES), token_alignment.Aligner(BYTES, PIECES)
