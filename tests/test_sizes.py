@@ -135,6 +135,22 @@ def test_gold_is_worked_behind_one_shuffle_of_samples(spark, tmp_path, monkeypat
     assert plan(gold).count("Exchange") == 1 and gold.agg(F.sum("road_segments")).first()[0] == 40
 
 
+def test_backlog_of_gold_is_worked_behind_one_shuffle_of_samples(spark, workdir, monkeypatch):
+    monkeypatch.setattr(layers, "CELL_ROWS", 50)
+    write_raw(samples(spark, 200).where("city is not null"), f"{workdir}/raw")
+    flow.run_bronze(spark, f"{workdir}/raw", f"{workdir}/bronze", run_ts=RUN)
+    silver = flow.run_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", run_ts=RUN).output
+    seen = []
+    monkeypatch.setattr(flow, "write_batch", lambda df, path, **how: (
+        seen.append((path, plan(df), how)), write_batch(df, path, **how))[1])
+    gold = flow.run_gold_backlog(spark, f"{workdir}/silver", f"{workdir}/gold", run_ts=RUN, min_batches=1).output
+    p, how = next((p, h) for at, p, h in seen if at.endswith("/gold"))
+    first = p[p.index("Exchange"):].splitlines()[0]  # nothing is shuffled above the samples
+    assert how["files_per_partition"] == 0 and "REPARTITION_BY_NUM" in first and CELL not in gold.columns
+    want = kpi.hourly_segment_kpis(silver)
+    assert sorted(map(str, gold.select(*want.columns).collect())) == sorted(map(str, want.collect())) and want.count() > 100
+
+
 def test_state_is_built_behind_one_shuffle_of_samples(spark):
     rows = samples(spark, 50).withColumns({"road_id": F.col("lat").cast("string"), "speed_ratio": F.lit(0.5)})
     p = plan(kpi_state(rows))
